@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from logloom.functions.coerce import as_column, to_number
 
@@ -31,7 +32,7 @@ def _duration_label(ns: int) -> str:
     return "%.2fs" % (ms / 1000)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def format_duration_ns(ns: pd.Series) -> pd.Series:
     """Human label of a nanosecond count.
 
