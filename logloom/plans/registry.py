@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from logloom.plans import aggregates, filters, traces
+from logloom.plans import aggregates, catalogs, discovery, filters, ingests, streams, traces
 
-_MODULES = (filters, aggregates, traces)
+_MODULES = (filters, aggregates, discovery, traces, catalogs, ingests, streams)
 
 QUERIES = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
