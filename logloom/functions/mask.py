@@ -15,6 +15,11 @@ PUNCTUATION = r"""["',;:()\[\]{}]"""
 SPACE = r"[\s\u000b\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
 
+def has_words(line: Column | str) -> Column:
+    """Whether a line holds anything but whitespace."""
+    return as_column(line).rlike("[^" + SPACE[1:-2] + "]")
+
+
 def words(line: Column | str) -> Column:
     """Whitespace-separated tokens of a line."""
     return F.filter(F.split(as_column(line), SPACE), lambda w: w != "")
@@ -40,13 +45,15 @@ def mask_token(token: Column) -> Column:
 def mask_tokens(line: Column | str) -> Column:
     """Masked tokens of a line.
 
-    Only a token with a digit, or a run of hex letters, can change, so most
-    words skip the regex work.
+    Only a token with a digit, or a run of hex letters, can change: lines
+    without any, and most words of the others, skip the regex work.
     """
-    return F.transform(
-        words(line),
-        lambda w: F.when(w.rlike(r"\d|[a-fA-F]{12}"), mask_token(w)).otherwise(w),
+    variable = r"\d|[a-fA-F]{12}"
+    text = as_column(line)
+    masked = F.transform(
+        words(text), lambda w: F.when(w.rlike(variable), mask_token(w)).otherwise(w)
     )
+    return F.when(text.rlike(variable), masked).otherwise(words(text))
 
 
 def mask_line(line: Column | str) -> Column:

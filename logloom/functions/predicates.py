@@ -40,7 +40,7 @@ def field(name: Field) -> Column:
         return name.cast("string")
     if name in CORE_FIELDS:
         return F.col(CORE_FIELDS[name]).cast("string")
-    return F.try_element_at(F.col("attrs"), F.lit(name))
+    return F.col("attrs")[name]
 
 
 def _known(predicate: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom.functions.text import mask_secret
+from logloom.sources.lines import with_once
 
 # Fixed value: the shape of an id that needs no lookup.
 UUID_TEXT = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
@@ -69,7 +70,9 @@ def catalog_stats(df: DataFrame, column: str = "definition") -> DataFrame:
     ``last_activity`` the heartbeat in the nested metadata (epoch ms); widget
     and component lists are counted.
     """
-    body = F.try_parse_json(F.col(f"`{column}`"))
+    rest = [F.col(f"`{c}`") for c in df.columns if c != column]
+    df = with_once(df, "_body", F.try_parse_json(F.col(f"`{column}`")))
+    body = F.col("_body")
 
     def size_of(path: str):
         return F.size(F.try_variant_get(body, path, "array<variant>")).cast("bigint")
@@ -80,7 +83,6 @@ def catalog_stats(df: DataFrame, column: str = "definition") -> DataFrame:
     )
     latest = F.array_max(logins)
     heartbeat = F.try_variant_get(body, "$.metadata.last_heartbeat_at", "double")
-    rest = [F.col(f"`{c}`") for c in df.columns if c != column]
     return df.select(
         *rest,
         F.when(latest > 0, F.timestamp_millis((latest * 1000).cast("bigint"))).alias("last_login"),

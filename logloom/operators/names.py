@@ -89,10 +89,11 @@ def candidates(
     asked = names.select("name").distinct().withColumn("_needle", normal("name"))
     keys = known.select("key", normal("key").alias("_text"))
     parts = keys.select("key", F.explode(_substrings(F.col("_text"))).alias("_needle"))
-    hits = asked.join(parts, "_needle").select("name", "key")
-    place = F.row_number().over(Window.partitionBy("name").orderBy("key"))
-    top = hits.withColumn("position", place).filter(F.col("position") <= MAX_CANDIDATES)
-    lonely = asked.join(hits.select("name").distinct(), "name", "left_anti")
+    # only the first keys around a text can be shown, so the rest never meets the names
+    place = F.row_number().over(Window.partitionBy("_needle").orderBy("key"))
+    few = parts.withColumn("position", place).filter(F.col("position") <= MAX_CANDIDATES)
+    top = asked.join(few, "_needle")
+    lonely = asked.join(parts.select("_needle"), "_needle", "left_anti")
     fallback = nearest(lonely, known, normal=normal).select(
         "name", F.lit(1).alias("position"), F.col("nearest").alias("candidate")
     )

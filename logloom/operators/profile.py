@@ -30,8 +30,10 @@ def _smallest_values(counts: DataFrame, cap: int) -> DataFrame:
     """``key`` and its ``cap`` smallest values as a sorted array."""
     place = F.row_number().over(Window.partitionBy("key").orderBy("value"))
     # the filter on the row number also cuts each partition before the shuffle
-    few = counts.select("key", "value", place.alias("_place")).filter(F.col("_place") <= cap)
-    return few.groupBy("key").agg(F.array_sort(F.collect_list("value")).alias("values"))
+    few = counts.withColumn("_place", place).filter(F.col("_place") <= cap)
+    # all columns stay in use, so that a profile reads one shuffled table of counts
+    rows = F.array_sort(F.collect_list(F.struct("value", *[c for c in counts.columns if c not in ("key", "value")])))
+    return few.groupBy("key").agg(F.transform(rows, lambda r: r["value"]).alias("values"))
 
 
 def value_sample(df: DataFrame, cap: int = SAMPLE) -> DataFrame:

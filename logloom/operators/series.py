@@ -6,6 +6,7 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from logloom.operators.aggregate import count, key_columns
@@ -24,12 +25,22 @@ def _micros(value: datetime) -> int:
     return (aware - _EPOCH) // timedelta(microseconds=1)
 
 
-def slice_number(column: str, start: datetime, end: datetime, n: int) -> Column:
+def _utc_micros(df: DataFrame, column: str) -> Column:
+    """Epoch microseconds; a timestamp without zone reads as UTC whatever the session's zone is."""
+    value = F.col(column)
+    if isinstance(df.schema[column].dataType, T.TimestampNTZType):
+        if df.sparkSession.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "Z"):
+            value = F.convert_timezone(F.lit("UTC"), F.current_timezone(), value)
+        value = value.cast("timestamp")
+    return F.unix_micros(value)
+
+
+def slice_number(df: DataFrame, column: str, start: datetime, end: datetime, n: int) -> Column:
     """0-based slice of ``[start, end)`` cut into ``n`` equal parts."""
     lo, span = _micros(start), _micros(end) - _micros(start)
     if span <= 0 or n <= 0:
         raise ValueError("the range must not be empty and n must be positive")
-    offset = F.unix_micros(F.col(column).cast("timestamp")) - F.lit(lo)
+    offset = _utc_micros(df, column) - F.lit(lo)
     if span * n >= 2**63:
         offset = offset.cast("decimal(38,0)")
     return F.call_function("div", offset * F.lit(n), F.lit(span)).cast("bigint")
@@ -48,7 +59,7 @@ def series(
     inside = df.filter(within(column, TimeRange(start, end), df.schema[column].dataType))
     named = aggs or {"count": count()}
     return inside.groupBy(
-        slice_number(column, start, end, n).alias("slice"), *key_columns(df, list(keys))
+        slice_number(df, column, start, end, n).alias("slice"), *key_columns(df, list(keys))
     ).agg(*[c.alias(name) for name, c in named.items()])
 
 

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.functions.mask import mask_tokens
+from logloom.functions.mask import has_words, mask_tokens
 from logloom.functions.predicates import field
 from logloom.operators.ranking import running
 from logloom.session import materialize, small_enough
@@ -51,10 +51,12 @@ def template_counts(df: DataFrame, line: str, order: list[str]) -> DataFrame:
 
 
 def _forms(df: DataFrame, line: str, order: list[str]) -> DataFrame:
-    masked = df.select(mask_tokens(line).alias("tokens"), F.struct(*order).alias("seen"), F.trim(F.col(line)).alias("line"))
+    # blank lines go before the masking, which a test on its result would run twice
+    masked = df.filter(has_words(line)).select(
+        mask_tokens(line).alias("tokens"), F.struct(*order).alias("seen"), F.trim(F.col(line)).alias("line")
+    )
     return (
-        masked.filter(F.size("tokens") > 0)
-        .groupBy("tokens")
+        masked.groupBy("tokens")
         .agg(
             F.count(F.lit(1)).alias("count"),
             F.min("seen").alias("first"),
@@ -277,7 +279,9 @@ def _moved_counts(
         .join(forms.select("arity", "position", "tokens"), ["arity", "position"])
         .select("arity", "tokens", "_steps")
     )
-    rows = df.select(mask_tokens(line).alias("tokens"), F.struct(*order).alias("_seen"))
+    rows = df.filter(has_words(line)).select(
+        mask_tokens(line).alias("tokens"), F.struct(*order).alias("_seen")
+    )
     hit = rows.join(timed, "tokens")
     reached = F.filter("_steps", lambda s: s["_at"].isNull() | (s["_at"] < F.col("_seen")))
     # nulls sort first, so the last step reached is the one in force

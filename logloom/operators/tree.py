@@ -54,15 +54,26 @@ class EntryMatch:
 
 
 def unique_spans(spans: DataFrame) -> DataFrame:
-    """One row per (trace, span id), the earliest; spans without id are all kept."""
-    rest = [c for c in spans.columns if c not in ("trace_id", "span_id")]
+    """One row per (trace, span id), the earliest; spans without id are all kept.
+
+    ``spans`` is read several times, so pass a stored table. Repeated ids are
+    rare: a narrow count finds them and only their rows are compared.
+    """
+    keys = ["trace_id", "span_id"]
+    repeated = spans.filter("span_id <> ''").groupBy(*keys).count().filter("count > 1").select(*keys)
+    if repeated.isEmpty():
+        return spans
+    repeated = materialize(repeated)
+    rest = [c for c in spans.columns if c not in keys]
     order = ["start_ns", "name", *[c for c in rest if c not in ("start_ns", "name")]]
-    orderable = [c for c in order if not dict(spans.dtypes)[c].startswith("map")]
-    named = spans.filter("span_id <> ''").groupBy("trace_id", "span_id").agg(
-        F.min_by(F.struct(*rest), F.struct(*orderable)).alias("_s")
+    first = (
+        spans.join(repeated, keys, "left_semi")
+        .groupBy(*keys)
+        .agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_s"))
+        .select(*keys, "_s.*")
+        .select(*spans.columns)
     )
-    named = named.select("trace_id", "span_id", "_s.*").select(*spans.columns)
-    return named.unionByName(spans.filter("span_id = ''"))
+    return spans.join(repeated, keys, "left_anti").select(*spans.columns).unionByName(first)
 
 
 def children(spans: DataFrame) -> DataFrame:
@@ -114,6 +125,13 @@ def anchors(spans: DataFrame, match: EntryMatch = EntryMatch()) -> DataFrame:
     )
 
 
+def _split_counts(state: DataFrame) -> tuple[int, int]:
+    """How many spans have reached a top, and how many have not."""
+    return tuple(
+        state.agg(F.count_if(F.col("above").isNull()), F.count_if(F.col("above").isNotNull())).first()
+    )
+
+
 def resolve_paths(nodes: DataFrame) -> DataFrame:
     """``path`` (hops from a top span down to the span) of every span below a top.
 
@@ -130,8 +148,8 @@ def resolve_paths(nodes: DataFrame) -> DataFrame:
         ).filter("above is null or (above <> '' and above <> span_id)")
     )
     done = [state.filter("above is null")]
-    pending = state.filter("above is not null")
-    while True:
+    pending, waiting = state.filter("above is not null"), _split_counts(state)[1]
+    while waiting:
         links = reduce(DataFrame.unionByName, [*done, pending]).filter("span_id <> ''")
         upper = links.select(
             F.col("trace_id"),
@@ -146,11 +164,12 @@ def resolve_paths(nodes: DataFrame) -> DataFrame:
                 F.concat("_path", "path").alias("path"),
             )
         )
-        arrived = stepped.filter("above is null")
-        # a span at depth d arrives in round log2(d): a round without arrivals is the last
-        if arrived.isEmpty():
+        arrived, waiting = _split_counts(stepped)
+        # a span at depth d arrives in round log2(d): what waits after a round
+        # without arrivals hangs below a cycle
+        if not arrived:
             break
-        done.append(arrived)
+        done.append(stepped.filter("above is null"))
         pending = stepped.filter("above is not null")
     return reduce(DataFrame.unionByName, done).drop("above")
 
@@ -178,7 +197,7 @@ def waterfalls(spans: DataFrame) -> DataFrame:
     Siblings are ordered by (start, duration, span id); spans only reachable
     through a cycle are left out.
     """
-    base = materialize(unique_spans(spans.select(*_WATERFALL)))
+    base = unique_spans(materialize(spans.select(*_WATERFALL)))
     nodes = _with_tops(base).select(
         "*",
         F.col("parent_span_id").alias("parent"),
@@ -211,7 +230,7 @@ def waterfall(spans: DataFrame, trace_id: str) -> DataFrame:
 def shape_paths(spans: DataFrame, match: EntryMatch = EntryMatch()) -> DataFrame:
     """Each span below its trace's anchor: ``path`` of (service, name) hops, offset, duration."""
     needed = ["trace_id", "span_id", "parent_span_id", "service", "name", "kind", "start_ns", "duration_ns", "status"]
-    base = materialize(unique_spans(spans.select(*needed)))
+    base = unique_spans(materialize(spans.select(*needed)))
     anchor = anchors(base, match).withColumn("_anchor", F.lit(True))
     # the anchor's start reaches the spans below it as the first hop of their path
     nodes = base.join(anchor, ["trace_id", "span_id", "start_ns"], "left").select(

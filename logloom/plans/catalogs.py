@@ -174,16 +174,16 @@ from refs r left join known k on k.ref = r.ref""",
  array_to_string(list_sort(list(name)), ', ') as names from catalog group by 1""",
     "lint_monitors": f"""with {_MONITORS_SQL},
 w as (select *, d->>'$.window' t, try_cast(regexp_extract(d->>'$.window', '^Last (\\d+) ', 1) as bigint)
-        * case when d->>'$.window' like '%hours' then 60 when d->>'$.window' like '%days' then 1440 else 1 end minutes from m),
+        * case when d->>'$.window' like '%hours' then 60 when d->>'$.window' like '%days' then 1440 else 1 end mins from m),
 a as (select o_orderkey, generate_subscripts(l, 1) - 1 i, unnest(l) v from (select o_orderkey, (d->'$.actions')::json[] l from m)),
 q as (select o_orderkey, generate_subscripts(l, 1) - 1 i, unnest(l) v from (select o_orderkey, (d->'$.queries')::json[] l from m))
 select o_orderkey, 'missing required field "name"' problem from m where d->>'$.name' is null
 union all select o_orderkey, 'missing required field "threshold"' from m where d->>'$.threshold' is null
 union all select o_orderkey, concat('comparison_operator "', d->>'$.comparison_operator', '" is not known') from m
   where d->>'$.comparison_operator' not in ('BELOW', 'BELOW_OR_EQUAL', 'ABOVE', 'ABOVE_OR_EQUAL', 'EQUAL', 'NOT_EQUAL')
-union all select o_orderkey, concat('window "', t, '" must look like "Last 10 minutes"') from w where minutes is null
-union all select o_orderkey, concat('window "', t, '" below the 5-minute minimum') from w where minutes < 5
-union all select o_orderkey, concat('window "', t, '" above the one-day maximum') from w where minutes > 1440
+union all select o_orderkey, concat('window "', t, '" must look like "Last 10 minutes"') from w where mins is null
+union all select o_orderkey, concat('window "', t, '" below the 5-minute minimum') from w where mins < 5
+union all select o_orderkey, concat('window "', t, '" above the one-day maximum') from w where mins > 1440
 union all select o_orderkey, 'actions must be a non-empty array' from m where json_array_length(d->'$.actions') = 0
 union all select o_orderkey, concat('actions[', i, ']: not an object') from a where json_type(v) <> 'OBJECT'
 union all select o_orderkey, concat('actions[', i, ']: EMAIL action needs an email') from a

@@ -293,6 +293,22 @@ from words w left join unknown u on u.name = w.name left join best b on b.name =
 m as (select doc_id, line_no, trim(line) line, {_mask_sql('line')} as template from document_lines)
 select template, count(*) as count, arg_min(line, struct_pack(d := doc_id, l := line_no)) example from m
 where template <> '' group by 1""",
+    "template_clusters": f"""with recursive {LOG_EVENTS_SQL},
+t as (select raw, event_time, sequence, string_split({_mask_sql('raw')}, ' ') as w from log_events),
+l as (select *, len(w) arity, row_number() over (partition by len(w) order by event_time, sequence) rn from t),
+walk(arity, i, c) as (
+  select distinct arity, cast(0 as bigint), cast([] as struct(t varchar[], n bigint, e varchar)[]) from l where arity > 1
+  union all
+  select arity, rn, case when best is null or hits[best] * 2 < arity then list_append(c, struct_pack(t := w, n := 1, e := raw))
+    else list_transform(c, lambda x, j: case when j <> best then x else struct_pack(
+      t := list_transform(x.t, lambda y, p: case when y = w[p] then y else '<*>' end), n := x.n + 1, e := x.e) end) end
+  from (select *, list_position(hits, list_max(hits)) best from (
+    select l.arity, l.rn, l.w, l.raw, k.c, list_transform(k.c, lambda x:
+      len(list_filter(range(1, l.arity + 1), lambda p: x.t[p] = l.w[p] or x.t[p] = '<*>'))) hits
+    from walk k join l on l.arity = k.arity and l.rn = k.i + 1))),
+final as (select arity, unnest(arg_max(c, i)) s from walk group by 1)
+select array_to_string(s.t, ' ') as template, s.n as count, s.e example from final
+union all select w[1], count(*), arg_min(raw, struct_pack(a := event_time, b := sequence)) from l where arity = 1 group by 1""",
     "template_counts_urls": f"""with m as (select page_id, replace(url, '?', ' ') line from pages)
 select {_mask_sql('line')} as template, count(*) as count, arg_min(line, page_id) example from m group by 1""",
 }

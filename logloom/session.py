@@ -1,8 +1,9 @@
-"""Session settings the library relies on, and the folder for reliable checkpoints."""
+"""Session for local runs, and the shared folder for intermediate tables."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,15 +43,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and cut its lineage there.
+    """Write ``df`` once as a table in the shared folder and go on from there.
 
-    Used where a result feeds several later steps: it survives lost executors
-    and is not computed again.
+    Used where a result feeds several later steps: it survives lost executors,
+    is not computed again, and later reads are columnar and pruned. The folder
+    is named after the application, so it can be removed when that has ended.
     """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def small_enough(df: DataFrame, limit: int = 200_000) -> bool:

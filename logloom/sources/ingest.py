@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.operators.ranking import running
-from logloom.sources.lines import trimmed
+from logloom.sources.lines import trimmed, with_once
 
 # Default batch caps.
 MAX_EVENTS = 500
@@ -35,7 +35,7 @@ def normalize_ingest(df: DataFrame, as_of: datetime, line: str = "value") -> Dat
     """
     stamp = as_of.astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     raw = F.col(f"`{line}`")
-    staged = df.withColumn("_object", _whole_object(raw))
+    staged = with_once(df, "_object", _whole_object(raw))
     obj = F.col("_object")
     own_message = F.try_variant_get(obj, "$.message", "variant")
     own_stamp = F.try_variant_get(obj, "$.timestamp", "variant")

@@ -21,52 +21,64 @@ def _let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def json_object(text: Column) -> Column:
-    """``MAP<STRING, VARIANT>`` of a JSON object, NULL for anything else.
+def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed exactly once per row.
 
-    Text after the object is tolerated. An object nested in it that repeats a
-    key has no variant form, so such a line counts as plain text.
+    It comes out of a one-row ``inline``, which the optimizer does not fold into
+    later expressions: a parse used by many of them would otherwise be repeated
+    in each. Filters on other columns still reach the scan.
     """
-    return F.when(
-        F.startswith(text, F.lit("{")), F.from_json(text, "map<string,variant>", _STRICT)
+    return df.select("*", F.inline(F.array(F.struct(value.alias(name)))))
+
+
+def json_object(line: str, first: str) -> Column:
+    """VARIANT of the JSON object in column ``line``, NULL for anything else.
+
+    ``first`` holds the result of ``try_parse_json``, which tolerates text after
+    the object but not a repeated key. Only that needs the second parser here,
+    and keeps the last value. An object nested in the line's object that repeats
+    a key has no variant form; such a line counts as plain text.
+    """
+    repeats = F.to_variant_object(
+        _let(F.map_entries(F.from_json(line, "map<string,variant>", _STRICT)), _last_wins)
     )
+    broken = F.startswith(line, F.lit("{")) & F.col(first).isNull()
+    return F.when(broken, repeats).otherwise(F.col(first))
 
 
 def _entries(object_map: Column, prefix: Column | None = None) -> Column:
-    def entry(e: Column) -> Column:
-        key = e["key"] if prefix is None else F.concat(prefix, F.lit("."), e["key"])
-        return F.struct(key.alias("key"), e["value"].alias("value"))
+    """Entries with their text, and the fields inside when the value is an object."""
 
-    return F.transform(F.map_entries(object_map), entry)
+    def with_text(e: Column) -> Column:
+        key = e["key"] if prefix is None else F.concat(prefix, F.lit("."), e["key"])
+        return F.struct(
+            key.alias("key"), e["value"].cast("string").alias("text"), e["value"].alias("value")
+        )
 
+    def opened(e: Column) -> Column:
+        inside = F.when(
+            F.startswith(e["text"], F.lit("{")), e["value"].try_cast("map<string,variant>")
+        )
+        return F.struct(e["key"].alias("key"), e["text"].alias("value"), inside.alias("sub"))
 
-def _as_text(e: Column) -> Column:
-    return F.struct(e["key"].alias("key"), e["value"].cast("string").alias("value"))
+    return F.transform(F.transform(F.map_entries(object_map), with_text), opened)
 
 
-def _is_object(e: Column) -> Column:
-    return F.startswith(F.schema_of_variant(e["value"]), F.lit("OBJECT"))
+def _as_text(e: Column) -> Column:
+    return F.struct(e["key"].alias("key"), e["value"].alias("value"))
 
 
 def _split_level(entries: Column) -> Column:
     """Text leaves of one level, and the entries found inside its objects."""
-
-    def opened(e: Column) -> Column:
-        return _entries(e["value"].cast("map<string,variant>"), e["key"])
-
-    def split(objects: Column) -> Column:
-        return F.struct(
-            F.when(F.size(objects) == 0, F.transform(entries, _as_text))
-            .otherwise(F.transform(F.filter(entries, lambda e: ~_is_object(e)), _as_text))
-            .alias("leaves"),
-            F.flatten(F.transform(objects, opened)).alias("open"),
-        )
-
-    return _let(F.filter(entries, _is_object), split)
+    objects = F.filter(entries, lambda e: e["sub"].isNotNull())
+    return F.struct(
+        F.transform(F.filter(entries, lambda e: e["sub"].isNull()), _as_text).alias("leaves"),
+        F.flatten(F.transform(objects, lambda e: _entries(e["sub"], e["key"]))).alias("open"),
+    )
 
 
-def flatten(object_map: Column, max_depth: int = 8, depth: Column | None = None) -> Column:
-    """Nested objects of a ``MAP<STRING, VARIANT>`` -> ``MAP<STRING, STRING>`` with dotted keys.
+def flatten(json: Column, max_depth: int = 8, depth: Column | None = None) -> Column:
+    """A VARIANT object -> ``MAP<STRING, STRING>`` with dotted keys.
 
     Arrays and scalars are leaves (arrays as JSON text), empty objects vanish,
     explicit nulls stay as keys, a repeated key keeps the last value, and an
@@ -88,7 +100,7 @@ def flatten(object_map: Column, max_depth: int = 8, depth: Column | None = None)
     def finish(acc: Column) -> Column:
         return F.concat(acc["leaves"], F.transform(acc["open"], _as_text))
 
-    first = _let(_entries(object_map), _split_level)
+    first = _let(_entries(F.try_variant_get(json, "$", "map<string,variant>")), _split_level)
     rounds = F.slice(F.sequence(F.lit(1), F.lit(max_depth)), 2, F.greatest(levels - 1, F.lit(0)))
     return _let(F.aggregate(rounds, first, deeper, finish), _last_wins)
 
@@ -107,26 +119,6 @@ def _last_wins(entries: Column) -> Column:
     return F.map_from_entries(F.when(repeated, last_only).otherwise(entries))
 
 
-def parse_fields(text: Column, max_depth: int = 8) -> Column:
-    """Flattened fields of one line, an empty map for plain text.
-
-    A line with a single brace has nothing to flatten and skips the variant form.
-    """
-    flat = _let(
-        F.from_json(text, "map<string,string>", _STRICT),
-        lambda m: F.when(
-            F.size(F.array_distinct(F.map_keys(m))) < F.size(m), _last_wins(F.map_entries(m))
-        ).otherwise(m),
-    )
-    braces = F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit("")))
-    nested = flatten(json_object(text), max_depth, braces)
-    parsed = F.when(
-        F.startswith(text, F.lit("{")),
-        F.when(F.locate("{", text, 2) == 0, flat).otherwise(nested),
-    )
-    return F.coalesce(parsed, F.create_map().cast("map<string,string>"))
-
-
 def _key_paths(name: str) -> list[list[str]]:
     """Every way to read a dotted name: a literal key, nested keys, or a mix."""
     parts = name.split(".")
@@ -136,37 +128,24 @@ def _key_paths(name: str) -> list[list[str]]:
     return paths
 
 
-def pick_fields(text: Column, names: list[str]) -> Column:
-    """Only the named fields of a line, as ``MAP<STRING, STRING>`` without absent or null ones.
+def pick_fields(json: Column, names: list[str]) -> Column:
+    """Only the named fields of a VARIANT object as ``MAP<STRING, STRING>``, null when absent.
 
-    Reads the requested paths out of one parse instead of flattening the object.
+    The paths are read straight from the variant, and a lookup in this map is
+    simplified to the one path it asks for.
     """
 
-    def leaf(value: Column) -> Column:
-        return F.when(
-            ~F.startswith(F.schema_of_variant(value), F.lit("OBJECT")), value.cast("string")
-        )
-
-    def read(fields: Column, path: list[str]) -> Column:
-        value = F.try_element_at(fields, F.lit(path[0]))
-        if len(path) > 1:
-            steps = "".join('["%s"]' % key.replace('"', '\\"') for key in path[1:])
-            value = F.try_variant_get(value, "$" + steps, "variant")
-        return leaf(value)
+    def read(path: list[str]) -> Column:
+        at = "$" + "".join('["%s"]' % k.replace("\\", "\\\\").replace('"', '\\"') for k in path)
+        value = F.try_variant_get(json, at, "string")
+        # an object is not a field, what is inside it is
+        inside = F.try_variant_get(json, at, "map<string,variant>")
+        return F.when(~F.startswith(value, F.lit("{")) | inside.isNull(), value)
 
-    def picked(fields: Column) -> Column:
-        pairs = []
-        for name in names:
-            value = F.coalesce(*[read(fields, path) for path in _key_paths(name)])
-            pairs.append(F.struct(F.lit(name).alias("key"), value.alias("value")))
-        return F.map_from_entries(F.filter(F.array(*pairs), lambda e: e["value"].isNotNull()))
-
-    def unique(fields: Column) -> Column:
-        repeated = F.size(F.array_distinct(F.map_keys(fields))) < F.size(fields)
-        return F.when(repeated, _last_wins(F.map_entries(fields))).otherwise(fields)
-
-    parsed = _let(_let(json_object(text), unique), picked)
-    return F.coalesce(parsed, F.create_map().cast("map<string,string>"))
+    pairs = []
+    for name in names:
+        pairs += [F.lit(name), F.coalesce(*[read(path) for path in _key_paths(name)])]
+    return F.create_map(*pairs)
 
 
 def parse_lines(
@@ -176,21 +155,27 @@ def parse_lines(
 
     Blank lines are dropped. ``raw`` is the trimmed line, unless the object has
     an ``@raw`` field of its own. With ``fields``, ``attrs`` holds just those
-    (and an own ``@raw``), which is several times cheaper: name them when a query uses a known few.
+    (null when absent) and ``@raw``, which is several times cheaper: name them when a query uses a known few.
 
-    The parsed column comes out of a one-row ``inline``: a filter on it runs
-    after the parse instead of being inlined into copies of it, while filters
-    on other columns still reach the scan.
+    The parse is computed once per row (:func:`with_once`).
     """
     rest = [F.col(f"`{c}`") for c in df.columns if c not in (line, "raw", "attrs")]
     text = df.select(*rest, trimmed(F.col(f"`{line}`")).alias("_line")).filter("_line <> ''")
+    looks = F.startswith("_line", F.lit("{"))
+    staged = with_once(text, "_first", F.when(looks, F.try_parse_json("_line")))
+    json = json_object("_line", "_first")
     if fields is not None and all(name.count(".") <= 4 for name in fields):
-        attrs = pick_fields(F.col("_line"), list(dict.fromkeys([*fields, "@raw"])))
+        attrs = pick_fields(json, list(dict.fromkeys([*fields, "@raw"])))
+        own = attrs["@raw"]
     else:
-        attrs = parse_fields(F.col("_line"), max_depth)
-    parsed = text.select(*rest, "_line", F.inline(F.array(F.struct(attrs.alias("attrs")))))
-    own = F.try_element_at(F.col("attrs"), F.lit("@raw"))
-    return parsed.select(*rest, F.coalesce(own, F.col("_line")).alias("raw"), "attrs")
+        braces = F.length("_line") - F.length(F.replace("_line", F.lit("{"), F.lit("")))
+        flat = F.when(json.isNotNull(), flatten(json, max_depth, braces)).otherwise(
+            F.create_map().cast("map<string,string>")
+        )
+        staged = with_once(staged, "attrs", flat)
+        attrs = F.col("attrs")
+        own = F.try_element_at(attrs, F.lit("@raw"))
+    return staged.select(*rest, F.coalesce(own, F.col("_line")).alias("raw"), attrs.alias("attrs"))
 
 
 def read_lines(

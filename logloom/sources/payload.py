@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logloom.sources.lines import with_once
+
 
 def payload_rows(df: DataFrame, column: str, keys: list[str] = ()) -> DataFrame:
     """One output row per element of the array inside a JSON payload.
@@ -28,7 +30,7 @@ def payload_rows(df: DataFrame, column: str, keys: list[str] = ()) -> DataFrame:
     choices.append(F.when(is_array(F.col("_p")), F.col("_p")))
     choices.append(F.when(F.size(arrays) == 1, F.try_element_at(arrays, F.lit(1))))
     rest = [F.col(f"`{c}`") for c in df.columns if c != column]
-    staged = df.select(*rest, payload.alias("_p")).filter("_p is not null")
+    staged = with_once(df, "_p", payload).filter("_p is not null")
     elements = F.coalesce(
         F.try_variant_get(F.coalesce(*choices), "$", "array<variant>"), F.array("_p")
     )
@@ -45,7 +47,7 @@ def extract_path(df: DataFrame, column: str, path: str, out: str = "value") -> D
     """
     steps = path.split("[*]")
     rest = [F.col(f"`{c}`") for c in df.columns if c != column]
-    current = df.select(*rest, F.try_parse_json(F.col(f"`{column}`")).alias("_v"))
+    current = with_once(df, "_v", F.try_parse_json(F.col(f"`{column}`")))
     for i, step in enumerate(steps):
         at = "$" + (step[1:] if step.startswith("$") else step)
         value = F.col("_v") if at == "$" else F.try_variant_get(F.col("_v"), at, "variant")
