@@ -98,10 +98,15 @@ def flatten(json: Column, max_depth: int = 8, depth: Column | None = None) -> Co
         )
 
     def finish(acc: Column) -> Column:
-        return F.concat(acc["leaves"], F.transform(acc["open"], _as_text))
-
-    first = _let(_entries(F.try_variant_get(json, "$", "map<string,variant>")), _split_level)
-    rounds = F.slice(F.sequence(F.lit(1), F.lit(max_depth)), 2, F.greatest(levels - 1, F.lit(0)))
+        left = F.filter(acc["open"], lambda e: e["sub"].isNull() | (F.size(e["sub"]) > 0))
+        return F.concat(acc["leaves"], F.transform(left, _as_text))
+
+    top = _entries(F.try_variant_get(json, "$", "map<string,variant>"))
+    if max_depth < 2:
+        return _let(F.transform(top, _as_text), _last_wins)
+    # the first split yields level 2, every round opens one more
+    first = _let(top, _split_level)
+    rounds = F.slice(F.sequence(F.lit(1), F.lit(max_depth)), 2, F.greatest(levels - 2, F.lit(0)))
     return _let(F.aggregate(rounds, first, deeper, finish), _last_wins)
 
 
