@@ -15,18 +15,20 @@ LIMIT = 100
 CONTEXT = 50
 
 
-def _tie(df: DataFrame) -> Column:
-    return F.coalesce("sequence", F.lit(0)) if "sequence" in df.columns else F.lit(0)
+def _time_order(df: DataFrame) -> list[Column]:
+    """Time, then sequence where there is one (absent counts as 0)."""
+    ties = [F.coalesce("sequence", F.lit(0))] if "sequence" in df.columns else []
+    return [F.col("event_time"), *ties]
 
 
 def chronological(df: DataFrame) -> DataFrame:
     """By time, then sequence (an absent one counts as 0)."""
-    return df.orderBy(F.asc("event_time"), _tie(df).asc())
+    return df.orderBy(*[c.asc() for c in _time_order(df)])
 
 
 def recent(df: DataFrame, n: int | None = LIMIT) -> DataFrame:
     """Newest first; with ``n`` a top-n, not a full sort."""
-    ordered = df.orderBy(F.desc("event_time"), _tie(df).desc())
+    ordered = df.orderBy(*[c.desc() for c in _time_order(df)])
     return ordered if n is None else ordered.limit(n)
 
 
