@@ -75,7 +75,7 @@ def catalog_stats(df: DataFrame, column: str = "definition") -> DataFrame:
     body = F.col("_body")
 
     def size_of(path: str):
-        return F.size(F.try_variant_get(body, path, "array<variant>")).cast("bigint")
+        return F.size(F.try_variant_get(body, path, "array<variant>"))
 
     logins = F.transform(
         F.map_values(F.try_variant_get(body, "$.last_logins", "map<string,variant>")),

@@ -14,6 +14,8 @@ from logloom.functions.text import bucket_time
 LEADING = ("@time", "@status")
 RAW_DROP_THRESHOLD = 3
 
+CORE_FIELDS_BY_COLUMN = {column: key for key, column in CORE_FIELDS.items()}
+
 
 def select(df: DataFrame, names: list[str]) -> DataFrame:
     """The named columns or fields as columns; an absent field reads as null."""
@@ -30,26 +32,29 @@ def keep_fields(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def as_row_json(df: DataFrame, names: list[str] | None = None) -> Column:
-    """A row as one JSON object: core keys, then fields; absent and null keys are left out."""
-    entries = []
-    by_column = {c: k for k, c in CORE_FIELDS.items()}
-    typed = [c for c in df.columns if c != "attrs"]
-    for c in typed:
-        key = by_column.get(c, c)
-        if names is None or key in names or c in names:
-            entries.append(F.col(f"`{c}`").alias(key if names is None or key in names else c))
-    plain = F.to_json(F.struct(*entries)) if entries else F.lit("{}")
-    if "attrs" not in df.columns:
-        return plain
-    attrs = F.map_filter(F.col("attrs"), lambda _, v: v.isNotNull())
+    """A row as one JSON object; absent and null keys are left out.
+
+    Core keys come first, then the fields by name; ``names`` picks keys, in its order.
+    """
+    by_key = {CORE_FIELDS_BY_COLUMN.get(c, c): c for c in df.columns if c != "attrs"}
+    with_attrs = "attrs" in df.columns
     if names is not None:
-        wanted = F.array(*[F.lit(n) for n in names]).cast("array<string>")
-        attrs = F.map_filter(attrs, lambda k, _: F.array_contains(wanted, k))
+        picked = []
+        for name in names:
+            if name in by_key or name in df.columns:
+                picked.append(F.col(f"`{by_key.get(name, name)}`").alias(name))
+            elif with_attrs:
+                picked.append(F.col("attrs")[name].alias(name))
+        return F.to_json(F.struct(*picked)) if picked else F.lit("{}")
+    typed = [F.col(f"`{c}`").alias(k) for k, c in by_key.items()]
+    plain = F.to_json(F.struct(*typed)) if typed else F.lit("{}")
+    if not with_attrs:
+        return plain
+    present = F.filter(F.map_entries("attrs"), lambda e: e["value"].isNotNull())
+    attrs = F.to_json(F.map_from_entries(F.array_sort(present)))
     # two JSON objects side by side, without their inner braces
-    head = F.substring(plain, 2, 2**30)
-    head = F.substr(head, F.lit(1), F.length(head) - 1)
-    tail = F.to_json(attrs)
-    tail = F.substr(tail, F.lit(2), F.length(tail) - 2)
+    head = F.substr(plain, F.lit(2), F.length(plain) - 2)
+    tail = F.substr(attrs, F.lit(2), F.length(attrs) - 2)
     parts = F.filter(F.array(head, tail), lambda p: p != "")
     return F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))
 

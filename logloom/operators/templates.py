@@ -230,15 +230,14 @@ def template_clusters(
     ``similarity`` of them, and differing positions become wildcards; else it
     starts a cluster. ``order`` must be unique per line.
     """
-    grouped = _forms(df, line, order).withColumn("arity", F.size("tokens"))
-    forms = materialize(running(grouped, ["arity"], ["first"], rank="position"))
+    grouped = materialize(_forms(df, line, order).withColumn("arity", F.size("tokens")))
     # one token can only equal or differ: its clusters are the forms themselves
     literal_wildcard = (F.col("arity") == 1) & (F.col("tokens")[0] == WILDCARD)
-    if similarity > 0 and forms.filter(literal_wildcard).isEmpty():
-        single, forms = forms.filter("arity = 1"), forms.filter("arity > 1")
+    simple = None
+    if similarity > 0 and grouped.filter(literal_wildcard).isEmpty():
+        single, grouped = grouped.filter("arity = 1"), grouped.filter("arity > 1")
         simple = single.select(F.col("tokens")[0].alias("template"), "count", "example")
-    else:
-        simple = None
+    forms = materialize(running(grouped, ["arity"], ["first"], rank="position"))
     versions = _cluster_versions(forms, similarity)
     keyed = forms.select("arity", "position", "tokens")
     steps = materialize(

@@ -20,6 +20,7 @@ from logloom.streaming import ingest as si
 from logloom.streaming import live, tail
 
 # Longer than the whole table spans: a replay in any file order loses nothing.
+# The keys then stay in state to the end, on disk in RocksDB rather than on the heap.
 REPLAY = "3650 days"
 
 
@@ -44,6 +45,7 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _appended(spark: SparkSession, stream: DataFrame) -> DataFrame:
     """Run an append stream to its end and read the result."""
+    live.use_rocksdb(spark)
     where = _workspace(spark)
     writer = stream.writeStream.outputMode("append").format("parquet").option("path", f"{where}/out")
     tail.catch_up(writer, f"{where}/checkpoint")
@@ -51,6 +53,7 @@ def _appended(spark: SparkSession, stream: DataFrame) -> DataFrame:
 
 
 def _updated(spark: SparkSession, stream: DataFrame, keys: list[str]) -> DataFrame:
+    live.use_rocksdb(spark)
     where = _workspace(spark)
     tail.catch_up(live.upsert_files(stream, f"{where}/out"), f"{where}/checkpoint")
     return live.latest_rows(spark, f"{where}/out", keys)
@@ -97,7 +100,6 @@ def _monitor(spark, sf_dir):
 
 def _trend(spark, sf_dir):
     """Daily counts per type as ticks; the stream of ticks keeps a 12-value history."""
-    live.use_rocksdb(spark)
     events = table(spark, sf_dir, "events")
     daily = events.groupBy(
         F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"), "event_type"

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from logloom.sources.ingest import MAX_EVENTS, normalize_ingest
+from logloom.sources.ingest import normalize_ingest
 from logloom.sources.lines import trimmed
 
 
@@ -18,12 +18,18 @@ def read_line_stream(spark: SparkSession, path: str, files_per_batch: int = 1000
 
 
 def stream_ingest(
-    lines: DataFrame, dst: str, as_of: datetime, dataset: str, collection: str = "default"
+    lines: DataFrame,
+    dst: str,
+    as_of: datetime,
+    dataset: str,
+    collection: str = "default",
+    max_events: int | None = None,
 ) -> DataStreamWriter:
     """Normalise lines and append them as gzip NDJSON.
 
     The checkpoint makes the sink exactly-once; the trigger takes the place of
-    the count, byte and time flushes of a single sender.
+    the count, byte and time flushes of a single sender. ``max_events`` cuts the
+    files of a batch; leave it out for files worth reading at scale.
     """
     kept = lines.filter(trimmed(F.col("value")) != "")
     events = normalize_ingest(kept, as_of).select(
@@ -31,11 +37,11 @@ def stream_ingest(
         F.lit(collection).alias("collection"),
         F.lit(dataset).alias("dataset"),
     )
-    return (
+    writer = (
         events.writeStream.format("text")
         .outputMode("append")
         .partitionBy("collection", "dataset")
         .option("compression", "gzip")
-        .option("maxRecordsPerFile", MAX_EVENTS)
         .option("path", dst)
     )
+    return writer.option("maxRecordsPerFile", max_events) if max_events else writer
