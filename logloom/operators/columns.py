@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from logloom.functions.coerce import to_number0
 from logloom.functions.predicates import CORE_FIELDS, field
 from logloom.functions.text import bucket_time
+from logloom.operators.ranking import running
 
 # Columns that lead a listing, and how many others push @raw out.
 LEADING = ("@time", "@status")
@@ -145,6 +146,28 @@ def rank_columns(df: DataFrame, cap: int = 8) -> DataFrame:
     ).orderBy("position")
 
 
+def listed_columns(df: DataFrame, order: list[str], cap: int = 0) -> DataFrame:
+    """Every field as ``position``, ``key`` in the order rows show it, alphabetical inside a row.
+
+    ``@time``, ``@status`` and ``@raw`` lead. With ``cap`` only the first few.
+    """
+    lead = [*LEADING, "@raw"]
+    core = F.array(*[
+        F.when(F.col(CORE_FIELDS[key]).isNotNull(), F.lit(key))
+        for key in lead
+        if CORE_FIELDS[key] in df.columns
+    ]).cast("array<string>")
+    names = F.concat(F.filter(core, lambda k: k.isNotNull()), F.map_keys("attrs"))
+    keys = df.select(F.explode(F.array_distinct(names)).alias("key"), F.struct(*order).alias("_seen"))
+    first = keys.groupBy("key").agg(F.min("_seen").alias("_seen"))
+    place = F.array_position(F.array(*[F.lit(k) for k in lead]), F.col("key"))
+    ranked = first.withColumn("_place", F.when(place == 0, len(lead) + 1).otherwise(place))
+    ranked = ranked.withColumn("_seen", F.when(place == 0, F.col("_seen")))
+    if cap > 0:
+        ranked = ranked.orderBy("_place", "_seen", "key").limit(cap)
+    return running(ranked, [], ["_place", "_seen", "key"], rank="position").select("position", "key")
+
+
 def expand_rows(df: DataFrame, priority: list[str], keep: list[str] = ()) -> DataFrame:
     """One row per (event, field): priority fields first, the rest alphabetically."""
     order = F.array(*[F.lit(p) for p in priority]).cast("array<string>")

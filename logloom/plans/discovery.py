@@ -163,6 +163,7 @@ QUERIES = {
     "merge_profiles": _merge_profiles,
     "column_ranking": lambda s, d: co.rank_columns(parsed_events(s, d)),
     "column_ranking_narrow": lambda s, d: co.rank_columns(parsed_events(s, d), 4),
+    "listed_columns": lambda s, d: co.listed_columns(parsed_events(s, d), ["event_time", "sequence"]),
     "expanded_rows": _expanded,
     "kept_fields": _kept,
     "selected_fields": lambda s, d: co.select(parsed_events(s, d, ["type", "http.status"]), ["sequence", "type", "http.status"]),
@@ -254,6 +255,11 @@ select row_number() over (order by case key when '@time' then 0 when '@status' t
 r as (select row_number() over (order by case key when '@time' then 0 when '@status' then 1 else 2 end, present desc, variety desc, key) as position,
  key, present, variety from s order by 1 limit 3)
 select * from r union all select 4, '@raw', count(*), 1 from log_events""",
+    "listed_columns": f"""with {LOG_EVENTS_SQL}, {_ENTRIES}, s as (
+ select e.key, min(struct_pack(t := l.event_time, s := l.sequence)) seen from entries e join log_events l on l.sequence = e.sequence
+ group by 1),
+r as (select key, 4 place, seen from s union all select '@time', 1, null union all select '@status', 2, null union all select '@raw', 3, null)
+select row_number() over (order by place, seen, key) as position, key from r""",
     "expanded_rows": f"""with {LOG_EVENTS_SQL}, {_ENTRIES}
 select sequence, row_number() over (partition by sequence order by case key when 'type' then 0 when 'k' then 1 else 2 end, key) as position,
  key, value from entries""",

@@ -124,6 +124,12 @@ def _last_wins(entries: Column) -> Column:
     return F.map_from_entries(F.when(repeated, last_only).otherwise(entries))
 
 
+def _pickable(name: str) -> bool:
+    """Whether a name can be read by path: few dots, and no quotes or empty parts."""
+    parts = name.split(".")
+    return len(parts) <= 5 and all(parts) and not set(name) & set("\"\\")
+
+
 def _key_paths(name: str) -> list[list[str]]:
     """Every way to read a dotted name: a literal key, nested keys, or a mix."""
     parts = name.split(".")
@@ -141,7 +147,7 @@ def pick_fields(json: Column, names: list[str]) -> Column:
     """
 
     def read(path: list[str]) -> Column:
-        at = "$" + "".join('["%s"]' % k.replace("\\", "\\\\").replace('"', '\\"') for k in path)
+        at = "$" + "".join(f'["{key}"]' for key in path)
         value = F.try_variant_get(json, at, "string")
         # an object is not a field, what is inside it is
         inside = F.try_variant_get(json, at, "map<string,variant>")
@@ -169,7 +175,7 @@ def parse_lines(
     looks = F.startswith("_line", F.lit("{"))
     staged = with_once(text, "_first", F.when(looks, F.try_parse_json("_line")))
     json = json_object("_line", "_first")
-    if fields is not None and all(name.count(".") <= 4 for name in fields):
+    if fields is not None and all(_pickable(name) for name in fields):
         attrs = pick_fields(json, list(dict.fromkeys([*fields, "@raw"])))
         own = attrs["@raw"]
     else:

@@ -40,6 +40,13 @@ def test_rank_columns(spark):
     assert ranked(spark, varied) == ["varied", "constant"]
 
 
+def test_listed_columns(spark):
+    df = events(spark, [{"@raw": "r", "z": "1", "b": "2"}, {"@time": "t", "a": "3", "z": None}]).withColumn("n", F.monotonically_increasing_id())
+    got = [r["key"] for r in co.listed_columns(df.coalesce(1), ["n"]).orderBy("position").collect()]
+    assert got == ["@time", "@raw", "b", "z", "a"]
+    assert co.listed_columns(df, ["n"], 2).count() == 2
+
+
 def test_expand_and_keep(spark):
     df = spark.createDataFrame([(1, {"z": "1", "a": "2", "@time": "t"})], "id int, attrs map<string,string>")
     got = [(r["position"], r["key"]) for r in co.expand_rows(df, ["@time", "@status"], ["id"]).orderBy("position").collect()]

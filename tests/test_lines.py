@@ -79,6 +79,14 @@ def test_picked_fields_equal_the_flattened_ones(spark):
     assert sorted(map(str, full.collect())) == sorted(map(str, picked.collect()))
 
 
+def test_odd_names(spark):
+    lines = ['{"a\\"b":1,"a b":2,"$x":3,"":4,"a..b":5,"é[0]":6}']
+    names = ['a"b', "a b", "$x", "", "a..b", "é[0]"]
+    for fields in (names, ["a b", "$x", "é[0]"]):
+        attrs = parse_lines(numbered(spark, lines), fields=fields).first()["attrs"]
+        assert [attrs[n] for n in names if n in fields] == [str(names.index(n) + 1) for n in names if n in fields]
+
+
 def test_depth_limit_keeps_json(spark):
     df = parse_lines(numbered(spark, ['{"a":{"b":{"c":{"d":1}}}}']), max_depth=2)
     assert df.first()["attrs"] == {"a.b": '{"c":{"d":1}}'}

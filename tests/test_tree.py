@@ -152,6 +152,16 @@ def test_random_forests(spark):
     assert got == expected
 
 
+def test_one_trace_with_most_spans(spark):
+    rows = [("hot", "root", "", "in", "gw", "SERVER", 10, 900, 0, "")]
+    rows += [("hot", f"k{i}", "root", f"op{i % 3}", "db", "CLIENT", 10 + i, 5, 0, "") for i in range(4000)]
+    rows += [(f"t{i}", "r", "", "in", "gw", "SERVER", 10, 50, 0, "") for i in range(50)]
+    shape = {r["name"]: (r["samples"], r["traces"], r["depth"]) for r in tr.shape(table(spark, rows)).collect()}
+    assert shape == {"in": (51, 51, 0), "op0": (1334, 1, 1), "op1": (1333, 1, 1), "op2": (1333, 1, 1)}
+    hot = tr.waterfall(table(spark, rows), "hot").collect()
+    assert [r["span_id"] for r in hot] == ["root"] + [f"k{i}" for i in range(4000)]
+
+
 def test_deep_chain_takes_few_rounds(spark, monkeypatch):
     rounds = []
     keep = tr._split_counts
