@@ -24,7 +24,9 @@ def resolve_refs(refs: DataFrame, catalog: DataFrame) -> DataFrame:
     named = catalog.groupBy("name").agg(
         F.count(F.lit(1)).alias("matches"), F.min("id").alias("id")
     )
-    placed = catalog.groupBy(F.concat_ws("/", "collection", "name").alias("ref")).agg(
+    # a reference is cut at its first slash
+    plain = catalog.filter(~F.contains("collection", F.lit("/")))
+    placed = plain.groupBy(F.concat_ws("/", "collection", "name").alias("ref")).agg(
         F.lit(1).cast("bigint").alias("matches"), F.min("id").alias("id")
     )
     known = placed.unionByName(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.operators.ranking import running
-from logloom.sources.lines import trimmed, with_once
+from logloom.sources.lines import STRICT, last_wins, trimmed, with_once
 
 # Default batch caps.
 MAX_EVENTS = 500
@@ -17,13 +17,26 @@ MAX_BYTES = 1 << 20
 def _whole_object(line: Column) -> Column:
     """The line as VARIANT when it is one JSON object and nothing else, else NULL.
 
-    ``[line]`` only parses if no text follows the object.
+    The parsers stop after the first value, so the line is read as the first of
+    two array elements: text after the object would displace the second, its hash.
     """
-    wrapped = F.try_variant_get(
-        F.try_parse_json(F.concat(F.lit("["), line, F.lit("]"))), "$", "array<variant>"
+    seal = F.xxhash64(line).cast("string")
+    pair = F.try_variant_get(
+        F.try_parse_json(F.concat(F.lit("["), line, F.lit(","), seal, F.lit("]"))), "$", "array<variant>"
+    )
+    alone = (F.size(pair) == 2) & (F.try_element_at(pair, F.lit(2)).try_cast("string") == seal)
+    # a repeated key has no variant form: the last value counts
+    maps = F.from_json(
+        F.concat(F.lit("["), line, F.lit(',{"seal":'), seal, F.lit("}]")), "array<map<string,variant>>", STRICT
+    )
+    sealed = F.try_element_at(F.try_element_at(maps, F.lit(2)), F.lit("seal")).try_cast("string")
+    repeats = F.to_variant_object(last_wins(F.map_entries(F.try_element_at(maps, F.lit(1)))))
+    return F.when(
+        line.rlike(r"^[ \t]*\{"),
+        F.when(alone, F.try_element_at(pair, F.lit(1))).when(
+            pair.isNull() & (F.size(maps) == 2) & (sealed == seal), repeats
+        ),
     )
-    looks = line.rlike(r"^[ \t]*\{")
-    return F.when(looks & (F.size(wrapped) == 1), F.try_element_at(wrapped, F.lit(1)))
 
 
 def normalize_ingest(df: DataFrame, as_of: datetime, line: str = "value") -> DataFrame:

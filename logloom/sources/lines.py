@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 BLANKS = " \t\n\x0b\f\r\x85\xa0                　"
 
 # Strict JSON, except that text after the object is tolerated.
-_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
 def trimmed(line: Column) -> Column:
@@ -40,7 +40,7 @@ def json_object(line: str, first: str) -> Column:
     a key has no variant form; such a line counts as plain text.
     """
     repeats = F.to_variant_object(
-        _let(F.map_entries(F.from_json(line, "map<string,variant>", _STRICT)), _last_wins)
+        _let(F.map_entries(F.from_json(line, "map<string,variant>", STRICT)), last_wins)
     )
     broken = F.startswith(line, F.lit("{")) & F.col(first).isNull()
     return F.when(broken, repeats).otherwise(F.col(first))
@@ -103,14 +103,14 @@ def flatten(json: Column, max_depth: int = 8, depth: Column | None = None) -> Co
 
     top = _entries(F.try_variant_get(json, "$", "map<string,variant>"))
     if max_depth < 2:
-        return _let(F.transform(top, _as_text), _last_wins)
+        return _let(F.transform(top, _as_text), last_wins)
     # the first split yields level 2, every round opens one more
     first = _let(top, _split_level)
     rounds = F.slice(F.sequence(F.lit(1), F.lit(max_depth)), 2, F.greatest(levels - 2, F.lit(0)))
-    return _let(F.aggregate(rounds, first, deeper, finish), _last_wins)
+    return _let(F.aggregate(rounds, first, deeper, finish), last_wins)
 
 
-def _last_wins(entries: Column) -> Column:
+def last_wins(entries: Column) -> Column:
     def keys(e: Column) -> Column:
         return F.transform(e, lambda x: x["key"])
 
@@ -196,4 +196,4 @@ def read_lines(
     max_depth: int = 8,
 ) -> DataFrame:
     """NDJSON or plain-text files (any mix, gzip too) -> ``raw``, ``attrs``."""
-    return parse_lines(spark.read.text(path), "value", fields, max_depth)
+    return parse_lines(spark.read.text(path, lineSep="\n"), "value", fields, max_depth)

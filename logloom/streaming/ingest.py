@@ -14,7 +14,7 @@ from logloom.sources.lines import trimmed
 
 def read_line_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     """New text files under ``path`` as a stream of lines."""
-    return spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
+    return spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path, lineSep="\n")
 
 
 def stream_ingest(

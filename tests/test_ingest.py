@@ -22,15 +22,17 @@ def test_normalize(spark):
     lines = [
         "plain log line", '{"level":"info"}', "[1,2]", '{"message": 123}', '  \t{"message":"m","timestamp":"t"}',
         '{"a":1} trailing', '{"a":1},{"b":2}', '{"n":4367602734065516544,"message":"<&>"}', "{}",
+        '{"a":1}] junk', '{"a":1,"a":{"b":2}}', '{"a":1,"a":2} x', '{"a":1},5]',
     ]
     df = spark.createDataFrame(list(enumerate(lines)), "i int, value string")
     rows = {r["i"]: r for r in ig.normalize_ingest(df, AS_OF).collect()}
-    for i in (0, 2, 5, 6):
+    for i in (0, 2, 5, 6, 9, 11, 12):
         assert json.loads(rows[i]["event"]) == {"message": lines[i], "timestamp": STAMP}
     assert json.loads(rows[1]["event"]) == {"level": "info", "message": lines[1], "timestamp": STAMP}
     assert json.loads(rows[3]["event"])["message"] == lines[3]
     assert json.loads(rows[4]["event"]) == {"message": "m", "timestamp": "t"}
     assert '"n":4367602734065516544' in rows[7]["event"] and '"<&>"' in rows[7]["event"]
+    assert json.loads(rows[10]["event"]) == {"a": {"b": 2}, "message": lines[10], "timestamp": STAMP}
     assert json.loads(rows[8]["event"]) == {"message": "{}", "timestamp": STAMP}
 
 

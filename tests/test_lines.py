@@ -36,9 +36,10 @@ def test_offline_search(spark):
 
 def test_files_of_any_mix(spark, tmp_path):
     (tmp_path / "a.log").write_text("\n".join(LINES[:2]) + "\n\n   \n")
+    (tmp_path / "c.log").write_bytes(b"one\rline\r\n")
     with gzip.open(tmp_path / "b.log.gz", "wt") as f:
         f.write("  " + LINES[2] + "  \n" + LINES[3])
-    assert sorted(r["raw"] for r in read_lines(spark, str(tmp_path)).collect()) == sorted(LINES)
+    assert sorted(r["raw"] for r in read_lines(spark, str(tmp_path)).collect()) == sorted([*LINES, "one\rline"])
 
 
 def test_flatten(spark):
