@@ -43,38 +43,59 @@ def field(name: Field) -> Column:
     return F.col("attrs")[name]
 
 
-def _known(predicate: Column) -> Column:
-    return F.coalesce(predicate, F.lit(False))
+def _source(name: Field) -> Column:
+    """The column or map entry a field is read from, without a cast."""
+    if isinstance(name, Column):
+        return name
+    return F.col(CORE_FIELDS[name]) if name in CORE_FIELDS else field(name)
+
+
+def _present(value: Column, test: Column) -> Column:
+    """``test`` on a value that is there, FALSE otherwise; in a form that file scans understand."""
+    return value.isNotNull() & test
+
+
+def _number(name: Field) -> Column:
+    """Numeric value of a field; the typed sequence column needs no parsing."""
+    return F.col("sequence") if name == "@sequence" else to_number(field(name))
+
+
+def _literal(value) -> Column:
+    return F.lit(int(value) if float(value).is_integer() and abs(value) < 2**63 else float(value))
 
 
 def _is_number(value) -> bool:
     return isinstance(value, (int, float)) and not isinstance(value, bool)
 
 
-def _equals(text: Column, value) -> Column:
+def _equals(name: Field, value) -> Column:
+    """Equality, NULL or FALSE when the field is absent."""
     if isinstance(value, bool):
-        return text == ("true" if value else "false")
+        return field(name) == ("true" if value else "false")
     if _is_number(value):
         if math.isnan(value):
             return F.lit(False)
-        return F.coalesce(to_number(text) == F.lit(float(value)), F.lit(False))
-    return text == F.lit(value)
+        if name == "@sequence":
+            return F.col("sequence") == _literal(value)
+        return F.coalesce(_number(name) == F.lit(float(value)), F.lit(False))
+    return field(name) == F.lit(value)
 
 
 def eq(name: Field, value) -> Column:
     """Numeric equality for a number, exact text equality for a string or bool."""
-    return _known(_equals(field(name), value))
+    return _present(_source(name), _equals(name, value))
 
 
 def ne(name: Field, value) -> Column:
-    text = field(name)
-    return _known(text.isNotNull() & ~_equals(text, value))
+    return _present(_source(name), ~_equals(name, value))
 
 
 def _ordered(name: Field, value, compare) -> Column:
     if not _is_number(value) or math.isnan(value):
         return F.lit(False)
-    return _known(compare(to_number(field(name)), F.lit(float(value))))
+    if name == "@sequence":
+        return _present(_source(name), compare(F.col("sequence"), _literal(value)))
+    return F.coalesce(compare(_number(name), F.lit(float(value))), F.lit(False))
 
 
 def gt(name: Field, value) -> Column:
@@ -96,17 +117,17 @@ def le(name: Field, value) -> Column:
 
 def match(name: Field, pattern: str) -> Column:
     """Unanchored regex search on the text of the field."""
-    return _known(field(name).rlike(java_regex(pattern)))
+    return _present(_source(name), field(name).rlike(java_regex(pattern)))
 
 
 def nmatch(name: Field, pattern: str) -> Column:
     """Field present and not matching."""
-    return _known(~field(name).rlike(java_regex(pattern)))
+    return _present(_source(name), ~field(name).rlike(java_regex(pattern)))
 
 
 def exists(name: Field) -> Column:
     """Field present with a non-empty value."""
-    return _known(field(name) != "")
+    return _present(_source(name), field(name) != "")
 
 
 _OPERATORS = {

@@ -75,7 +75,7 @@ def normalize_spans(df: DataFrame) -> DataFrame:
 
 def error_exact() -> Column:
     """The strict error test of the tables and samplers."""
-    return F.coalesce(F.col("status") == ERROR_STATUS, F.lit(False))
+    return F.col("status").isNotNull() & (F.col("status") == ERROR_STATUS)
 
 
 def error_loose() -> Column:
@@ -103,7 +103,7 @@ def at_least(ms: float) -> Column:
 
 def root_only() -> Column:
     """Spans whose own record names no parent."""
-    return F.coalesce(F.col("parent_span_id") == "", F.lit(True))
+    return F.col("parent_span_id").isNull() | (F.col("parent_span_id") == "")
 
 
 def span_filter(

@@ -132,3 +132,20 @@ def test_leaves_match_a_plain_evaluation(spark, events, literal, op):
     leaf = p.clauses([("a", op, literal)]) if not isinstance(literal, str) else p._OPERATORS[op]("a", literal)
     got = {r["i"]: (r["x"], r["y"]) for r in df.select("i", leaf.alias("x"), (~leaf).alias("y")).collect()}
     assert got == {i: (plain(e), not plain(e)) for i, e in enumerate(events)}
+
+
+def test_core_columns_reach_the_scan(spark, tmp_path):
+    rows = [(i, "error" if i % 3 else None, "u", {"k": str(i)}) for i in range(20)]
+    df = spark.createDataFrame(rows, "sequence bigint, status string, origin string, attrs map<string,string>")
+    df.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    test = p.eq("@status", "error") & p.ge("@sequence", 5) & p.ne("@origin", "x") & p.lt("@sequence", 9.5) & p.gt("k", 6)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    kept = stored.filter(test)
+    pushed = kept._jdf.queryExecution().executedPlan().toString().split("PushedFilters: [")[1].split("ReadSchema")[0]
+    for part in ("EqualTo(status,error)", "GreaterThanOrEqual(sequence,5)", "Not(EqualTo(origin,x))"):
+        assert part in pushed
+    assert sorted(r["sequence"] for r in kept.collect()) == [7, 8]
+    other = stored.filter(~p.eq("@status", "error"))
+    assert sorted(r["sequence"] for r in other.collect()) == [0, 3, 6, 9, 12, 15, 18]
+    assert stored.filter(p.eq("@sequence", 7) | p.eq("@sequence", "8")).count() == 2
