@@ -55,9 +55,9 @@ def _present(value: Column, test: Column) -> Column:
     return value.isNotNull() & test
 
 
-def _number(name: Field) -> Column:
-    """Numeric value of a field; the typed sequence column needs no parsing."""
-    return F.col("sequence") if name == "@sequence" else to_number(field(name))
+def _is_sequence(name: Field) -> bool:
+    """The one core field that is a number already: it is compared without parsing."""
+    return isinstance(name, str) and name == "@sequence"
 
 
 def _literal(value) -> Column:
@@ -75,9 +75,9 @@ def _equals(name: Field, value) -> Column:
     if _is_number(value):
         if math.isnan(value):
             return F.lit(False)
-        if name == "@sequence":
+        if _is_sequence(name):
             return F.col("sequence") == _literal(value)
-        return F.coalesce(_number(name) == F.lit(float(value)), F.lit(False))
+        return F.coalesce(to_number(field(name)) == F.lit(float(value)), F.lit(False))
     return field(name) == F.lit(value)
 
 
@@ -93,9 +93,9 @@ def ne(name: Field, value) -> Column:
 def _ordered(name: Field, value, compare) -> Column:
     if not _is_number(value) or math.isnan(value):
         return F.lit(False)
-    if name == "@sequence":
+    if _is_sequence(name):
         return _present(_source(name), compare(F.col("sequence"), _literal(value)))
-    return F.coalesce(compare(_number(name), F.lit(float(value))), F.lit(False))
+    return F.coalesce(compare(to_number(field(name)), F.lit(float(value))), F.lit(False))
 
 
 def gt(name: Field, value) -> Column:

@@ -9,6 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from logloom.functions import predicates as p
 from logloom.sources import ingest as ig
 from logloom.sources import sinks
 from logloom.sources.lines import parse_lines
@@ -106,3 +107,16 @@ def test_payloads(spark):
         assert got == expected
     nested = spark.createDataFrame([('{"a":[{"b":[1,4367602734065516544]},{"b":[]},{"c":1}]}',), ("x",)], "body string")
     assert [r[0] for r in extract_path(nested, "body", "$.a[*].b[*]").collect()] == ["1", "4367602734065516544"]
+
+
+def test_event_table_prunes(spark, tmp_path):
+    rows = [("app", "web" if i % 4 else "db", i, '{"http":{"status":%d}}' % (200 + i), 1767225600 + i * 7200) for i in range(40)]
+    df = spark.createDataFrame(rows, "collection string, dataset string, sequence bigint, raw string, s bigint")
+    parsed = parse_lines(df.withColumn("event_time", F.timestamp_seconds("s")).drop("s"))
+    sinks.write_table(parsed, str(tmp_path / "t"), promote=["http.status"])
+    table = spark.read.parquet(str(tmp_path / "t"))
+    hits = table.filter((F.col("dataset") == "web") & (F.col("day") == "2026-01-02") & p.ge(F.col("`http.status`"), 215))
+    assert sorted(r["sequence"] for r in hits.select("sequence").collect()) == [15, 17, 18, 19, 21, 22, 23]
+    plan = hits.select("sequence")._jdf.queryExecution().executedPlan().toString()
+    assert "attrs" not in plan.split("ReadSchema")[1] and "dataset" in plan.split("PartitionFilters")[1]
+    assert table.count() == 40

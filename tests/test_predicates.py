@@ -149,3 +149,15 @@ def test_core_columns_reach_the_scan(spark, tmp_path):
     other = stored.filter(~p.eq("@status", "error"))
     assert sorted(r["sequence"] for r in other.collect()) == [0, 3, 6, 9, 12, 15, 18]
     assert stored.filter(p.eq("@sequence", 7) | p.eq("@sequence", "8")).count() == 2
+
+
+def test_columns_as_fields(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("7", None), ("x", "y")], "a string, b string")
+    a, b = F.col("a"), F.col("b")
+    tests = [p.eq(a, 7), p.ne(a, 7), p.gt(a, 5), p.le(a, 5), p.match(a, "^x"), p.nmatch(b, "z"), p.exists(b), ~p.eq(b, "y")]
+    rows = [tuple(r) for r in df.select(*[t.alias(f"t{i}") for i, t in enumerate(tests)]).collect()]
+    assert rows == [
+        (True, False, True, False, False, False, False, True), (False, True, False, False, True, True, True, False)
+    ]
