@@ -43,16 +43,16 @@ def field(name: Field) -> Column:
     return F.col("attrs")[name]
 
 
-def _source(name: Field) -> Column:
-    """The column or map entry a field is read from, without a cast."""
-    if isinstance(name, Column):
-        return name
-    return F.col(CORE_FIELDS[name]) if name in CORE_FIELDS else field(name)
-
+def _present(name: Field, test: Column) -> Column:
+    """``test``, and FALSE when the field is absent and ``test`` therefore NULL.
 
-def _present(value: Column, test: Column) -> Column:
-    """``test`` on a value that is there, FALSE otherwise; in a form that file scans understand."""
-    return value.isNotNull() & test
+    For a column in the form that file scans understand; a map entry, which they
+    never see, is looked up only once.
+    """
+    if isinstance(name, str) and name not in CORE_FIELDS:
+        return F.coalesce(test, F.lit(False))
+    column = name if isinstance(name, Column) else F.col(CORE_FIELDS[name])
+    return column.isNotNull() & test
 
 
 def _is_sequence(name: Field) -> bool:
@@ -83,18 +83,21 @@ def _equals(name: Field, value) -> Column:
 
 def eq(name: Field, value) -> Column:
     """Numeric equality for a number, exact text equality for a string or bool."""
-    return _present(_source(name), _equals(name, value))
+    return _present(name, _equals(name, value))
 
 
 def ne(name: Field, value) -> Column:
-    return _present(_source(name), ~_equals(name, value))
+    different = ~_equals(name, value)
+    if _is_number(value):  # numeric equality is FALSE, not NULL, on an absent field
+        different = field(name).isNotNull() & different
+    return _present(name, different)
 
 
 def _ordered(name: Field, value, compare) -> Column:
     if not _is_number(value) or math.isnan(value):
         return F.lit(False)
     if _is_sequence(name):
-        return _present(_source(name), compare(F.col("sequence"), _literal(value)))
+        return _present(name, compare(F.col("sequence"), _literal(value)))
     return F.coalesce(compare(to_number(field(name)), F.lit(float(value))), F.lit(False))
 
 
@@ -117,17 +120,17 @@ def le(name: Field, value) -> Column:
 
 def match(name: Field, pattern: str) -> Column:
     """Unanchored regex search on the text of the field."""
-    return _present(_source(name), field(name).rlike(java_regex(pattern)))
+    return _present(name, field(name).rlike(java_regex(pattern)))
 
 
 def nmatch(name: Field, pattern: str) -> Column:
     """Field present and not matching."""
-    return _present(_source(name), ~field(name).rlike(java_regex(pattern)))
+    return _present(name, ~field(name).rlike(java_regex(pattern)))
 
 
 def exists(name: Field) -> Column:
     """Field present with a non-empty value."""
-    return _present(_source(name), field(name) != "")
+    return _present(name, field(name) != "")
 
 
 _OPERATORS = {
