@@ -4,10 +4,18 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from logloom.llm import decontam, neardup, tokencount
+from logloom.llm import decontam, langid, neardup, tokencount, toxicity
 from logloom.llm.batches import table
 
 
+def op2_language_id(spark, sf_dir):
+    return langid.language_ids(table(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark, sf_dir):
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_token_counts(spark, sf_dir):
     return tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -20,7 +28,7 @@ def op10_decontamination(spark, sf_dir):
     return decontam.decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op7_token_counts, op9_simhash_components, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op4_toxicity, op7_token_counts, op9_simhash_components, op10_decontamination)}
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
