@@ -4,22 +4,42 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from logloom.llm import decontam, langid, neardup, tokencount, toxicity
+from logloom.llm import ann, decontam, langid, neardup, pieces, pii, sharding, tokencount, toxicity, warc
 from logloom.llm.batches import table
 
 
+def op1_personal_data(spark, sf_dir):
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark, sf_dir):
     return langid.language_ids(table(spark, sf_dir, "documents"))
 
 
+def op3_sentencepiece(spark, sf_dir):
+    return pieces.piece_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op4_toxicity(spark, sf_dir):
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_sharding(spark, sf_dir):
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_nearest(spark, sf_dir):
+    return ann.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op7_token_counts(spark, sf_dir):
     return tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_warc(spark, sf_dir):
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
 def op9_simhash_components(spark, sf_dir):
     return neardup.simhash_components(table(spark, sf_dir, "documents"))
 
@@ -28,12 +48,22 @@ def op10_decontamination(spark, sf_dir):
     return decontam.decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op4_toxicity, op7_token_counts, op9_simhash_components, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_personal_data, op2_language_id, op3_sentencepiece, op4_toxicity, op5_sharding, op6_nearest, op7_token_counts, op8_warc, op9_simhash_components, op10_decontamination)}
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
 ORACLES = {
+    "op8_warc": """
+with p as (select page_id, coalesce(html, '') body from pages),
+h as (select page_id, sha1(body) d, octet_length(encode(body)) n, max(page_id) over (partition by body) owner from p),
+digits as (select *, [cast('0x' || substr(d, 5 * i + 1, 5) as bigint) for i in range(8)] v from h)
+select page_id, cast(n as bigint) payload_bytes,
+  list_aggregate(list_transform(flatten([[(x >> 15) & 31, (x >> 10) & 31, (x >> 5) & 31, x & 31] for x in v]),
+    lambda x: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', x + 1, 1)), 'string_agg', '') payload_digest,
+  case when page_id = owner then 'response' else 'revisit' end record_type,
+  case when page_id = owner then null else owner end refers_to
+from digits""",
     "op10_decontamination": f"""
 with item as (select cast(item_id as varchar) item_id, {_WORDS} w from benchmark),
 sized as (select item_id, w, least(13, len(w)) k from item where len(w) > 0),

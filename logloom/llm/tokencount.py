@@ -9,6 +9,7 @@ speed: every length in it and every miss comes from the tokenizer.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -63,18 +64,12 @@ def splitter(specials: list[str]):
 
 
 def frequent_lengths(docs: DataFrame, text: str, path: str, sample_rows: int, entries: int) -> dict[str, int]:
-    """Lengths of the ``entries`` most frequent pre-tokens of up to ``sample_rows`` rows."""
-
-    def split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        cut = splitter(Lengths({}, path).specials())
-        for texts in batches:
-            yield pd.Series([cut(t) if t else [] for t in texts], dtype=object)
-
-    sample = docs.select(text).limit(sample_rows)
-    words = sample.select(F.explode(F.pandas_udf(split, "array<string>")(F.col(text))).alias("w"))
-    top = words.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(entries)
+    """Lengths of the ``entries`` most frequent pre-tokens of the first ``sample_rows`` rows."""
     lengths = Lengths({}, path, limit=entries + 1)
-    return {row["w"]: lengths[row["w"]] for row in top.toLocalIterator()}
+    cut, counts = splitter(lengths.specials()), Counter()
+    for row in docs.select(F.col(text).alias("t")).take(sample_rows):
+        counts.update(cut(row.t) if row.t else [])
+    return {word: lengths[word] for word, _ in counts.most_common(entries)}
 
 
 def count_tokens(
@@ -82,7 +77,7 @@ def count_tokens(
     path: str,
     text: str = "text",
     out: str = "tokens",
-    sample_rows: int = 2_000,
+    sample_rows: int = 1_000,
     entries: int = 50_000,
     cache: int = 300_000,
 ) -> DataFrame:

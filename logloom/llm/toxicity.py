@@ -43,11 +43,18 @@ def marks_of(word: str) -> list[str]:
 
 
 def toxic_marks(
-    labelled: DataFrame, text: str, toxic: str, min_contexts: int = 10, lift: float = 20.0, limit: int = 20_000
+    labelled: DataFrame,
+    text: str,
+    toxic: str,
+    n_bad: int,
+    n_fine: int,
+    min_contexts: int = 10,
+    lift: float = 20.0,
+    limit: int = 20_000,
 ) -> set[str]:
     """Words and prefixes that give toxic documents away; at most ``limit``, the most frequent first.
 
-    ``lift``: how much larger a part of the words of toxic documents than of clean ones.
+    ``lift``: how many times more often a toxic document (of ``n_bad``) has it than a clean one.
     """
     words = F.transform(F.regexp_extract_all(F.col(text), F.lit(LETTERS), 0), F.lower)
     rows = labelled.select((F.col(toxic) == 1).alias("bad"), words.alias("w")).filter(F.size("w") > 0)
@@ -68,10 +75,7 @@ def toxic_marks(
         F.count_if(bad).alias("n_bad"),
         F.count_if(fine).alias("n_fine"),
     )
-    totals = rows.groupBy("bad").agg(F.sum(F.size("w")).alias("n")).collect()
-    all_bad = sum(r["n"] for r in totals if r["bad"]) or 1
-    all_fine = sum(r["n"] for r in totals if not r["bad"]) or 1
-    odds = (F.col("n_bad") / all_bad) / ((F.col("n_fine") + 1) / all_fine)
+    odds = (F.col("n_bad") / n_bad) / ((F.col("n_fine") + 1) / n_fine)
     chosen = counts.filter((F.col("contexts") >= min_contexts) & (odds >= lift))
     return {r["mark"] for r in chosen.orderBy(F.desc("n_bad"), "mark").limit(limit).collect()}
 
@@ -154,8 +158,9 @@ def score_toxicity(
     n_bad, n_fine = totals.get(1, 0), totals.get(0, 0)
     fitted = None
     if n_bad and n_fine:
-        labelled = docs.select(doc_id, text).join(known, doc_id).select(text, toxic)
-        marks = toxic_marks(labelled, text, toxic)
+        # One way at every size; broadcasting labels would only hold while they are few.
+        labelled = docs.select(doc_id, text).join(known.hint("merge"), doc_id).select(text, toxic)
+        marks = toxic_marks(labelled, text, toxic, n_bad, n_fine)
         sample = training_sample(docs, known, doc_id, text, toxic, rows)
         model = train(sample, marks) if marks else None
         if model:
