@@ -28,6 +28,18 @@ OPEN, CLOSE = "\u0001", "\u0002"
 UNITS = rf"[{OPEN}{CLOSE}]|{SPACE}*[\p{{L}}\p{{M}}]+|{SPACE}*[^\p{{L}}\p{{M}}{SPACE}{OPEN}{CLOSE}]+|{SPACE}+"
 
 
+def _marked(*tokens: str) -> str:
+    return "".join(f"{OPEN}{t}{CLOSE}" for t in tokens)
+
+
+def _joins(piece: str, run: bool, known: set[str]) -> list[str]:
+    """The neighbouring tokens that become ``piece``: its halves that are pieces, or all spaces of a run."""
+    if run:
+        return [_marked(*piece)]
+    halves = [(piece[:k], piece[k:]) for k in range(1, len(piece))]
+    return [_marked(a, b) for a, b in halves if a in known and b in known]
+
+
 class Vocabulary:
     """The piece table of a byte-pair model file with byte fallback."""
 
@@ -49,8 +61,9 @@ class Vocabulary:
             raise ValueError("the model has no byte pieces")
         self.longest = max(len(p) for p, _, _ in pieces)
         self.spark = spark
-        rows = [(p, i, rank) for rank, (p, i, _) in enumerate(order)]
-        self.pieces = spark.createDataFrame(rows, "piece string, id int, rank int")
+        known = {p for p, _, _ in pieces}
+        rows = [(p, i, rank, _joins(p, p in runs, known), _marked(p)) for rank, (p, i, _) in enumerate(order)]
+        self.pieces = spark.createDataFrame(rows, "piece string, id int, rank int, joins array<string>, token string")
         across = self.pieces.filter(F.size(F.regexp_extract_all("piece", F.lit(UNITS), 0)) != 1).filter("length(piece) > 1")
         # A piece that reaches across units must not exist, else they are no units.
         self.units_hold = across.limit(1).count() == 0
@@ -70,37 +83,29 @@ def units_of(text: Column, vocabulary: Vocabulary) -> Column:
 
 
 def lattice(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(unit, edges): pieces that occur in a unit, in the order of their rank; single characters too."""
+    """(unit, edges): pieces wherever they occur in a unit, in the order of their rank; single characters too."""
     size = F.length("unit")
     starts = units.select("unit", F.explode(F.sequence(F.lit(1), size)).alias("at"))
     lengths = F.sequence(F.lit(1), F.least(F.lit(vocabulary.longest), F.length("unit") - F.col("at") + 1))
     spans = starts.select("unit", F.explode(F.transform(lengths, lambda n: F.col("unit").substr(F.col("at"), n))).alias("piece"))
     edges = spans.join(F.broadcast(vocabulary.pieces), "piece")  # bounded: the model's vocabulary
-    grouped = edges.groupBy("unit").agg(F.collect_set(F.struct("rank", "piece", "id")).alias("edges"))
-    return units.join(grouped, "unit", "left").select("unit", F.sort_array(F.coalesce("edges", F.array())).alias("edges"))
+    grouped = edges.groupBy("unit").agg(F.collect_list(F.struct("rank", "piece", "id", "joins", "token")).alias("edges"))
+    ordered = F.array_sort(F.array_distinct("edges"))
+    return units.join(grouped, "unit", "left").select("unit", F.coalesce(ordered, F.array()).alias("edges"))
 
 
 def fold(edges: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(unit, ids): the pieces of every unit."""
-    wrap = lambda *parts: F.concat(*[x for p in parts for x in (F.lit(OPEN), p, F.lit(CLOSE))])
     single = F.regexp_replace("unit", r"(?s)(.)", f"{OPEN}$1{CLOSE}")
 
     def joined(state: Column, edge: Column) -> Column:
-        piece = edge["piece"]
-        n = F.length(piece)
-        run = F.replace(state, F.repeat(F.lit(OPEN + SPACE + CLOSE), n), wrap(piece))
-        halves = F.aggregate(
-            F.sequence(F.lit(1), n - 1),
-            state,
-            lambda s, k: F.replace(s, wrap(F.substr(piece, F.lit(1), k), F.substr(piece, k + 1)), wrap(piece)),
-        )
-        return F.when(n == 1, state).when(F.translate(piece, SPACE, "") == "", run).otherwise(halves)
+        return F.aggregate(edge["joins"], state, lambda s, pair: F.replace(s, pair, edge["token"]))
 
     state = F.aggregate("edges", single, joined)
     tokens = F.when(F.col("unit").isin(OPEN, CLOSE), F.array("unit")).otherwise(
         F.split(F.expr("substring(state, 2, length(state) - 2)"), CLOSE + OPEN)
     )
-    ids = F.map_from_entries(F.transform("edges", lambda e: F.struct(e["piece"], e["id"])))
+    ids = F.map_from_entries(F.array_distinct(F.transform("edges", lambda e: F.struct(e["piece"], e["id"]))))
     byte_ids = F.array(*[F.lit(vocabulary.bytes[b]) for b in range(256)])
 
     def as_bytes(token: Column) -> Column:

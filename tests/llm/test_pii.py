@@ -53,7 +53,7 @@ def test_every_document_as_written(spark, documents):
 
 
 def test_terms_that_reveal_an_entity(spark):
-    filler = " ".join(f"common{i % 7} word{i % 11}" for i in range(60))
+    filler = " ".join(f"common{i % 7} word{i % 11} to at" for i in range(60))
     docs = [(i, f"{filler} write{chr(97 + i)} to Zanzibar at joe@x.org about{chr(97 + i)} word1 {filler}") for i in range(6)]
     docs += [(100 + i, f"{filler} mail word2 box{i}@y.org {filler}") for i in range(30)]
     docs += [(200 + i, "equal rare Copies here sue@z.org same rare context") for i in range(10)]
