@@ -22,8 +22,9 @@ from logloom.llm.batches import free_name
 from logloom.session import materialize
 
 SPACE = "▁"
-# Marks around the tokens of a state; both occur in no piece.
+# Marks around the tokens of a state, which occur in no piece; between the parts of a step, and between steps.
 OPEN, CLOSE = "\u0001", "\u0002"
+NEXT, ENTRY = OPEN + OPEN, OPEN + CLOSE
 # Letters, other characters, or nothing after a run of spaces; the marks stand alone.
 UNITS = rf"[{OPEN}{CLOSE}]|{SPACE}*[\p{{L}}\p{{M}}]+|{SPACE}*[^\p{{L}}\p{{M}}{SPACE}{OPEN}{CLOSE}]+|{SPACE}+"
 
@@ -62,8 +63,12 @@ class Vocabulary:
         self.longest = max(len(p) for p, _, _ in pieces)
         self.spark = spark
         known = {p for p, _, _ in pieces}
-        rows = [(p, i, rank, _joins(p, p in runs, known), _marked(p)) for rank, (p, i, _) in enumerate(order)]
-        self.pieces = spark.createDataFrame(rows, "piece string, id int, rank int, joins array<string>, token string")
+        self.pieces = spark.createDataFrame([(p, rank) for rank, (p, _, _) in enumerate(order)], "piece string, rank int")
+        # By rank: piece, id, and the marked piece followed by the neighbours that become it. Folded to constants.
+        self.names = F.split(F.lit(ENTRY.join(p for p, _, _ in order)), ENTRY)
+        self.ids = F.split(F.lit(",".join(str(i) for _, i, _ in order)), ",").cast("array<int>")
+        steps = [NEXT.join([_marked(p), *_joins(p, p in runs, known)]) for p, _, _ in order]
+        self.steps = F.split(F.lit(ENTRY.join(steps)), ENTRY)
         across = self.pieces.filter(F.size(F.regexp_extract_all("piece", F.lit(UNITS), 0)) != 1).filter("length(piece) > 1")
         # A piece that reaches across units must not exist, else they are no units.
         self.units_hold = across.limit(1).count() == 0
@@ -83,29 +88,34 @@ def units_of(text: Column, vocabulary: Vocabulary) -> Column:
 
 
 def lattice(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(unit, edges): pieces wherever they occur in a unit, in the order of their rank; single characters too."""
+    """(unit, edges): ranks of the pieces that occur in a unit, best first; single characters too."""
     size = F.length("unit")
     starts = units.select("unit", F.explode(F.sequence(F.lit(1), size)).alias("at"))
     lengths = F.sequence(F.lit(1), F.least(F.lit(vocabulary.longest), F.length("unit") - F.col("at") + 1))
     spans = starts.select("unit", F.explode(F.transform(lengths, lambda n: F.col("unit").substr(F.col("at"), n))).alias("piece"))
     edges = spans.join(F.broadcast(vocabulary.pieces), "piece")  # bounded: the model's vocabulary
-    grouped = edges.groupBy("unit").agg(F.collect_list(F.struct("rank", "piece", "id", "joins", "token")).alias("edges"))
-    ordered = F.array_sort(F.array_distinct("edges"))
-    return units.join(grouped, "unit", "left").select("unit", F.coalesce(ordered, F.array()).alias("edges"))
+    grouped = edges.groupBy("unit").agg(F.collect_set("rank").alias("edges"))
+    none = F.array().cast("array<int>")
+    return units.join(grouped, "unit", "left").select("unit", F.sort_array(F.coalesce("edges", none)).alias("edges"))
 
 
 def fold(edges: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(unit, ids): the pieces of every unit."""
     single = F.regexp_replace("unit", r"(?s)(.)", f"{OPEN}$1{CLOSE}")
 
-    def joined(state: Column, edge: Column) -> Column:
-        return F.aggregate(edge["joins"], state, lambda s, pair: F.replace(s, pair, edge["token"]))
+    at = lambda table, rank: F.element_at(table, rank + 1)
+
+    def joined(state: Column, rank: Column) -> Column:
+        step = F.split(at(vocabulary.steps, rank), NEXT)
+        return F.aggregate(step, state, lambda s, pair: F.replace(s, pair, F.get(step, F.lit(0))))
 
     state = F.aggregate("edges", single, joined)
     tokens = F.when(F.col("unit").isin(OPEN, CLOSE), F.array("unit")).otherwise(
         F.split(F.expr("substring(state, 2, length(state) - 2)"), CLOSE + OPEN)
     )
-    ids = F.map_from_entries(F.array_distinct(F.transform("edges", lambda e: F.struct(e["piece"], e["id"]))))
+    ids = F.map_from_arrays(
+        F.transform("edges", lambda r: at(vocabulary.names, r)), F.transform("edges", lambda r: at(vocabulary.ids, r))
+    )
     byte_ids = F.array(*[F.lit(vocabulary.bytes[b]) for b in range(256)])
 
     def as_bytes(token: Column) -> Column:
