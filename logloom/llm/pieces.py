@@ -22,7 +22,7 @@ from logloom.llm.batches import free_name
 from logloom.session import materialize
 
 SPACE = "▁"
-# Marks around the tokens of a state, which occur in no piece; between the parts of a step, and between steps.
+# Marks around the tokens of a state, which no longer piece holds; between the parts of a step, and between steps.
 OPEN, CLOSE = "\u0001", "\u0002"
 NEXT, ENTRY = OPEN + OPEN, OPEN + CLOSE
 # Letters, other characters, or nothing after a run of spaces; the marks stand alone.
@@ -38,6 +38,8 @@ def _joins(piece: str, run: bool, known: set[str]) -> list[str]:
     if run:
         return [_marked(*piece)]
     halves = [(piece[:k], piece[k:]) for k in range(1, len(piece))]
+    if OPEN in piece or CLOSE in piece:
+        raise ValueError("a piece of several characters holds a mark")
     return [_marked(a, b) for a, b in halves if a in known and b in known]
 
 
@@ -67,7 +69,8 @@ class Vocabulary:
         # By rank: piece, id, and the marked piece followed by the neighbours that become it. Folded to constants.
         self.names = F.split(F.lit(ENTRY.join(p for p, _, _ in order)), ENTRY)
         self.ids = F.split(F.lit(",".join(str(i) for _, i, _ in order)), ",").cast("array<int>")
-        steps = [NEXT.join([_marked(p), *_joins(p, p in runs, known)]) for p, _, _ in order]
+        # The marks may be pieces themselves; they join with nothing.
+        steps = ["" if p in (OPEN, CLOSE) else NEXT.join([_marked(p), *_joins(p, p in runs, known)]) for p, _, _ in order]
         self.steps = F.split(F.lit(ENTRY.join(steps)), ENTRY)
         across = self.pieces.filter(F.size(F.regexp_extract_all("piece", F.lit(UNITS), 0)) != 1).filter("length(piece) > 1")
         # A piece that reaches across units must not exist, else they are no units.
