@@ -152,7 +152,7 @@ def typed_value(op: str, value):
     if value.strip() != value or "_" in value:
         return value
     try:
-        return float(value)
+        return float(value) if value.isascii() else value
     except ValueError:
         return value
 

@@ -107,18 +107,20 @@ def rank_columns(df: DataFrame, cap: int = 8) -> DataFrame:
     """The ``cap`` most informative columns as ``position``, ``key``, ``present``, ``variety``.
 
     ``@time`` and ``@status`` lead; then fields by presence, variety and name;
-    ``@raw`` is last and gives way once three other fields fit.
+    ``@raw`` is last and gives way once three other fields fit. ``cap`` 0 is no cap.
     """
     key = F.col("key")
     kind = F.when(key.isin(*LEADING), 0).when(key == "@raw", 2).otherwise(1)
     ranking = [F.when(kind == 1, 1).otherwise(0), F.desc("present"), F.desc("variety"), F.asc("key")]
-    # at most cap + 3 rows survive, so the windows below are small
-    top = column_stats(df).withColumn("kind", kind).orderBy(*ranking).limit(cap + 3)
+    # one row per field, and with a cap at most cap + 3 of them, so the windows below are small
+    top = column_stats(df).withColumn("kind", kind)
+    if cap > 0:
+        top = top.orderBy(*ranking).limit(cap + 3)
     everything = Window.partitionBy()
     n_lead = F.count_if(F.col("kind") == 0).over(everything)
     has_raw = F.count_if(F.col("kind") == 2).over(everything) > 0
     n_other = F.count_if(F.col("kind") == 1).over(everything)
-    room = F.greatest(F.lit(cap) - n_lead, F.lit(0))
+    room = F.greatest(F.lit(cap) - n_lead, F.lit(0)) if cap > 0 else n_other + 1
     beside_raw = F.greatest(room - 1, F.lit(0))
     keep_raw = has_raw & (F.least(n_other, beside_raw) < RAW_DROP_THRESHOLD)
     place = F.row_number().over(

@@ -69,11 +69,11 @@ def field_profile(
     return ordered.limit(n) if n > 0 else ordered
 
 
-def merge_profiles(df: DataFrame) -> DataFrame:
+def merge_profiles(df: DataFrame, cap: int | None = None) -> DataFrame:
     """Per-log profiles (``key, rank, type, source, values``) -> one row per key.
 
     Ranks add up, values are united; of several types or sources the smallest
-    non-empty spelling is kept.
+    non-empty spelling is kept. With ``cap`` only the smallest values of a field stay.
     """
     kind = F.lower(F.when(F.col("type") != "", F.col("type")))
     source = F.lower(F.regexp_replace(F.when(F.col("source") != "", F.col("source")), "_KVP$", ""))
@@ -82,11 +82,11 @@ def merge_profiles(df: DataFrame) -> DataFrame:
         F.min(kind).alias("type"),
         F.min(source).alias("source"),
     )
-    values = (
-        df.select("key", F.explode("values").alias("value"))
-        .distinct()
-        .transform(lambda d: _smallest_values(d, SAMPLE))
-    )
+    single = df.select("key", F.explode("values").alias("value")).distinct()
+    if cap is None:
+        values = single.groupBy("key").agg(F.array_sort(F.collect_list("value")).alias("values"))
+    else:
+        values = _smallest_values(single, cap)
     return ranks.join(values, "key", "left").orderBy(F.desc("count"), F.asc("key"))
 
 

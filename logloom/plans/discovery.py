@@ -43,7 +43,7 @@ def _merge_profiles(spark, sf_dir):
     per_log = (
         co.field_entries(parsed, ["status"])
         .filter("value is not null")
-        .groupBy("status", "key", F.substring("value", 1, 1).alias("v"))
+        .groupBy("status", "key", F.col("value").alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("status", "key")
         .agg(F.sum("n").alias("rank"), F.collect_set("v").alias("values"))
@@ -242,7 +242,7 @@ ORACLES = {
 select key, array_to_string(list_sort(list(value))[1:4], '|') as values from (select distinct key, value from entries) group by 1""",
     "merge_profiles": f"""with {LOG_EVENTS_SQL}, {_ENTRIES}
 select e.key, cast(count(*) as double) as count, max(case when status = 'warn' then 'number' end) as type, 'message' as source,
- array_to_string(list_sort(list(distinct left(value, 1)))[1:20], '|') as values
+ array_to_string(list_sort(list(distinct value)), '|') as values
 from entries e join log_events l on l.sequence = e.sequence group by e.key""",
     "column_ranking": f"""with {LOG_EVENTS_SQL}, {_ENTRIES}, s as (
  select key, count(*) present, count(distinct value) variety from entries group by 1
