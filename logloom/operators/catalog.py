@@ -81,7 +81,7 @@ def catalog_stats(df: DataFrame, column: str = "definition") -> DataFrame:
 
     logins = F.transform(
         F.map_values(F.try_variant_get(body, "$.last_logins", "map<string,variant>")),
-        lambda v: F.coalesce(F.try_variant_get(v, "$", "double"), F.lit(0.0)),
+        lambda v: F.when(F.schema_of_variant(v).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), F.try_variant_get(v, "$", "double")).otherwise(0.0),
     )
     latest = F.array_max(logins)
     heartbeat = F.try_variant_get(body, "$.metadata.last_heartbeat_at", "double")

@@ -51,7 +51,8 @@ def as_row_json(df: DataFrame, names: list[str] | None = None) -> Column:
     plain = F.to_json(F.struct(*typed)) if typed else F.lit("{}")
     if not with_attrs:
         return plain
-    present = F.filter(F.map_entries("attrs"), lambda e: e["value"].isNotNull())
+    taken = F.array(*[F.lit(k) for k in by_key]).cast("array<string>")
+    present = F.filter(F.map_entries("attrs"), lambda e: e["value"].isNotNull() & ~F.array_contains(taken, e["key"]))
     attrs = F.to_json(F.map_from_entries(F.array_sort(present)))
     # two JSON objects side by side, without their inner braces
     head = F.substr(plain, F.lit(2), F.length(plain) - 2)

@@ -213,6 +213,18 @@ def _attribute_groups(
     return merged_aggs(keyed, keys, "duration_ns", F.col("_error")), keys
 
 
+def one_decimal(value: Column) -> Column:
+    """A double from 0 to 100 as ``%.1f`` prints it: its exact binary value is rounded, ties to even.
+
+    ``round`` and ``bround`` go by the shortest decimal text instead, which moves ties.
+    """
+    whole = F.floor(value)
+    tenths = ((value - whole) * float(1 << 57)).cast("bigint") * 10
+    down, rest, half = F.shiftright(tenths, 57), tenths.bitwiseAND((1 << 57) - 1), 1 << 56
+    up = (rest > half) | ((rest == half) & ((whole * 10 + down) % 2 == 1))
+    return (whole * 10 + down + up.cast("bigint")).cast("double") / 10
+
+
 def attributes(
     spans: DataFrame,
     by: list[str],
@@ -227,13 +239,12 @@ def attributes(
     """Spans, errors, error share and durations per attribute values, busiest first.
 
     Groups with a missing value are dropped (:func:`attributes_dropped` counts
-    them) or labelled. ``error_pct`` is rounded to one decimal in integers.
+    them) or labelled. ``error_pct`` has one decimal, ties go to the even one.
     With ``errors_only`` the error columns say nothing and are left out.
     """
     grouped, keys = _attribute_groups(spans, by, root_only, service, kind, where, errors_only)
     rows = missing(grouped, keys, include_empty)
-    share = F.expr("cast((errors * 2000 + spans) div (spans * 2) as double) / 10")
-    measured = [] if errors_only else ["errors", share.alias("error_pct")]
+    measured = [] if errors_only else ["errors", one_decimal(F.col("errors") / F.col("spans") * 100).alias("error_pct")]
     return (
         rows.orderBy(F.desc("spans"), *[F.asc(f"`{k}`") for k in keys])
         .limit(n)

@@ -25,6 +25,7 @@ from logloom.functions.mask import has_words, mask_tokens
 from logloom.functions.predicates import field
 from logloom.operators.ranking import running
 from logloom.session import materialize, small_enough
+from logloom.sources.lines import trimmed
 
 # Share of equal positions that joins a cluster, and the wildcard.
 SIMILARITY = 0.5
@@ -53,7 +54,7 @@ def template_counts(df: DataFrame, line: str, order: list[str]) -> DataFrame:
 def _forms(df: DataFrame, line: str, order: list[str]) -> DataFrame:
     # blank lines go before the masking, which a test on its result would run twice
     masked = df.filter(has_words(line)).select(
-        mask_tokens(line).alias("tokens"), F.struct(*order).alias("seen"), F.trim(F.col(line)).alias("line")
+        mask_tokens(line).alias("tokens"), F.struct(*order).alias("seen"), trimmed(F.col(line)).alias("line")
     )
     return (
         masked.groupBy("tokens")

@@ -86,10 +86,10 @@ def _word_corrections(spark, sf_dir):
     """Words of the benchmark texts next to the words of the documents, which grow with the data."""
     def words(name):
         texts = table(spark, sf_dir, name).select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("w"))
-        return texts.filter("length(w) between 3 and 12").groupBy("w").agg(F.count(F.lit(1)).alias("count"))
+        return texts.filter("w <> ''").groupBy("w").agg(F.count(F.lit(1)).alias("count"))
 
     known = words("documents").withColumnRenamed("w", "key")
-    names = words("benchmark").select(F.concat(F.lit("x"), F.substring("w", 2, 20)).alias("name"))
+    names = words("benchmark").select(F.concat(F.lit("x"), F.expr("substring(w, 2)")).alias("name"))
     return nm.nearest(names, known, 1)
 
 
@@ -278,9 +278,9 @@ select name, case when exact is not null or matches = 1 then 'ok' when matches =
 select name as field from words where length(name) <= 4 and not regexp_matches(name, '^[@$]') and name not in (select key from known)""",
     "suggest_fields": f"with {LOG_EVENTS_SQL}, {_WORDS_SQL}, {_KNOWN_SQL} {_nearest_sql('words', 'known', 2)}",
     "word_corrections": f"""with w as (select unnest(regexp_split_to_array(lower(text), '[^a-z]+')) w from documents),
-known as (select w as key, count(*) as count from w where length(w) between 3 and 12 group by 1),
+known as (select w as key, count(*) as count from w where w <> '' group by 1),
 b as (select unnest(regexp_split_to_array(lower(text), '[^a-z]+')) w from benchmark),
-names as (select distinct concat('x', substr(w, 2, 20)) as name from b where length(w) between 3 and 12)
+names as (select distinct concat('x', substr(w, 2)) as name from b where w <> '')
 {_nearest_sql('names', 'known', 1)}""",
     "field_candidates": f"""with {LOG_EVENTS_SQL}, {_WORDS_SQL}, {_KNOWN_SQL},
 more as (select name from words union select left(name, 3) from words),

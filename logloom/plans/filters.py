@@ -65,8 +65,7 @@ def _field_rules(spark, sf_dir):
 
 
 def _severity(spark, sf_dir):
-    kept = log_events(spark, sf_dir).filter(p.ne("@status", "warn"))
-    return kept.groupBy(severity_class("status").alias("severity")).agg(F.count(F.lit(1)).alias("n"))
+    return log_events(spark, sf_dir).groupBy(severity_class("status").alias("severity")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _time_bounded(spark, sf_dir):
@@ -210,8 +209,8 @@ where regexp_matches(line, '[aeiou]{{2}}') and regexp_matches(line, '(?i)on')
         " and not coalesce(regexp_matches(f_k, '9$'), false)"
     ),
     "severity_counts": f"""with {LOG_EVENTS_SQL}
-select case when status = 'error' then 'error' else 'other' end severity, count(*) n
-from log_events where status <> 'warn' group by 1""",
+select case when status in ('error', 'warn') then status else 'other' end severity, count(*) n
+from log_events group by 1""",
     "time_bounded": """select event_id, ts, event_type from events
 where ts >= timestamp '2024-01-18 18:30:00' and ts < timestamp '2024-01-20 06:30:00'""",
     "absolute_range": """select event_id, ts, event_type from events

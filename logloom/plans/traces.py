@@ -140,7 +140,7 @@ def _stats_sql(keys: str, where: str = "true", limit: int = 50, order: str = "")
 
 _ZONE = """case when status = 'STATUS_CODE_UNSET' then '<missing>' when kind = 'SERVER' then '<missing>' else name end"""
 _MEASURES = """count(*) spans, count(*) filter (where status = 'STATUS_CODE_ERROR') errors,
- cast((count(*) filter (where status = 'STATUS_CODE_ERROR') * 2000 + count(*)) // (count(*) * 2) as double) / 10 error_pct,
+ cast(printf('%.1f', count(*) filter (where status = 'STATUS_CODE_ERROR') / count(*) * 100) as double) error_pct,
  cast(sum(duration_ns) // count(*) as bigint) avg_ns, max(duration_ns) max_ns"""
 _ENTRY = "kind = 'SERVER'"
 

@@ -35,15 +35,43 @@ def json_object(line: str, first: str) -> Column:
     """VARIANT of the JSON object in column ``line``, NULL for anything else.
 
     ``first`` holds the result of ``try_parse_json``, which tolerates text after
-    the object but not a repeated key. Only that needs the second parser here,
-    and keeps the last value. An object nested in the line's object that repeats
-    a key has no variant form; such a line counts as plain text.
+    the object but not a repeated key. Only that needs another parser here, and
+    keeps the last value. An object nested in the line's object that repeats a key
+    has no variant form; the fields of such a line are opened as texts.
     """
     repeats = F.to_variant_object(
         _let(F.map_entries(F.from_json(line, "map<string,variant>", STRICT)), last_wins)
     )
     broken = F.startswith(line, F.lit("{")) & F.col(first).isNull()
-    return F.when(broken, repeats).otherwise(F.col(first))
+    return F.when(broken, F.coalesce(repeats, F.to_variant_object(_opened_texts(F.col(line))))).otherwise(F.col(first))
+
+
+def _braces(text: Column) -> Column:
+    """An upper bound of the nesting of a JSON text."""
+    return F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit("")))
+
+
+def _opened_texts(text: Column) -> Column:
+    """Dotted fields of a JSON object as texts, opened level by level; the last of a repeated key wins.
+
+    A string that is itself the text of an object is opened too.
+    """
+
+    def level(value: Column, prefix: Column | None = None) -> Column:
+        pairs = F.map_entries(_let(F.map_entries(F.from_json(value, "map<string,string>", STRICT)), last_wins))
+        return pairs if prefix is None else F.transform(
+            pairs, lambda e: F.struct(F.concat(prefix, F.lit("."), e["key"]).alias("key"), e["value"].alias("value"))
+        )
+
+    def opened(e: Column) -> Column:
+        inside = F.when(F.startswith(e["value"], F.lit("{")), level(e["value"], e["key"]))
+        return F.coalesce(inside, F.array(e))
+
+    def deeper(entries: Column, _: Column) -> Column:
+        return F.flatten(F.transform(entries, opened))
+
+    rounds = F.sequence(F.lit(1), F.greatest(_braces(text), F.lit(1)))
+    return _let(F.aggregate(rounds, level(text), deeper), last_wins)
 
 
 def _entries(object_map: Column, prefix: Column | None = None) -> Column:
@@ -77,16 +105,17 @@ def _split_level(entries: Column) -> Column:
     )
 
 
-def flatten(json: Column, max_depth: int = 8, depth: Column | None = None) -> Column:
+def flatten(json: Column, max_depth: int | None = None, depth: Column | None = None) -> Column:
     """A VARIANT object -> ``MAP<STRING, STRING>`` with dotted keys.
 
     Arrays and scalars are leaves (arrays as JSON text), empty objects vanish,
     explicit nulls stay as keys, a repeated key keeps the last value, and an
-    object below ``max_depth`` stays JSON text. Integers are exact at any size;
+    object below ``max_depth``, if given, stays JSON text. Integers are exact at any size;
     other numbers are printed by Spark (``1.50`` -> ``1.5``, ``1e3`` -> ``1000.0``).
     ``depth``, an upper bound of a row's own nesting, saves empty rounds.
     """
-    levels = F.lit(max_depth) if depth is None else F.least(F.lit(max_depth), depth)
+    bound = F.greatest(_braces(json.cast("string")) if depth is None else depth, F.lit(1))
+    levels = bound if max_depth is None else F.least(F.lit(max_depth), bound)
 
     def deeper(acc: Column, _: Column) -> Column:
         return _let(
@@ -102,11 +131,11 @@ def flatten(json: Column, max_depth: int = 8, depth: Column | None = None) -> Co
         return F.concat(acc["leaves"], F.transform(left, _as_text))
 
     top = _entries(F.try_variant_get(json, "$", "map<string,variant>"))
-    if max_depth < 2:
+    if max_depth is not None and max_depth < 2:
         return _let(F.transform(top, _as_text), last_wins)
     # the first split yields level 2, every round opens one more
     first = _let(top, _split_level)
-    rounds = F.slice(F.sequence(F.lit(1), F.lit(max_depth)), 2, F.greatest(levels - 2, F.lit(0)))
+    rounds = F.slice(F.sequence(F.lit(1), levels), 2, F.greatest(levels - 2, F.lit(0)))
     return _let(F.aggregate(rounds, first, deeper, finish), last_wins)
 
 
@@ -160,7 +189,7 @@ def pick_fields(json: Column, names: list[str]) -> Column:
 
 
 def parse_lines(
-    df: DataFrame, line: str = "raw", fields: list[str] | None = None, max_depth: int = 8
+    df: DataFrame, line: str = "raw", fields: list[str] | None = None, max_depth: int | None = None
 ) -> DataFrame:
     """Add ``attrs`` (flattened fields) and set ``raw`` from a text column.
 
@@ -175,17 +204,19 @@ def parse_lines(
     looks = F.startswith("_line", F.lit("{"))
     staged = with_once(text, "_first", F.when(looks, F.try_parse_json("_line")))
     json = json_object("_line", "_first")
-    if fields is not None and all(_pickable(name) for name in fields):
-        attrs = pick_fields(json, list(dict.fromkeys([*fields, "@raw"])))
+    wanted = None if fields is None else list(dict.fromkeys([*fields, "@raw"]))
+    if wanted is not None and all(_pickable(name) for name in wanted):
+        attrs = pick_fields(json, wanted)
         own = attrs["@raw"]
     else:
-        braces = F.length("_line") - F.length(F.replace("_line", F.lit("{"), F.lit("")))
-        flat = F.when(json.isNotNull(), flatten(json, max_depth, braces)).otherwise(
+        flat = F.when(json.isNotNull(), flatten(json, max_depth, _braces(F.col("_line")))).otherwise(
             F.create_map().cast("map<string,string>")
         )
         staged = with_once(staged, "attrs", flat)
         attrs = F.col("attrs")
         own = F.try_element_at(attrs, F.lit("@raw"))
+        if wanted is not None:
+            attrs = F.create_map(*[c for n in wanted for c in (F.lit(n), F.try_element_at(F.col("attrs"), F.lit(n)))])
     return staged.select(*rest, F.coalesce(own, F.col("_line")).alias("raw"), attrs.alias("attrs"))
 
 
@@ -193,7 +224,7 @@ def read_lines(
     spark: SparkSession,
     path: str | list[str],
     fields: list[str] | None = None,
-    max_depth: int = 8,
+    max_depth: int | None = None,
 ) -> DataFrame:
     """NDJSON or plain-text files (any mix, gzip too) -> ``raw``, ``attrs``."""
     return parse_lines(spark.read.text(path, lineSep="\n"), "value", fields, max_depth)

@@ -85,3 +85,8 @@ def test_monitor(spark):
     for bad in ({"comparison": "OVER"}, {"comparison": "ABOVE", "window": timedelta(minutes=1)}, {"comparison": "ABOVE", "window": timedelta(days=2)}):
         with pytest.raises(ValueError):
             li.Monitor(threshold=1, **bad)
+
+
+def test_text_epochs_are_no_logins(spark):
+    objects = spark.createDataFrame([('{"last_logins":{"a":"900","b":7}}',), ('{"last_logins":{"a":"900"}}',)], "definition string")
+    assert [r["s"] for r in ca.catalog_stats(objects).select(F.unix_seconds("last_login").alias("s")).collect()] == [7, None]

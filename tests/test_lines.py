@@ -99,3 +99,20 @@ def test_time_filter_reaches_the_scan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "LessThan(ts" in plan.split("PushedFilters")[1]
     assert plan.count("parseJson") == 1
+
+
+def test_any_depth_and_repeats_inside(spark):
+    deep = '{"a":' * 12 + "1" + "}" * 12
+    lines = [deep, '{"c":{"d":1,"d":2},"x":1}', '{"c":{"d":{"e":1}},"k":{"z":1,"z":[3]},"c":{"f":"t","g":{}},"n":null}', '{"c":{"d":1,"d":']
+    rows = {r["n"]: r["attrs"] for r in parse_lines(numbered(spark, lines)).collect()}
+    assert rows[1] == {".".join("a" * 12): "1"}
+    assert rows[2] == {"c.d": "2", "x": "1"}
+    assert rows[3] == {"c.f": "t", "k.z": "[3]", "n": None}
+    assert rows[4] == {}
+
+
+def test_named_fields_mean_the_same_by_either_way(spark):
+    lines = ['{"a":{"b":{"c":{"d":{"e":{"f":7}}}}},"x":1}', "plain"]
+    rows = parse_lines(numbered(spark, lines), fields=["a.b.c.d.e.f", "gone"]).orderBy("n").collect()
+    assert rows[0]["attrs"] == {"a.b.c.d.e.f": "7", "gone": None, "@raw": None}
+    assert rows[1]["attrs"] == {"a.b.c.d.e.f": None, "gone": None, "@raw": None} and rows[1]["raw"] == "plain"

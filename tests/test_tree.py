@@ -170,3 +170,11 @@ def test_deep_chain_takes_few_rounds(spark, monkeypatch):
     got = tr.waterfalls(table(spark, chain))
     assert got.agg(F.max("depth")).first()[0] == 129
     assert len(rounds) <= 10
+
+
+def test_one_decimal_as_printed(spark):
+    pairs = [(n, d) for d in range(1, 401) for n in range(d + 1)]
+    from logloom.operators.spans import one_decimal
+
+    rows = spark.createDataFrame(pairs, "n int, d int").select("n", "d", one_decimal(F.col("n") / F.col("d") * 100).alias("v")).collect()
+    assert not [r for r in rows if r["v"] != float(f"{r['n'] / r['d'] * 100:.1f}")]
