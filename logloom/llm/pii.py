@@ -155,14 +155,17 @@ def find_personal(
     """``docs`` with ``out``: base spans and those of disclosing terms, (kind, start, end, removed).
 
     Spans are in code points, end exclusive, by start and then kind. Null and empty texts
-    have none. Rows stay as they are, repeated ids included: each is told apart by a
-    number of its own in the stored table of spans. A column called ``out`` is replaced.
+    have none. Rows stay as they are, repeated ids included. They find their spans in the
+    stored table by a digest of the text, salted with the row's columns so that copies of
+    a text spread; unlike a row number it is the same however often, and on however many
+    executors, ``docs`` is read. A column called ``out`` is replaced.
     Terms are judged over all texts of ``docs``; ties cannot arise, thresholds are strict.
     """
     small_batches(docs.sparkSession)
     row, found = free_name(docs, "row_number"), free_name(docs, "found")
     kept = docs.drop(out) if out in docs.columns else docs
-    numbered = kept.withColumn(row, F.monotonically_increasing_id())
+    salt = F.xxhash64(*[F.col(f"`{c}`") for c, kind in kept.dtypes if "map<" not in kind and "variant" not in kind])
+    numbered = kept.withColumn(row, F.unhex(F.sha2(F.concat_ws(" ", salt.cast("string"), F.col(text)).cast("binary"), 256)))
     spotted = numbered.select(F.col(row).alias("row"), _extract(reach)(F.col(text)).alias("x")).select("row", "x.*")
     spotted = materialize(spotted.filter(F.size("spans") > 0))
     single = spotted.select("row", F.explode("mentions").alias("m")).select("row", "m.*")
@@ -176,7 +179,7 @@ def find_personal(
         "spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.lit(False).alias("removed"))
     )
     none = F.array().cast("array<struct<kind:string,start:int,end:int,removed:boolean>>")
-    both = spotted.join(extra, "row", "left").select(
+    both = spotted.select("row", "spans").dropDuplicates(["row"]).join(extra, "row", "left").select(
         F.col("row").alias(row), F.concat(base, F.coalesce("terms", none)).alias(found)
     )
     rank = F.array(*[F.lit(k) for k in (*KINDS, TERM)])
