@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm.batches import free_name
+from logloom.llm.batches import free_name, steady_splits
 from logloom.session import materialize
 
 SPACE = "▁"
@@ -171,8 +171,10 @@ def encoded_documents(docs: DataFrame, path: str, text: str = "text") -> DataFra
     ``pieces_xor`` is the exclusive-or of the hashes of (position, ids) and so a digest of
     the whole encoding; ``round_trip`` says whether all units decode to themselves. Null
     and empty texts have no pieces and a digest of 0. Rows with repeated or null ids are
-    counted each by itself; columns called like the new ones are replaced.
+    counted each by itself; columns called like the new ones are replaced. Rows are told
+    apart by their place, so ``docs`` is a table as it is read, not the result of a shuffle.
     """
+    steady_splits(docs.sparkSession)
     row = free_name(docs, "row")
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
     encoded = encode(numbered, Vocabulary(docs.sparkSession, path), text, row)
