@@ -64,7 +64,7 @@ class Vocabulary:
 
 def units_of(text: Column, vocabulary: Vocabulary) -> Column:
     """Units of the normalised text; null and empty texts have none."""
-    whole = F.concat(F.lit(SPACE), F.translate(text, " ", SPACE))
+    whole = F.concat(F.lit(SPACE), F.replace(text, F.lit(" "), F.lit(SPACE)))
     pattern = UNITS if vocabulary.units_hold else rf"[{OPEN}{CLOSE}]|{SPACE}*[^{SPACE}{OPEN}{CLOSE}]+|{SPACE}+"
     return F.when(F.length(text) > 0, F.regexp_extract_all(whole, F.lit(pattern), 0)).otherwise(F.array().cast("array<string>"))
 
@@ -73,8 +73,9 @@ def lattice(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(unit, edges): pieces that occur in a unit, in the order of their rank; single characters too."""
     size = F.length("unit")
     starts = units.select("unit", F.explode(F.sequence(F.lit(1), size)).alias("at"))
-    lengths = F.sequence(F.lit(1), F.least(F.lit(vocabulary.longest), F.length("unit") - F.col("at") + 1))
-    spans = starts.select("unit", F.explode(F.transform(lengths, lambda n: F.col("unit").substr(F.col("at"), n))).alias("piece"))
+    lengths = F.sequence(F.lit(1), F.least(F.lit(vocabulary.longest), size - F.col("at") + 1))
+    places = starts.select("unit", "at", F.explode(lengths).alias("n"))
+    spans = places.select("unit", F.col("unit").substr(F.col("at"), F.col("n")).alias("piece"))
     edges = spans.join(F.broadcast(vocabulary.pieces), "piece")  # bounded: the model's vocabulary
     grouped = edges.groupBy("unit").agg(F.collect_set(F.struct("rank", "piece", "id")).alias("edges"))
     return units.join(grouped, "unit", "left").select("unit", F.sort_array(F.coalesce("edges", F.array())).alias("edges"))
@@ -82,19 +83,20 @@ def lattice(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 def fold(edges: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(unit, ids): the pieces of every unit."""
-    wrap = lambda *parts: F.concat(*[x for p in parts for x in (F.lit(OPEN), p, F.lit(CLOSE))])
+    one = lambda a: F.concat(F.lit(OPEN), a, F.lit(CLOSE))
+    two = lambda a, b: F.concat(F.lit(OPEN), a, F.lit(CLOSE + OPEN), b, F.lit(CLOSE))
     single = F.regexp_replace("unit", r"(?s)(.)", f"{OPEN}$1{CLOSE}")
 
     def joined(state: Column, edge: Column) -> Column:
         piece = edge["piece"]
         n = F.length(piece)
-        run = F.replace(state, F.repeat(F.lit(OPEN + SPACE + CLOSE), n), wrap(piece))
+        run = F.replace(state, F.repeat(F.lit(OPEN + SPACE + CLOSE), n), one(piece))
         halves = F.aggregate(
             F.sequence(F.lit(1), n - 1),
             state,
-            lambda s, k: F.replace(s, wrap(F.substr(piece, F.lit(1), k), F.substr(piece, k + 1)), wrap(piece)),
+            lambda s, k: F.replace(s, two(F.substr(piece, F.lit(1), k), F.substr(piece, k + 1)), one(piece)),
         )
-        return F.when(n == 1, state).when(F.translate(piece, SPACE, "") == "", run).otherwise(halves)
+        return F.when(n == 1, state).when(F.replace(piece, F.lit(SPACE), F.lit("")) == "", run).otherwise(halves)
 
     state = F.aggregate("edges", single, joined)
     tokens = F.when(F.col("unit").isin(OPEN, CLOSE), F.array("unit")).otherwise(
@@ -122,7 +124,7 @@ def fold(edges: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 def encode_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(unit, ids, intact) of distinct units; ``intact``: the ids decode to the unit."""
     found = fold(lattice(units, vocabulary), vocabulary)
-    return found.withColumn("intact", vocabulary.decoded(F.col("ids")) == F.translate("unit", SPACE, " "))
+    return found.withColumn("intact", vocabulary.decoded(F.col("ids")) == F.replace("unit", F.lit(SPACE), F.lit(" ")))
 
 
 def encode(
