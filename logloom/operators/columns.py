@@ -80,19 +80,14 @@ def is_plumbing(key: Column) -> Column:
 def column_stats(df: DataFrame) -> DataFrame:
     """``key``, ``present`` and ``variety`` (distinct values) of every column worth listing.
 
-    Null, empty and ``"null"`` values are not presence.
+    The core columns of ``df`` count like any field. Null, empty and ``"null"`` values are not presence.
     """
+    covered = {key: column for key, column in CORE_FIELDS.items() if column in df.columns}
     core = [
-        F.struct(
-            F.lit(key).alias("key"),
-            F.when(F.coalesce(field(key), F.lit("")).isin("", "null"), None)
-            .otherwise(F.lit("1"))
-            .alias("value"),
-        )
-        for key in (*LEADING, "@raw")
-        if CORE_FIELDS[key] in df.columns
+        F.struct(F.lit(key).alias("key"), F.col(f"`{column}`").cast("string").alias("value"))
+        for key, column in covered.items()
     ]
-    own = F.map_filter(F.col("attrs"), lambda k, _: ~k.isin(*LEADING, "@raw"))
+    own = F.map_filter(F.col("attrs"), lambda k, _: ~k.isin(*covered))
     pairs = df.select(F.inline(F.concat(F.array(*core), F.map_entries(own))) if core else F.explode(own).alias("key", "value"))
     pairs = pairs.filter(F.col("value").isNotNull() & ~F.col("value").isin("", "null"))
     last = F.regexp_extract("key", r"([^.]*)$", 1)

@@ -211,6 +211,10 @@ _ENTRIES = """entries as (
   union all select sequence, 'k', f_k from parsed where f_k is not null
   union all select sequence, 'amount', f_amount from parsed where f_amount is not null
   union all select sequence, 'http.status', f_status from parsed where f_status is not null)"""
+_CORE = "core as (" + " union all ".join(
+    f"select '@{key}' as key, count({column}) as present, count(distinct {column}) as variety from log_events"
+    for key, column in (("time", "event_time"), ("status", "status"), ("raw", "raw"), ("origin", "origin"), ("sequence", "sequence"))
+) + ")"
 _NORM = "lower(regexp_replace({c}, '^[$]', ''))"
 
 
@@ -244,17 +248,17 @@ select key, array_to_string(list_sort(list(value))[1:4], '|') as values from (se
 select e.key, cast(count(*) as double) as count, max(case when status = 'warn' then 'number' end) as type, 'message' as source,
  array_to_string(list_sort(list(distinct value)), '|') as values
 from entries e join log_events l on l.sequence = e.sequence group by e.key""",
-    "column_ranking": f"""with {LOG_EVENTS_SQL}, {_ENTRIES}, s as (
+    "column_ranking": f"""with {LOG_EVENTS_SQL}, {_ENTRIES}, {_CORE}, s as (
  select key, count(*) present, count(distinct value) variety from entries group by 1
- union all select '@time', count(*), 1 from log_events union all select '@status', count(*), 1 from log_events)
+ union all select * from core where key <> '@raw')
 select row_number() over (order by case key when '@time' then 0 when '@status' then 1 else 2 end, present desc, variety desc, key) as position,
  key, present, variety from s order by 1 limit 8""",
-    "column_ranking_narrow": f"""with {LOG_EVENTS_SQL}, {_ENTRIES}, s as (
+    "column_ranking_narrow": f"""with {LOG_EVENTS_SQL}, {_ENTRIES}, {_CORE}, s as (
  select key, count(*) present, count(distinct value) variety from entries group by 1
- union all select '@time', count(*), 1 from log_events union all select '@status', count(*), 1 from log_events),
+ union all select * from core where key <> '@raw'),
 r as (select row_number() over (order by case key when '@time' then 0 when '@status' then 1 else 2 end, present desc, variety desc, key) as position,
  key, present, variety from s order by 1 limit 3)
-select * from r union all select 4, '@raw', count(*), 1 from log_events""",
+select * from r union all select 4, * from core where key = '@raw'""",
     "listed_columns": f"""with {LOG_EVENTS_SQL}, {_ENTRIES}, s as (
  select e.key, min(struct_pack(t := l.event_time, s := l.sequence)) seen from entries e join log_events l on l.sequence = e.sequence
  group by 1),

@@ -40,6 +40,14 @@ def test_rank_columns(spark):
     assert ranked(spark, varied) == ["varied", "constant"]
 
 
+def test_core_columns_rank_by_their_own_values(spark):
+    df = events(spark, [{"@time": "t", "@status": s, "@raw": r, "f": "1"} for s, r in (("a", "x"), ("b", "y"), ("b", None), ("", "null"))])
+    df = df.withColumn("origin", F.col("status")).withColumn("sequence", F.monotonically_increasing_id())
+    got = {r["key"]: (r["present"], r["variety"]) for r in co.column_stats(df).collect()}
+    assert got == {"@time": (4, 1), "@status": (3, 2), "@raw": (2, 2), "@origin": (3, 2), "@sequence": (4, 4), "f": (4, 1)}
+    assert [r["key"] for r in co.rank_columns(df, 0).collect()] == ["@time", "@status", "@sequence", "f", "@origin"]
+
+
 def test_listed_columns(spark):
     df = events(spark, [{"@raw": "r", "z": "1", "b": "2"}, {"@time": "t", "a": "3", "z": None}]).withColumn("n", F.monotonically_increasing_id())
     got = [r["key"] for r in co.listed_columns(df.coalesce(1), ["n"]).orderBy("position").collect()]
