@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Application id -> temporary folder of a local session; the setting itself cannot change at run time.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def local_session(cores: int | str = 8, app: str = "logloom", memory: str = "8g") -> SparkSession:
     """Session for tests and benchmarks; a cluster brings its own."""
@@ -37,9 +40,9 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    fallback = tempfile.mkdtemp(prefix="logloom-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="logloom-")
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def materialize(df: DataFrame) -> DataFrame:
