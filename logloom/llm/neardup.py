@@ -310,21 +310,26 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
 
     Two texts are near-duplicates if the Jaccard of their sets of ``size``-word shingles is
     at least ``similarity``; groups are what is linked, also through others. Columns stay
-    as they are. An id stays if any of its rows leads its group; of rows that share an id
+    as they are. Of several texts under one id each is judged by itself, so an id stays
+    once for every group it leads; of rows that share an id and the words of their text
     one stays. Rows without an id stay only if nothing else is in their group, and then
     all of them do. Null and blank texts are one group.
     """
     found = materialize(similar_documents(docs, doc_id, text, size, similarity))
-    least = found.groupBy("root").agg(F.min("id").alias("component"))
-    first = found.join(least, "root").filter(F.col("id").eqNullSafe(F.col("component"))).select("id").distinct()
-    key = free_name(docs, "kept_id")
-    kept = docs.join(first.withColumnRenamed("id", key), F.col(doc_id).eqNullSafe(F.col(key)), "left_semi")
-    repeated = docs.filter(F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.count("*").alias("n")).filter("n > 1")
+    named = found.groupBy("root").agg(F.min(F.when(F.col("id").isNotNull(), F.struct("id", "digest"))).alias("first"))
+    # A text has one root, so (id, digest) tells which group a row leads.
+    led = found.join(named, "root").filter(F.struct("id", "digest").eqNullSafe(F.col("first")) | F.col("first").isNull())
+    key, digest = free_name(docs, "kept_id"), free_name(docs, "digest")
+    first = led.select(F.col("id").alias(key), F.col("digest").alias("of")).distinct()
+    marked = docs.withColumn(digest, _digest(F.col(text)))
+    kept = marked.join(first, F.col(doc_id).eqNullSafe(F.col(key)) & (F.col(digest) == F.col("of")), "left_semi")
+    repeated = found.filter(F.col("id").isNotNull()).groupBy("id", "digest").agg(F.count("*").alias("n")).filter("n > 1")
     if not repeated.limit(1).count():
-        return kept
+        return kept.drop(digest)
     rank = free_name(docs, "rank")
-    order = Window.partitionBy(doc_id).orderBy(F.xxhash64(F.to_json(F.struct(*docs.columns))))
-    return kept.withColumn(rank, F.row_number().over(order)).filter((F.col(rank) == 1) | F.col(doc_id).isNull()).drop(rank)
+    order = Window.partitionBy(doc_id, digest).orderBy(F.xxhash64(F.to_json(F.struct(*docs.columns))))
+    ranked = kept.withColumn(rank, F.row_number().over(order))
+    return ranked.filter((F.col(rank) == 1) | F.col(doc_id).isNull()).drop(rank, digest)
 
 
 def simhash_components(docs: DataFrame) -> DataFrame:

@@ -112,3 +112,14 @@ def test_pipeline_stage_against_brute_force(spark, documents):
     groups = brute_groups(texts)
     assert kept == set(groups.values())
     assert len({r.component_id for r in neardup.near_duplicates(docs).selectExpr("component as component_id").collect()}) > len(kept)
+
+
+def test_repeated_ids_with_different_texts(spark):
+    def words(name):
+        return " ".join(f"{name}{i}" for i in range(40))
+
+    rows = [(1, words("a")), (2, words("b")), (2, words("a")), (2, words("c")), (3, words("b")), (3, words("B")), (4, words("c"))]
+    rows += [(4, words("d")), (5, words("d").upper()), (6, words("e")), (6, words("e")), (None, words("a")), (None, words("f"))]
+    kept = neardup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = [(1, words("a")), (2, words("b")), (2, words("c")), (4, words("d")), (6, words("e")), (None, words("f"))]
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted((i or 0, t) for i, t in want)
