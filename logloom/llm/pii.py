@@ -7,8 +7,8 @@ what else to hide: over the whole corpus, a term's co-occurrence with an entity
 occurs at all. The pointwise mutual information PMI(entity; term) is what the term tells
 about the entity, IC(entity) = -log2 p(entity) is all there is to tell; a term that tells
 more than ``disclose`` of it is generalised, more than ``remove`` of it removed, wherever
-it stands around that entity. Equal contexts count once, so that copies of one text do
-not make its words telling.
+it stands around that entity. Equal contexts and equal texts count once, so that copies of
+one text make its words neither telling nor common.
 """
 
 from __future__ import annotations
@@ -126,14 +126,15 @@ def telling_terms(mentions: DataFrame, docs: DataFrame, text: str, reach: int, d
     """(entity, term, removed): terms that tell more than ``disclose`` of an entity.
 
     ``mentions`` has entity, context and terms. A pair counts in at least ``support``
-    different contexts.
+    different contexts. Words are counted over the different texts of ``docs``.
     """
     contexts = mentions.select("entity", "context").distinct()
     many = contexts.groupBy("entity").agg(F.count("*").alias("n_entity")).filter(F.col("n_entity") >= support)
     terms = contexts.select("entity", F.explode(F.array_distinct(F.split("context", " "))).alias("term")).filter("term <> ''")
     pairs = terms.groupBy("entity", "term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= support)
     pairs = materialize(pairs.join(many, "entity"))
-    words = docs.select(F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(WORDS), 0)).alias("term"))
+    texts = docs.select(F.lower(F.col(text)).alias("text")).distinct()
+    words = texts.select(F.explode(F.regexp_extract_all("text", F.lit(WORDS), 0)).alias("term"))
     counts = materialize(words.groupBy("term").agg(F.count("*").alias("n_term")))
     total = counts.agg(F.sum("n_term")).first()[0] or 1
     # Of the n_entity * 2 * reach words around the entity, n_both are the term; of all words, n_term.
@@ -159,7 +160,7 @@ def find_personal(
     stored table by a digest of the text, salted with the row's columns so that copies of
     a text spread; unlike a row number it is the same however often, and on however many
     executors, ``docs`` is read. A column called ``out`` is replaced.
-    Terms are judged over all texts of ``docs``; ties cannot arise, thresholds are strict.
+    Terms are judged over all texts of ``docs``, equal ones once; ties cannot arise, thresholds are strict.
     """
     small_batches(docs.sparkSession)
     row, found = free_name(docs, "row_number"), free_name(docs, "found")

@@ -80,3 +80,17 @@ def test_odd_documents(spark, odd_docs, no_docs):
 def test_overlaps_are_hidden_once():
     spans = [{"kind": "card", "start": 2, "end": 9, "removed": False}, {"kind": "phone", "start": 0, "end": 6, "removed": False}]
     assert pii.hidden("0123456789", spans) == "[PHONE]9"
+
+
+def test_copies_do_not_change_the_terms(spark):
+    filler = " ".join(f"common{i % 7} word{i % 11} to at" for i in range(60))
+    docs = [(i, f"{filler} write{chr(97 + i)} to Zanzibar at joe@x.org about{chr(97 + i)} word1 {filler}") for i in range(6)]
+    rest = [(100 + i, f"{filler} mail word2 box{i}@y.org {filler}") for i in range(30)]
+
+    def terms(rows):
+        found = pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        return {(r.doc_id % 1000, r.spans) for r in found}
+
+    once = terms(docs + rest)
+    assert any("term:" in spans for _, spans in once)
+    assert terms(docs + rest + [(1000 * k + i, t) for k in range(1, 60) for i, t in docs]) == once
