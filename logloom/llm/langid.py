@@ -6,8 +6,7 @@ its neighbours, forward-backward gives the probabilities. A document's language
 one with the most probability mass, its score that language's share.
 
 The field is fitted on a bounded sample of labelled documents (``rows_per_lang`` rows
-of each language, at most ``max_langs`` languages, ``sample_chars`` characters of any
-of them). The words of a sampled document carry its language; the training sequences
+of each language that occurs, ``sample_chars`` characters of any of them). The words of a sampled document carry its language; the training sequences
 string together runs of different documents, so that transitions between languages
 are learned from switches and not only from their absence.
 """
@@ -36,18 +35,16 @@ def words_of(text: str | None) -> list[str]:
     return regex.findall(LETTERS, text.lower()) if text else []
 
 
-def training_sample(docs: DataFrame, text: str, lang: str, rows_per_lang: int, max_langs: int) -> list[tuple[str, str]]:
-    """Up to ``rows_per_lang`` (language, text) of each of the ``max_langs`` most frequent languages.
+def training_sample(docs: DataFrame, text: str, lang: str, rows_per_lang: int) -> list[tuple[str, str]]:
+    """Up to ``rows_per_lang`` (language, text) of every language.
 
     Equal texts count once; which are taken depends only on a hash of the text.
     """
     named = docs.filter(F.col(lang).isNotNull() & F.col(text).rlike(LETTERS)).select(
         F.col(lang).cast("string").alias("lang"), F.xxhash64(text).alias("h"), F.length(text).alias("n"), F.col(text).alias("text")
     )
-    top = named.groupBy("lang").agg(F.count("*").alias("c")).orderBy(F.desc("c"), "lang").limit(max_langs)
-    langs = [r["lang"] for r in top.collect()]
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    keys = named.filter(F.col("lang").isin(langs)).select("lang", "h").distinct()
+    keys = named.select("lang", "h").distinct()
     picked = {(r["lang"], r["h"]) for r in keys.withColumn("r", rank).filter(F.col("r") <= rows_per_lang).collect()}
     hashes = sorted({h for _, h in picked})
     found = {}
@@ -87,18 +84,18 @@ def identify(
     lang: str = "lang",
     out: str = "language",
     rows_per_lang: int = 120,
-    max_langs: int = 64,
 ) -> DataFrame:
-    """``docs`` with a struct ``out``: ``lang_pred``, ``score``, ``n_words`` and ``shares``.
+    """``docs`` with a struct ``out``: ``lang_pred``, ``score``, ``n_words``, ``shares`` and ``sure``.
 
-    ``shares`` maps every language to its part of the words' probability mass. A text
+    ``shares`` maps every language to its part of the words' probability mass, ``sure`` is
+    the mean of every word's highest probability, whichever language has it. A text
     that is null, empty or has no letter gets ``und`` with score 0; so does every text if
     ``labelled`` holds no labelled text. Ties go to the first language by name. Rows are
     kept as they are, repeated ids included; a column called ``out`` is replaced.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    sample = training_sample(labelled, text, lang, rows_per_lang, max_langs)
+    sample = training_sample(labelled, text, lang, rows_per_lang)
     model = spark.sparkContext.broadcast(train(sample).parts() if sample else None)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -108,26 +105,28 @@ def identify(
             split = [words_of(t) for t in texts]
             for probs in tagger.tag(split) if tagger else [()] * len(split):
                 if not len(probs):
-                    rows.append((UNKNOWN, 0.0, 0, {}))
+                    rows.append((UNKNOWN, 0.0, 0, {}, 0.0))
                     continue
                 share = probs.mean(axis=0)
                 best = int(share.argmax())
                 labels = model.value[0]
-                rows.append((labels[best], min(1.0, float(share[best])), len(probs), dict(zip(labels, share.tolist(), strict=True))))
-            yield pd.DataFrame(rows, columns=["lang_pred", "score", "n_words", "shares"])
+                shares = dict(zip(labels, share.tolist(), strict=True))
+                sure = min(1.0, float(probs.max(axis=1).mean()))
+                rows.append((labels[best], min(1.0, float(share[best])), len(probs), shares, sure))
+            yield pd.DataFrame(rows, columns=["lang_pred", "score", "n_words", "shares", "sure"])
 
-    kind = "lang_pred string, score double, n_words long, shares map<string,double>"
+    kind = "lang_pred string, score double, n_words long, shares map<string,double>, sure double"
     return docs.withColumn(out, F.pandas_udf(run, kind)(F.col(text)))
 
 
-def keep_identified(docs: DataFrame, labelled: DataFrame, min_score: float = 0.4, text: str = "text", lang: str = "lang") -> DataFrame:
-    """Documents with a language that holds at least ``min_score`` of the words; columns stay as they are.
+def keep_identified(docs: DataFrame, labelled: DataFrame, min_sure: float = 0.4, text: str = "text", lang: str = "lang") -> DataFrame:
+    """Documents whose words have a language each, sure by ``min_sure`` on average; columns stay as they are.
 
-    Null, empty and letterless texts go.
+    How many languages share a text does not matter. Null, empty and letterless texts go.
     """
     out = free_name(docs, "language")
     found = identify(docs, labelled, text, lang, out)
-    return found.filter((F.col(f"{out}.lang_pred") != UNKNOWN) & (F.col(f"{out}.score") >= min_score)).drop(out)
+    return found.filter((F.col(f"{out}.lang_pred") != UNKNOWN) & (F.col(f"{out}.sure") >= min_sure)).drop(out)
 
 
 def learning_part(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:

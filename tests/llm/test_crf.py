@@ -99,3 +99,17 @@ def test_odd_toxicity(spark, odd_docs, no_docs):
     none = toxicity.score_toxicity(odd_docs, known.filter("false")).select("toxicity.score").distinct().collect()
     assert [r.score for r in none] == [0.0]
     assert toxicity.toxicity_scores(no_docs, known).count() == 0
+
+
+def test_switched_texts_stay_and_every_language_is_learned(spark):
+    rng = np.random.default_rng(2)
+    stems = {lang: [a + b + c for a in lang for b in "aeiou" for c in lang] for lang in ("bdg", "kpt", "lmn", "rsv", "fhj")}
+    def text(lang, n=40):
+        return " ".join("".join(rng.choice(stems[lang], 2)) for _ in range(n))
+    docs = [(i, text(lang), lang) for i, lang in enumerate([*stems] * 8)]
+    mixed = [(100, " ".join(text(lang, 12) for lang in stems), "mixed"), (101, "12 34 !", None), (102, None, "bdg")]
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = langid.keep_identified(frame(docs + mixed), frame(docs)).collect()
+    assert {r.doc_id for r in kept} == {*range(40), 100}
+    many = frame([(i, f"word{chr(97 + i % 26)}{chr(97 + i // 26)}", f"l{i}") for i in range(90)])
+    assert len(langid.training_sample(many, "text", "lang", 2)) == 90
