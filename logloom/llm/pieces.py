@@ -168,32 +168,38 @@ def assemble(encoded: DataFrame) -> DataFrame:
 
 
 def encoded_documents(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``docs`` without their text, with ``n_units``, ``n_pieces``, ``pieces_xor`` and ``round_trip``.
-
-    ``pieces_xor`` is the exclusive-or of the hashes of (position, ids) and so a digest of
-    the whole encoding; ``round_trip`` says whether all units decode to themselves. Null
-    and empty texts have no pieces and a digest of 0. Rows with repeated or null ids are
-    counted each by itself; columns called like the new ones are replaced. Rows are told
-    apart by their place, so ``docs`` is a table as it is read, not the result of a shuffle.
+    """``docs`` without their text, with ``ids``, ``n_units``, ``n_pieces``, ``pieces_xor`` and ``round_trip``.
+
+    ``ids`` are the piece ids of the whole text in order, ``pieces_xor`` is the exclusive-or
+    of the hashes of (position, ids) of its units; ``round_trip`` says whether ``decode``
+    gives the text back, which it does not if the text holds the model's own sign for a
+    blank. Null and empty texts have no pieces and a digest of 0. Rows with repeated or
+    null ids are encoded each by itself; columns called like the new ones are replaced.
+    Rows are told apart by their place, so ``docs`` is a table as it is read, not the
+    result of a shuffle.
     """
     steady_splits(docs.sparkSession)
-    row = free_name(docs, "row")
+    row, digest = free_name(docs, "row"), free_name(docs, "text_digest")
+    vocabulary = Vocabulary(docs.sparkSession, path)
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    encoded = encode(numbered, Vocabulary(docs.sparkSession, path), text, row)
-    figures = encoded.groupBy("row").agg(
+    parts = encode(numbered, vocabulary, text, row).groupBy("row").agg(
         F.count("*").alias("n_units"),
         F.sum(F.size("ids")).alias("n_pieces"),
         F.bit_xor(F.xxhash64("position", "ids")).alias("pieces_xor"),
-        F.bool_and("intact").alias("round_trip"),
+        F.sort_array(F.collect_list(F.struct("position", "ids"))).alias("parts"),
     )
-    new = {"n_units": 0, "n_pieces": 0, "pieces_xor": 0, "round_trip": True}
-    kept = numbered.drop(text, *new)
+    figures = parts.withColumn("ids", F.flatten(F.transform("parts", lambda p: p["ids"]))).drop("parts")
+    figures = figures.withColumn("decoded", F.sha2(decode(F.col("ids"), vocabulary).cast("binary"), 256))
+    new = {"n_units": F.lit(0), "n_pieces": F.lit(0), "pieces_xor": F.lit(0), "ids": F.array().cast("array<int>")}
+    # The digest stands for the text, so that no text is shuffled.
+    kept = numbered.withColumn(digest, F.sha2(F.col(text).cast("binary"), 256)).drop(text, *new, "round_trip")
     joined = kept.join(figures.withColumnRenamed("row", row), row, "left")
+    whole = F.coalesce(F.col("decoded") == F.col(digest), F.lit(True)).alias("round_trip")
     return joined.select(
-        *[F.col(f"`{c}`") for c in kept.columns if c != row], *[F.coalesce(c, F.lit(v)).alias(c) for c, v in new.items()]
+        *[F.col(f"`{c}`") for c in kept.columns if c not in (row, digest)], *[F.coalesce(c, v).alias(c) for c, v in new.items()], whole
     )
 
 
 def piece_counts(docs: DataFrame, path: str) -> DataFrame:
-    """Units, pieces and the digest of the encoding of every document."""
+    """Piece ids of every document, with their counts and digest and whether they decode to it."""
     return encoded_documents(docs.select("doc_id", "text"), path)

@@ -43,3 +43,12 @@ def test_figures_of_odd_documents(odd_docs, no_docs):
     assert counts == sorted((r.doc_id or 0, len(MODEL.encode(r.text or ""))) for r in odd_docs.collect())
     assert all(r.round_trip for r in rows.collect())
     assert pieces.piece_counts(no_docs, PATH).count() == 0
+
+
+def test_ids_and_round_trip_of_documents(spark, documents):
+    texts = [(r.doc_id, r.text) for r in documents.limit(60).collect()]
+    texts += [(-1, None), (-2, ""), (-3, "a\u2581b \u2581"), (-4, "a b  "), (-4, "\u0001日本\u0002")]
+    rows = pieces.piece_counts(spark.createDataFrame(texts, "doc_id long, text string"), PATH).collect()
+    assert sorted((r.doc_id, r.ids) for r in rows) == sorted((i, MODEL.encode(t or "")) for i, t in texts)
+    assert [r.doc_id for r in rows if not r.round_trip] == [-3]
+    assert all(r.n_pieces == len(r.ids) for r in rows)
