@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from logloom.llm import ann, decontam, langid, neardup, pieces, pii, sharding, tokencount, toxicity, warc
+from logloom.llm import ann, decontam, hardneg, langid, neardup, packing, pieces, pii, sharding, tokencount, toxicity, trie, warc
 from logloom.llm.batches import table
 
 
@@ -48,7 +48,23 @@ def op10_decontamination(spark, sf_dir):
     return decontam.decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_personal_data, op2_language_id, op3_sentencepiece, op4_toxicity, op5_sharding, op6_nearest, op7_token_counts, op8_warc, op9_simhash_components, op10_decontamination)}
+def op11_prefix_trie(spark, sf_dir):
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_packing(spark, sf_dir):
+    return packing.packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_hard_negatives(spark, sf_dir):
+    return hardneg.mined_negatives(table(spark, sf_dir, "embeddings"))
+
+
+_ALL = (
+    op1_personal_data, op2_language_id, op3_sentencepiece, op4_toxicity, op5_sharding, op6_nearest, op7_token_counts,
+    op8_warc, op9_simhash_components, op10_decontamination, op11_prefix_trie, op12_packing, op13_hard_negatives,
+)
+QUERIES = {f.__name__: f for f in _ALL}
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
@@ -80,4 +96,35 @@ select doc.doc_id, len(w) n_words, coalesce(n_hit, 0) n_hit, coalesce(len(l), 0)
   sha256(coalesce(array_to_string(l, ','), '')) items_sha256,
   coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) contaminated
 from doc left join words using (doc_id) left join items using (doc_id)""",
+    "op11_prefix_trie": """
+with t as (select conv_id, coalesce(role, '') r, coalesce(text, '') x,
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) i
+  from conversations where conv_id is not null),
+own as (select conv_id, max(i) n, list({'r': r, 'x': x} order by i) s from t group by conv_id),
+sized as (select *, list_reduce(list_transform(range(length(cast(conv_id as varchar))), lambda k: cast(ascii(substr(cast(conv_id as varchar), k + 1, 1)) as bigint)),
+    lambda c, b: list_reduce(range(8), lambda d, k: xor(d >> 1, (d & 1) * 3988292384), xor(c, b)), 4294967295) f from own),
+heads as (select sized.conv_id, sized.s, coalesce(b.s, []) base, (4294967295 - f) % 4 h
+  from sized left join own b on b.conv_id = sized.conv_id - sized.conv_id % 20),
+built as (select conv_id, list_concat(base[1:h], s[h + 1:]) s from heads),
+members as (select conv_id, d depth, s[1:d] p, len(s) = d ended from (select conv_id, s, unnest(range(len(s) + 1)) d from built)),
+nodes as (select p, depth, min(conv_id) conv_id, count(*) n_convs, string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where ended) ends,
+    case when depth = 0 then 0 else (count(*) - 1) * len(regexp_extract_all(p[depth]['x'], '[^\x20\x09-\x0D]+')) end cost
+  from members group by p, depth),
+kids as (select c.p[1:c.depth - 1] p, count(*) n_children from nodes c where depth > 0 group by 1),
+full_nodes as (select nodes.*, coalesce(n_children, 0) n_children from nodes left join kids using (p)),
+sums as (select p, count(*) filter (where n_children = 0) n_leaves, sum(cost) saved_tokens
+  from (select n_children, cost, unnest(list_transform(range(depth + 1), lambda k: full_nodes.p[1:k])) p from full_nodes) group by p)
+select n.conv_id, n.depth, parent.conv_id parent_conv_id, n.n_convs, n.n_children, n_leaves, cast(saved_tokens as bigint) saved_tokens,
+  sha256(coalesce(n.ends, '')) ends_sha256
+from full_nodes n join sums using (p) left join nodes parent on n.depth > 0 and parent.p = n.p[1:n.depth - 1]""",
+    "op13_hard_negatives": """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end l,
+    list_transform(embedding, lambda x: floor(256 * cast(x as double))) e
+  from embeddings where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id a, b.vec_id b, a.l = b.l same, cast(list_inner_product(a.e, b.e) as bigint) s
+  from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+p as (select * from (select *, row_number() over (partition by a order by s desc, b) r from s where same) where r <= 5),
+n as (select p.a, p.b, s.b negative_id, p.s positive_score, s.s negative_score, row_number() over (partition by p.a, p.b order by s.s desc, s.b) r
+  from p join s on s.a = p.a and not s.same and 30 * p.s <= 100 * s.s and 100 * s.s <= 90 * p.s)
+select a anchor_id, b positive_id, r as rank, negative_id, positive_score, negative_score from n where r <= 10""",
 }
