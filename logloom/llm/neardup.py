@@ -7,15 +7,10 @@ quarter counts that differ by at most ``radius`` in total, so only tiles that ne
 meet, through an equi-join on the quarter counts, and all other tile pairs are
 skipped. A pair of tiles is compared exactly with numpy (exclusive-or, bit count)
 and yields a spanning forest of its links rather than the links themselves.
-
-The stage that drops near-duplicates does not go by fingerprints: at a Jaccard of 0.8 they
-differ in about ten bits. It finds candidates by bands of minima of the shingles' hashes,
-at 0.8 all but one in a billion pairs, and links those whose shingle sets are that similar.
 """
 
 from __future__ import annotations
 
-import hashlib
 import itertools
 from collections.abc import Iterator
 
@@ -31,8 +26,6 @@ from logloom.session import materialize
 
 BITS, QUARTERS = 64, 4
 SEED = 42  # of the shingles' XXH64
-BANDS, ROWS = 40, 4  # of the minima; (1 - 0.8^4)^40 is 7e-10
-STARS = 3
 
 
 def shingles_of(text: str | None, size: int, step: int = 1 << 14) -> Iterator[list[bytes]]:
@@ -180,156 +173,34 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return prints.join(others.unionByName(alone), "fp").select("id", "fp", "component")
 
 
-def _words(text: str | None) -> bytes:
-    """What the shingles of a text depend on: its words, A-Z lower-cased."""
-    return b" ".join(text.encode().lower().split()) if text else b""
-
-
-def _digest_of(text: str | None) -> bytes:
-    return hashlib.blake2b(_words(text), digest_size=16).digest()
-
-
-def shingle_set(text: str | None, size: int) -> np.ndarray:
-    """The distinct hashes of the text's shingles, sorted."""
-    import xxhash
-
-    parts = [np.array([xxhash.xxh64_intdigest(s, SEED) for s in part], dtype=np.uint64) for part in shingles_of(text, size)]
-    return np.unique(np.concatenate(parts)) if parts else np.array([], dtype=np.uint64)
-
-
-def bands_of(shingles: np.ndarray) -> list[int]:
-    """One number for each of ``BANDS`` bands of ``ROWS`` minima of the set; sets with the Jaccard j share a band with 1 - (1 - j^ROWS)^BANDS."""
-    import xxhash
-
-    if not len(shingles):
-        return []
-    rng = np.random.default_rng(SEED)
-    factors = rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    terms = rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for start in range(0, len(shingles), 512):
-        np.minimum(least, (shingles[start : start + 512, None] * factors + terms).min(axis=0), out=least)
-    rows = least.reshape(BANDS, ROWS)
-    return [int(np.uint64(xxhash.xxh64_intdigest(r.tobytes(), i)).astype(np.int64)) for i, r in enumerate(rows)]
-
-
-def _digest(text: Column) -> Column:
-    return F.pandas_udf(lambda texts: pd.Series([_digest_of(t) for t in texts], dtype=object), "binary")(text)
-
-
-def _sketch(size: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame(
-                {
-                    "id": batch["id"],
-                    "digest": [_digest_of(t) for t in batch["text"]],
-                    "bands": [bands_of(shingle_set(t, size)) for t in batch["text"]],
-                }
-            )
-
-    return run
-
-
-def _verify(size: int, similarity: float):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets: dict[bytes, np.ndarray] = {}
-            near = []
-            for a, b, text_a, text_b in zip(batch["a"], batch["b"], batch["text_a"], batch["text_b"], strict=True):
-                for digest, text in ((a, text_a), (b, text_b)):
-                    if digest not in sets:
-                        sets[digest] = shingle_set(text, size)
-                common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-                near.append(common / max(1, len(sets[a]) + len(sets[b]) - common) >= similarity)
-            yield batch.loc[near, ["a", "b"]]
-
-    return run
-
-
-def similar_classes(docs: DataFrame, prints: DataFrame, text: str, size: int, similarity: float) -> DataFrame:
-    """(node, root): digests of texts linked, also through others, by a Jaccard of at least ``similarity``.
-
-    ``prints`` holds digest and bands of every row. Texts that share a band are
-    candidates, and only pairs whose shingles are that similar are links. Every text is
-    first compared with one candidate outside of its component, ``STARS`` times, so that
-    large groups are together before the rest, all candidates in different components,
-    is compared in pairs.
-    """
-    bands = prints.dropDuplicates(["digest"]).select("digest", F.explode("bands").alias("key"))
-    often = bands.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    shared = materialize(bands.join(often, "key").select("key", "digest"))
-    met = shared.select("digest").distinct()
-    texts = docs.select(_digest(F.col(text)).alias("digest"), F.col(text).alias("text"))
-    texts = materialize(texts.join(met, "digest", "left_semi").dropDuplicates(["digest"]))
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(texts.select(F.col("digest").alias("a"), F.col("text").alias("text_a")), "a")
-        both = both.join(texts.select(F.col("digest").alias("b"), F.col("text").alias("text_b")), "b")
-        return materialize(both.select("a", "b", "text_a", "text_b").mapInPandas(_verify(size, similarity), "a binary, b binary"))
-
-    def placed(linked: DataFrame | None) -> DataFrame:
-        """The candidates with their roots, without keys whose texts are all of one component."""
-        if linked is None:
-            return shared.withColumn("root", F.col("digest"))
-        named = shared.join(linked.withColumnRenamed("node", "digest"), "digest", "left")
-        named = named.withColumn("root", F.coalesce("root", "digest"))
-        open_keys = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-        return materialize(named.join(open_keys.select("key"), "key"))
-
-    links, linked = None, None
-    for turn in range(STARS + 1):
-        places = placed(linked)
-        if turn < STARS:
-            order = F.struct(F.xxhash64(F.lit(turn), "digest").alias("h"), F.col("digest").alias("digest"), F.col("root").alias("root"))
-            centre = places.groupBy("key").agg(F.min(order).alias("c"))
-            star = places.join(centre, "key").filter("root <> c.root")
-            pairs = star.groupBy(F.col("digest").alias("a")).agg(F.min("c").alias("c")).select("a", F.col("c.digest").alias("b"))
-        else:
-            left = places.select("key", F.col("digest").alias("a"), F.col("root").alias("root_a"))
-            right = places.select("key", F.col("digest").alias("b"), F.col("root").alias("root_b"))
-            pairs = left.join(right, "key").filter("root_a < root_b").select("a", "b").distinct()
-        found = verified(pairs)
-        links = found if linked is None else linked.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found)
-        linked = materialize(components(links))
-    return linked
-
-
-def similar_documents(docs: DataFrame, doc_id: str, text: str, size: int, similarity: float) -> DataFrame:
-    """(id, digest, root) of every row: digest of its words, and the digest that names its component."""
-    small_batches(docs.sparkSession)
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    prints = materialize(rows.mapInPandas(_sketch(size), f"id {kind}, digest binary, bands array<long>"))
-    linked = similar_classes(docs, prints, text, size, similarity).withColumnRenamed("node", "digest")
-    return prints.select("id", "digest").join(linked, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
-
-
-def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, similarity: float = 0.8) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3, radius: int = 3) -> DataFrame:
     """One document of each group of near-duplicates: that with the smallest id.
 
-    Two texts are near-duplicates if the Jaccard of their sets of ``size``-word shingles is
-    at least ``similarity``; groups are what is linked, also through others. Columns stay
-    as they are. Of several texts under one id each is judged by itself, so an id stays
-    once for every group it leads; of rows that share an id and the words of their text
-    one stays. Rows without an id stay only if nothing else is in their group, and then
-    all of them do. Null and blank texts are one group.
+    Two texts are near-duplicates if their fingerprints of ``size``-word shingles differ in at
+    most ``radius`` bits; groups are what is linked, also through others. Columns stay as they
+    are. Of several texts under one id each is judged by itself, so an id stays once for every
+    group it leads; of rows that share an id and a fingerprint one stays. Rows without an id
+    stay only if nothing else is in their group, and then all of them do. Null, empty and blank
+    texts are one group. An empty table gives no rows.
     """
-    found = materialize(similar_documents(docs, doc_id, text, size, similarity))
-    named = found.groupBy("root").agg(F.min(F.when(F.col("id").isNotNull(), F.struct("id", "digest"))).alias("first"))
-    # A text has one root, so (id, digest) tells which group a row leads.
-    led = found.join(named, "root").filter(F.struct("id", "digest").eqNullSafe(F.col("first")) | F.col("first").isNull())
-    key, digest = free_name(docs, "kept_id"), free_name(docs, "digest")
-    first = led.select(F.col("id").alias(key), F.col("digest").alias("of")).distinct()
-    marked = docs.withColumn(digest, _digest(F.col(text)))
-    kept = marked.join(first, F.col(doc_id).eqNullSafe(F.col(key)) & (F.col(digest) == F.col("of")), "left_semi")
-    repeated = found.filter(F.col("id").isNotNull()).groupBy("id", "digest").agg(F.count("*").alias("n")).filter("n > 1")
+    small_batches(docs.sparkSession)
+    prints = materialize(docs.select(F.col(doc_id).alias("id"), fingerprint(F.col(text), size).alias("fp")))
+    linked = materialize(components(tile_links(prints.select("fp").distinct(), radius)))
+    found = prints.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    named = found.groupBy("root").agg(F.min(F.when(F.col("id").isNotNull(), F.struct("id", "fp"))).alias("first"))
+    # A fingerprint has one root, so (id, fingerprint) tells which group a row leads.
+    led = found.join(named, "root").filter(F.struct("id", "fp").eqNullSafe(F.col("first")) | F.col("first").isNull())
+    key, own = free_name(docs, "kept_id"), free_name(docs, "fingerprint")
+    first = led.select(F.col("id").alias(key), F.col("fp").alias("of")).distinct()
+    marked = docs.withColumn(own, fingerprint(F.col(text), size))
+    kept = marked.join(first, F.col(doc_id).eqNullSafe(F.col(key)) & (F.col(own) == F.col("of")), "left_semi")
+    repeated = prints.filter(F.col("id").isNotNull()).groupBy("id", "fp").agg(F.count("*").alias("n")).filter("n > 1")
     if not repeated.limit(1).count():
-        return kept.drop(digest)
+        return kept.drop(own)
     rank = free_name(docs, "rank")
-    order = Window.partitionBy(doc_id, digest).orderBy(F.xxhash64(F.to_json(F.struct(*docs.columns))))
+    order = Window.partitionBy(doc_id, own).orderBy(F.xxhash64(F.to_json(F.struct(*docs.columns))))
     ranked = kept.withColumn(rank, F.row_number().over(order))
-    return ranked.filter((F.col(rank) == 1) | F.col(doc_id).isNull()).drop(rank, digest)
+    return ranked.filter((F.col(rank) == 1) | F.col(doc_id).isNull()).drop(rank, own)
 
 
 def simhash_components(docs: DataFrame) -> DataFrame:
