@@ -92,12 +92,16 @@ def search(forest: list[Tree], point: np.ndarray, visits: int) -> list[tuple[int
 
 
 def usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
-    """(id, v) of the vectors that take part: the commonest length, all components finite, not all zero."""
+    """(id, v) of the vectors with id and components, all of them finite and not all zero."""
     rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).alias("v")).filter("id is not null and size(v) > 0")
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = rows.filter(finite & F.exists("v", lambda x: x != 0))
+    return rows.filter(finite & F.exists("v", lambda x: x != 0))
+
+
+def commonest_length(rows: DataFrame) -> int:
+    """Length of most vectors, the smaller of equally common ones; 0 if there are none."""
     lengths = rows.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), "n").limit(1).collect()
-    return rows.filter(F.size("v") == (lengths[0]["n"] if lengths else 0))
+    return lengths[0]["n"] if lengths else 0
 
 
 def _classes(rows: DataFrame, keep: int) -> DataFrame:
@@ -176,7 +180,7 @@ def nearest(
 
     Euclidean distance in double precision on the original components; ties go to the
     smaller id. Vectors that are null, empty, zero, hold a null, a NaN or an infinity, or
-    differ from the commonest length take no part, neither do rows without id. Repeated
+    differ from the commonest length of ``vectors`` take no part, neither do rows without id. Repeated
     ids are rows of their own, but none of them is its own neighbour. Fewer than ``k``
     others: all of them. Empty tables give no rows. The forest is fitted on at most
     about ``sample_rows`` vectors; all are indexed. ``share`` of all leaves is searched:
@@ -184,10 +188,12 @@ def nearest(
     """
     spark = vectors.sparkSession
     small_batches(spark)
-    members = materialize(_classes(usable(vectors, vec_id, vector), k + 1))
+    rows = usable(vectors, vec_id, vector)
+    fits = F.size("v") == commonest_length(rows)
+    members = materialize(_classes(rows.filter(fits), k + 1))
     heads = members.filter("id = c").select("c", "v").dropDuplicates(["c"])
     total = heads.count()
-    wanted = usable(queries, vec_id, vector)
+    wanted = usable(queries, vec_id, vector).filter(fits)
     asked = materialize(wanted.select(F.col("id").alias("query_id"), F.min("id").over(Window.partitionBy("v")).alias("q"), "v"))
     if not total:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")

@@ -52,3 +52,13 @@ def test_odd_vectors(spark):
     assert {r.query_id for r in got.collect()} == {1, 2}
     assert ann.nearest(frame.filter("false"), frame).count() == 0
     assert ann.nearest(frame, frame.filter("false")).count() == 0
+
+
+def test_queries_of_another_length_take_no_part(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(size=2)]) for i in range(1, 200, 2)]
+    rows += [(100 * i, [float(x) for x in rng.normal(size=2 if i % 4 == 0 else 3)]) for i in range(1, 40)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = brute([(i, v) for i, v in rows if len(v) == 2], 10)
+    got = found(ann.nearest(frame, frame.filter("vec_id % 100 = 0"), share=1.0))
+    assert set(got) == {i for i, v in rows if i % 100 == 0 and len(v) == 2} and got == {i: want[i] for i in got}
