@@ -9,9 +9,14 @@ ordered by nature. Two facts make it a distributed job with the exact result:
 * A cluster only ever widens. A form that a cluster covers now is covered for
   good, so all such forms can be dropped from the ordered part at once.
 
-Counting is the usual partial aggregation. The ordered part runs per token
-count on blocks of the earliest forms that no cluster covers yet; its work and
-memory follow the number of clusters, not the number of lines.
+What is left is a sequence, taken in blocks per token count. An inverted index of the
+clusters, a table of (place, token), tells for every form of a block which cluster fits it
+best as the block begins, by an equi-join and a count. Clusters only gain hits, so during
+the block that one can only be beaten by clusters the block itself has changed. The ordered
+step therefore holds a block and the clusters its forms point at, never all clusters.
+
+Which forms a cluster covers is a join too, on the cluster's rarest token. Counting is the
+usual partial aggregation.
 """
 
 from __future__ import annotations
@@ -20,6 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from logloom.functions.mask import has_words, mask_tokens
 from logloom.functions.predicates import field
@@ -31,10 +37,9 @@ from logloom.sources.lines import trimmed
 SIMILARITY = 0.5
 WILDCARD = "<*>"
 
-# Widest stretch of forms one ordered step looks at, and forms per counting task.
+# Forms of one token count that an ordered step looks at: first, and at most.
 FIRST_BLOCK = 1_000
-LARGEST_BLOCK = 64_000
-CHUNK = 50_000
+LARGEST_BLOCK = 8_000
 
 
 def log_line(df: DataFrame) -> Column:
@@ -66,14 +71,15 @@ def _forms(df: DataFrame, line: str, order: list[str]) -> DataFrame:
     )
 
 
-class _Clusters:
-    """Clusters of one token count as a growing matrix of token codes; 0 is the wildcard."""
+class _Changed:
+    """The clusters of one token count that a block has changed so far, as rows of token codes; 0 is the wildcard."""
 
     def __init__(self, arity: int):
         self.codes = {WILDCARD: 0}
         self.names = [WILDCARD]
         self.matrix = np.empty((16, arity), dtype=np.int64)
-        self.size = 0
+        self.ids = np.empty(16, dtype=np.int64)
+        self.at: dict[int, int] = {}
 
     def encode(self, tokens) -> np.ndarray:
         row = np.empty(self.matrix.shape[1], dtype=np.int64)
@@ -85,110 +91,112 @@ class _Clusters:
             row[i] = code
         return row
 
-    def add(self, row: np.ndarray) -> int:
-        if self.size == len(self.matrix):
+    def add(self, cluster: int, row: np.ndarray) -> None:
+        n = len(self.at)
+        if n == len(self.matrix):
             self.matrix = np.concatenate([self.matrix, np.empty_like(self.matrix)])
-        self.matrix[self.size] = row
-        self.size += 1
-        return self.size - 1
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        self.matrix[n], self.ids[n], self.at[cluster] = row, cluster, n
 
     def best(self, row: np.ndarray) -> tuple[int, int]:
-        """First cluster with the most matching positions, and that number."""
-        if not self.size:
-            return -1, 0
-        held = self.matrix[: self.size]
-        hits = ((held == row) | (held == 0)).sum(axis=1)
-        at = int(hits.argmax())
-        return at, int(hits[at])
+        """Hits of the cluster that fits best, and the oldest such cluster."""
+        n = len(self.at)
+        if not n:
+            return -1, -1
+        hits = ((self.matrix[:n] == row) | (self.matrix[:n] == 0)).sum(axis=1)
+        most = int(hits.max())
+        return most, int(self.ids[:n][hits == most].min())
 
-    def tokens(self, at: int) -> list[str]:
-        return [self.names[code] for code in self.matrix[at]]
+    def widen(self, cluster: int, row: np.ndarray) -> None:
+        held = self.matrix[self.at[cluster]]
+        held[held != row] = 0
+
+    def tokens(self, cluster: int) -> list[str]:
+        return [self.names[code] for code in self.matrix[self.at[cluster]]]
 
 
 def _advance(similarity: float):
-    """Feed a block of forms, in order, to the clusters of one token count; emit what changed."""
+    """Feed a block of forms, in order, to the clusters of one token count; emit what changed.
+
+    ``block`` has position, tokens, the cluster that fitted best before the block with its hits (null below
+    the similarity), and the number of clusters until then; ``fitting`` the tokens of those clusters.
+    """
 
-    def step(key, block: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
+    def step(key, block: pd.DataFrame, fitting: pd.DataFrame) -> pd.DataFrame:
         arity = int(key[0])
-        clusters = _Clusters(arity)
-        for tokens in state.sort_values("cluster")["tokens"]:
-            clusters.add(clusters.encode(tokens))
-        out = []
+        changed, out = _Changed(arity), []
+        older = dict(zip(fitting["cluster"], fitting["tokens"], strict=True))
         block = block.sort_values("position")
-        for tokens, position in zip(block["tokens"], block["position"]):
-            row = clusters.encode(tokens)
-            at, hits = clusters.best(row)
-            if at < 0 or hits < similarity * arity:
-                at = clusters.add(row)
+        following = int(block["held"].iloc[0]) if len(block) else 0
+        for tokens, position, own, own_hits in zip(block["tokens"], block["position"], block["cluster"], block["hits"], strict=True):
+            row = changed.encode(tokens)
+            hits, cluster = changed.best(row)
+            if not pd.isna(own) and int(own) not in changed.at and (-int(own_hits), int(own)) < (-hits, cluster):
+                hits, cluster = int(own_hits), int(own)
+            if cluster < 0 or hits < similarity * arity:
+                cluster, following = following, following + 1
+                changed.add(cluster, row)
             elif hits < arity:
-                held = clusters.matrix[at]
-                held[held != row] = 0
+                if cluster not in changed.at:
+                    changed.add(cluster, changed.encode(older[cluster]))
+                changed.widen(cluster, row)
             else:
                 continue
-            out.append((arity, at, clusters.tokens(at), int(position)))
+            out.append((arity, cluster, changed.tokens(cluster), int(position)))
         return pd.DataFrame(out, columns=["arity", "cluster", "tokens", "since"])
 
     return step
 
 
-def _encoded(tokens: pd.Series, codes: dict[str, int], arity: int) -> np.ndarray:
-    """Rows of token codes; a token no cluster holds gets -1."""
-    flat = (codes.get(t, -1) for row in tokens for t in row)
-    return np.fromiter(flat, dtype=np.int64, count=len(tokens) * arity).reshape(-1, arity)
-
-
-def _uncovered(key, forms: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
-    """Forms that no cluster covers yet."""
-    arity = int(key[0])
-    clusters = _Clusters(arity)
-    held = [clusters.encode(tokens) for tokens in state["tokens"]]
-    rows = _encoded(forms["tokens"], clusters.codes, arity)
-    covered = np.zeros(len(forms), dtype=bool)
-    for row in held:
-        covered |= ((rows == row) | (row == 0)).all(axis=1)
-    return forms[~covered]
-
-
-def _assign(key, forms: pd.DataFrame, versions: pd.DataFrame) -> pd.DataFrame:
-    """When each form belongs to which cluster: ``since`` NULL at first, later on a takeover."""
-    arity = int(key[0])
-    clusters = _Clusters(arity)
-    versions = versions.sort_values("since")
-    held = [clusters.encode(tokens) for tokens in versions["tokens"]]
-    rows = _encoded(forms["tokens"], clusters.codes, arity)
-    position = forms["position"].to_numpy()
-    none = np.iinfo(np.int64).max
-    current = np.full(len(forms), none)
-    changes = []
-    for row, cluster, since in zip(held, versions["cluster"], versions["since"]):
-        better = ((rows == row) | (row == 0)).all(axis=1) & (cluster < current)
-        later = better & (position < since)
-        if later.any():
-            # the form had a cluster by then: from here on an earlier one takes its lines
-            started = {i: current[i] for i in np.flatnonzero(later)}
-            changes.extend((i, since, cluster, first) for i, first in started.items())
-        current[better] = cluster
-    initial = current.copy()
-    for i, _, _, first in reversed(changes):
-        initial[i] = first
-    out = [(arity, int(p), None, int(c)) for p, c in zip(position, initial)]
-    out += [(arity, int(position[i]), int(since), int(c)) for i, since, c, _ in changes]
-    frame = pd.DataFrame(out, columns=["arity", "position", "since", "cluster"])
-    return frame.astype({"since": "Int64"})
-
-
-def _by_chunk(forms: DataFrame, clusters: DataFrame, work, schema: str) -> DataFrame:
-    """Cogroup stretches of forms with all clusters of their token count."""
-    chunk = (F.col("position") / CHUNK).cast("bigint")
-    spans = forms.groupBy("arity").agg(F.max(chunk).alias("_last"))
-    copies = clusters.join(spans, "arity").select(
-        *clusters.columns, F.explode(F.sequence(F.lit(0).cast("bigint"), "_last")).alias("chunk")
+def _places(df: DataFrame, *keep: str) -> DataFrame:
+    """One row per token, with its place."""
+    return df.select(*keep, F.posexplode("tokens").alias("place", "token"))
+
+
+def _fixed(clusters: DataFrame, *keep: str) -> DataFrame:
+    return _places(clusters, *keep).filter(F.col("token") != WILDCARD)
+
+
+def _best_fitting(turn: DataFrame, state: DataFrame, similarity: float) -> DataFrame:
+    """``arity, position, cluster, hits``: the oldest cluster with the most hits, if they reach the similarity.
+
+    Hits are equal tokens, counted by a join on (place, token), and the cluster's wildcards. Of the
+    clusters that share no token with a form only the one with the most wildcards can be its best.
+    """
+    wild = F.size(F.filter("tokens", lambda t: t == WILDCARD)).alias("wild")
+    sized = state.select("arity", "cluster", wild, "tokens")
+    index = _fixed(sized, "arity", "cluster", "wild")
+    met = _places(turn, "arity", "position").join(index, ["arity", "place", "token"])
+    shared = met.groupBy("arity", "position", "cluster").agg((F.count(F.lit(1)) + F.first("wild")).alias("hits"))
+    widest = sized.groupBy("arity").agg(F.min(F.struct((-F.col("wild")).alias("w"), "cluster")).alias("c"))
+    apart = turn.select("arity", "position").join(widest, "arity").select(
+        "arity", "position", F.col("c.cluster").alias("cluster"), (-F.col("c.w")).cast("bigint").alias("hits")
+    )
+    either = shared.unionByName(apart).filter(F.col("hits") >= similarity * F.col("arity"))
+    best = either.groupBy("arity", "position").agg(F.min(F.struct((-F.col("hits")).alias("h"), "cluster")).alias("b"))
+    return best.select("arity", "position", F.col("b.cluster").alias("cluster"), (-F.col("b.h")).alias("hits"))
+
+
+def _covered(forms: DataFrame, clusters: DataFrame, often: DataFrame) -> DataFrame:
+    """``arity, position, cluster, since`` of all forms and cluster versions where every place is equal or a wildcard.
+
+    They meet on the version's rarest token (``often`` counts the forms by place and token).
+    """
+    keys = ["arity", "cluster", "since"]
+    rarest = _fixed(clusters, *keys).join(often, ["arity", "place", "token"]).groupBy(*keys).agg(
+        F.min(F.struct("n", "place", "token")).alias("a")
     )
-    left = forms.withColumn("chunk", chunk).groupBy("arity", "chunk")
-    return left.cogroup(copies.groupBy("arity", "chunk")).applyInPandas(work, schema)
+    anchored = clusters.join(rarest, keys).select(*keys, F.col("tokens").alias("held"), "a.place", "a.token")
+    met = _places(forms, "arity", "position", "tokens").join(anchored, ["arity", "place", "token"])
+    equal = F.forall(F.arrays_zip("held", "tokens"), lambda t: (t["held"] == WILDCARD) | (t["held"] == t["tokens"]))
+    # a version of wildcards only, of which a token count has one at most, covers all its forms
+    all_wild = clusters.filter(F.forall("tokens", lambda t: t == WILDCARD)).select(*keys)
+    anything = forms.select("arity", "position").join(all_wild, "arity")
+    columns = ["arity", "position", "cluster", "since"]
+    return met.filter(equal).select(*columns).unionByName(anything.select(*columns))
 
 
-def _cluster_versions(forms: DataFrame, similarity: float) -> DataFrame:
+def _cluster_versions(forms: DataFrame, often: DataFrame, similarity: float) -> DataFrame:
     """Every state a cluster goes through, with the position of the form that caused it."""
     schema = "arity int, cluster bigint, tokens array<string>, since bigint"
     versions = forms.sparkSession.createDataFrame([], schema)
@@ -198,27 +206,42 @@ def _cluster_versions(forms: DataFrame, similarity: float) -> DataFrame:
         start = pending.groupBy("arity").agg(F.min("position").alias("_start"))
         placed = pending.join(F.broadcast(start), "arity") if small_enough(start) else pending.join(start, "arity")
         inside = F.col("position") < F.col("_start") + block
-        turn = placed.filter(inside).select("arity", "position", "tokens")
+        turn = materialize(placed.filter(inside).select("arity", "position", "tokens"))
         # the newest version of a cluster is its state
         state = versions.groupBy("arity", "cluster").agg(F.max_by("tokens", "since").alias("tokens"))
-        changed = turn.groupBy("arity").cogroup(state.groupBy("arity")).applyInPandas(
-            _advance(similarity), schema
+        best = materialize(_best_fitting(turn, state, similarity))
+        held = state.groupBy("arity").agg(F.count(F.lit(1)).alias("held"))
+        told = turn.join(best, ["arity", "position"], "left").join(held, "arity", "left").withColumn("held", F.coalesce("held", F.lit(0)))
+        fitting = state.join(best.select("arity", "cluster").distinct(), ["arity", "cluster"])
+        changed = materialize(
+            told.groupBy("arity").cogroup(fitting.groupBy("arity")).applyInPandas(_advance(similarity), schema)
         )
-        versions = materialize(versions.unionByName(changed))
-        state = versions.groupBy("arity", "cluster").agg(F.max_by("tokens", "since").alias("tokens"))
+        versions = versions.unionByName(changed)
         rest = placed.filter(~inside).select("arity", "position", "tokens")
         if rest.isEmpty():
-            return versions
-        pending = materialize(
-            _by_chunk(rest, state, _uncovered_columns, "arity int, position bigint, tokens array<string>")
-        )
+            return materialize(versions)
+        newest = changed.groupBy("arity", "cluster").agg(F.max_by("tokens", "since").alias("tokens"), F.max("since").alias("since"))
+        gone = _covered(rest, newest, often).select("arity", "position").distinct()
+        pending = materialize(rest.join(gone, ["arity", "position"], "left_anti"))
         if pending.isEmpty():
-            return versions
-        block = min(block * 4, LARGEST_BLOCK)
+            return materialize(versions)
+        block = min(block * 2, LARGEST_BLOCK)
 
 
-def _uncovered_columns(key, forms: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
-    return _uncovered(key, forms, state)[["arity", "position", "tokens"]]
+def _memberships(forms: DataFrame, versions: DataFrame, often: DataFrame) -> DataFrame:
+    """``arity, position, since, cluster``: where the lines of a form go, first (``since`` NULL) and after a takeover.
+
+    A line goes to the oldest of the clusters that cover its form by then.
+    """
+    covers = _covered(forms, versions, often).groupBy("arity", "position", "cluster").agg(F.min("since").alias("since"))
+    late = F.when(F.col("since") > F.col("position"), F.col("since"))
+    before = Window.partitionBy("arity", "position").orderBy("since", "cluster").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = covers.select("arity", "position", "cluster", late.alias("since"), F.min("cluster").over(before).alias("_older"))
+    first = ranked.filter("since is null").groupBy("arity", "position").agg(F.min("cluster").alias("cluster"))
+    taken = ranked.filter("since is not null and cluster < _older")
+    return first.select("arity", "position", F.lit(None).cast("bigint").alias("since"), "cluster").unionByName(
+        taken.select("arity", "position", "since", "cluster")
+    )
 
 
 def template_clusters(
@@ -239,11 +262,10 @@ def template_clusters(
         single, grouped = grouped.filter("arity = 1"), grouped.filter("arity > 1")
         simple = single.select(F.col("tokens")[0].alias("template"), "count", "example")
     forms = materialize(running(grouped, ["arity"], ["first"], rank="position"))
-    versions = _cluster_versions(forms, similarity)
     keyed = forms.select("arity", "position", "tokens")
-    steps = materialize(
-        _by_chunk(keyed, versions, _assign, "arity int, position bigint, since bigint, cluster bigint")
-    )
+    often = materialize(_places(keyed, "arity").groupBy("arity", "place", "token").agg(F.count(F.lit(1)).alias("n")))
+    versions = _cluster_versions(keyed, often, similarity)
+    steps = materialize(_memberships(keyed, versions, often))
     taken = steps.filter("since is not null")
     moved = taken.select("arity", "position").distinct()
     settled = (

@@ -3,12 +3,16 @@
 import random
 import re
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from logloom.functions.mask import mask_line
 from logloom.operators import templates as tm
 from logloom.operators.templates import template_clusters, template_counts
 
+LETTERS = str.maketrans("0123456789ABCDEFGHIJKLMNOP", "abcdefghijklmnopqrstuvwxyz")
+
 
 def brute_force(token_lists, similarity=0.5):
     by_arity = {}
@@ -64,10 +68,9 @@ def test_token_counts_do_not_mix(spark):
 
 
 def test_random_lines_equal_line_by_line(spark, monkeypatch):
-    # small blocks, so that the result needs several rounds and chunks
+    # small blocks, so that the result needs several rounds
     monkeypatch.setattr(tm, "FIRST_BLOCK", 7)
     monkeypatch.setattr(tm, "LARGEST_BLOCK", 40)
-    monkeypatch.setattr(tm, "CHUNK", 25)
     for seed in range(3):
         rng = random.Random(seed)
         words = ["alpha", "beta", "gamma", "delta", "7", "<*>", "x=1"][: 5 + seed]
@@ -77,6 +80,37 @@ def test_random_lines_equal_line_by_line(spark, monkeypatch):
         check(spark, lines)
 
 
+def numbered_brute_force(rows, similarity=0.5):
+    """As ``brute_force`` for lines of one token count, as codes: {template codes: count}; -1 is the wildcard."""
+    clusters, counts = np.empty((0, len(rows[0])), dtype=np.int64), []
+    for row in rows:
+        hits = ((clusters == row) | (clusters == -1)).sum(axis=1)
+        at = int(hits.argmax()) if len(hits) else -1
+        if at < 0 or hits[at] < similarity * len(row):
+            clusters, counts = np.vstack([clusters, row]), [*counts, 1]
+            continue
+        counts[at] += 1
+        clusters[at][clusters[at] != row] = -1
+    return sorted((tuple(c), n) for c, n in zip(clusters.tolist(), counts))
+
+
+def test_one_token_count_with_100_000_forms(spark):
+    """No ordered step sees a tenth of the forms, and the result is still that of the sequence."""
+    assert 10 * tm.LARGEST_BLOCK <= 100_000
+    rng = np.random.default_rng(7)
+    shapes = rng.integers(0, 400, (150, 10))
+    rows = shapes[rng.integers(0, 150, 110_000)]
+    free = rng.random(rows.shape) < np.where(np.arange(10) < 4, 0.5, 0.02)
+    rows = np.where(free, rng.integers(1_000, 50_000, rows.shape), rows)
+    rows = rows[np.sort(np.unique(rows, axis=0, return_index=True)[1])][:100_000]
+    assert len(rows) == 100_000
+    name = lambda codes: " ".join("<*>" if c < 0 else "w" + np.base_repr(c, 26).translate(LETTERS) for c in codes)
+    lines = [(i, name(row)) for i, row in enumerate(rows.tolist())]
+    df = spark.createDataFrame(pd.DataFrame(lines, columns=["seq", "line"])).repartition(8)
+    got = sorted((r.template, r["count"]) for r in template_clusters(df, "line", ["seq"]).collect())
+    assert got == sorted((name(t), n) for t, n in numbered_brute_force(rows))
+
+
 def test_counts_keep_first_example(spark):
     df = spark.createDataFrame(
         [(2, "took 5ms"), (1, "took  9ms"), (3, "other"), (4, "  ")], "seq int, line string"
