@@ -47,7 +47,7 @@ def _batches(spark, sf_dir):
     """Conversation turns cut into batches."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
     batched = ig.ingest_batches(turns, ["conv_id", "turn"], "text", max_events=50, max_bytes=20_000)
-    return batched.select("conv_id", "turn", "batch_events", "batch_bytes")
+    return batched.select("conv_id", "turn", "batch")
 
 
 def _rejects(spark, sf_dir):
@@ -104,9 +104,14 @@ select event_id, value, case event_id % 6 when 0 then concat('<', event_type, '>
   else concat('{{"message":', cast(to_json(value) as varchar), ',"timestamp":"{STAMP}"}}') end as event
 from lines""",
     "ingest_plan": f"""with {LINES_SQL} select count(*) events, cast(sum(octet_length(encode(trim(value)))) as bigint) bytes from lines""",
-    "ingest_batches": """with s as (select conv_id, turn, octet_length(encode(text)) + 1 b,
-  row_number() over (order by conv_id, turn) rn, sum(octet_length(encode(text)) + 1) over (order by conv_id, turn) c from conversations)
-select conv_id, turn, cast((rn - 1) // 50 as bigint) batch_events, cast((c - b) // 20000 as bigint) batch_bytes from s""",
+    "ingest_batches": """with recursive s as (select conv_id, turn, octet_length(encode(text)) + 1 b,
+  row_number() over (order by conv_id, turn) rn, sum(octet_length(encode(text)) + 1) over (order by conv_id, turn) c from conversations),
+ends as (select a.rn, least(a.rn + 49, coalesce(min(e.rn), 9223372036854775807)) e
+  from s a left join s e on e.rn between a.rn and a.rn + 49 and e.c - a.c + a.b >= 20000 group by a.rn),
+walk as (select cast(1 as bigint) first, cast(0 as bigint) batch
+  union all select e + 1, batch + 1 from walk join ends on ends.rn = walk.first),
+starts as (select first, batch, coalesce(lead(first) over (order by first), 9223372036854775807) after from walk)
+select conv_id, turn, batch from s join starts on rn >= first and rn < after""",
     "ingest_rejects": """select 'valid' as part, count(*) filter (where event_id % 6 in (0, 3)) n from events
 union all select 'rejected', count(*) filter (where event_id % 6 not in (0, 3)) from events""",
     "csv_cells": f"""with {LOG_EVENTS_SQL} select cast(sequence as varchar) as sequence, cast(sequence * 10000000 as varchar) big,

@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.operators.ranking import running
+from logloom.operators.batching import greedy_batches
 from logloom.sources.lines import STRICT, last_wins, trimmed, with_once
 
 # Default batch caps.
@@ -91,17 +91,11 @@ def ingest_batches(
     max_events: int = MAX_EVENTS,
     max_bytes: int = MAX_BYTES,
 ) -> DataFrame:
-    """Add ``batch_events`` and ``batch_bytes``, which together name a batch.
+    """Add ``batch``: the number of the batch a single sender would put the event in.
 
-    Batches follow ``order`` and never hold more than ``max_events`` events;
-    one closes with the event that brings it to ``max_bytes``. Cuts are taken
-    at multiples of the running totals, so no task has to see the whole stream
-    (``order`` must be a total order for a repeatable result).
+    Batches follow ``order``; one closes with the event that makes it ``max_events`` long or brings
+    its bytes (a newline per event) to ``max_bytes``, and both counts then start anew. ``order``
+    must be a total order for a repeatable result. Null events count as empty.
     """
-    size = (F.octet_length(F.col(f"`{event}`")) + 1).cast("bigint")
-    ranked = running(df.withColumn("_size", size), [], order, {"_bytes": "_size"}, rank="_rank")
-    return ranked.select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        F.expr(f"(_rank - 1) div {int(max_events)}").alias("batch_events"),
-        F.expr(f"(_bytes - _size) div {int(max_bytes)}").alias("batch_bytes"),
-    )
+    size = F.coalesce(F.octet_length(F.col(f"`{event}`")), F.lit(0)) + 1
+    return greedy_batches(df, order, size, max_events, max_bytes)

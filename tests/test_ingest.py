@@ -3,6 +3,7 @@
 import csv
 import gzip
 import json
+import random
 from datetime import datetime, timezone
 from pathlib import Path
 
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logloom.functions import predicates as p
+from logloom.operators.batching import greedy_batches
 from logloom.sources import ingest as ig
 from logloom.sources import sinks
 from logloom.sources.lines import parse_lines
@@ -37,18 +39,38 @@ def test_normalize(spark):
     assert json.loads(rows[8]["event"]) == {"message": "{}", "timestamp": STAMP}
 
 
-def test_plan_and_batches(spark):
+def test_plan(spark):
     lines = [" ab ", "", "   ", "ü"] + ["x" * 9] * 20
     df = spark.createDataFrame(list(enumerate(lines)), "i int, value string")
     assert tuple(ig.ingest_plan(df).first()) == (22, 2 + 2 + 180)
-    full = df.filter("i >= 4")
-    batches = {}
-    for r in ig.ingest_batches(full, ["i"], "value", max_events=6, max_bytes=35).collect():
-        batches.setdefault((r["batch_events"], r["batch_bytes"]), []).append(r["i"])
-    assert sorted(i for b in batches.values() for i in b) == list(range(4, 24))
-    for members in batches.values():
-        assert len(members) <= 6 and 10 * (len(members) - 1) < 35
-        assert members and sorted(members) == list(range(min(members), max(members) + 1))
+
+
+def greedy(sizes, max_events, max_bytes):
+    out, batch, events, held = [], 0, 0, 0
+    for size in sizes:
+        events, held = events + 1, held + size
+        out.append(batch)
+        if events >= max_events or held >= max_bytes:
+            batch, events, held = batch + 1, 0, 0
+    return out
+
+
+@pytest.mark.parametrize("max_events,max_bytes,chunk", [(6, 35, 7), (50, 300, 64), (1, 1, 10), (500, 10**9, 1000), (40, 90, 100_000)])
+def test_batches_are_those_of_one_sender(spark, max_events, max_bytes, chunk):
+    draw = random.Random(max_events)
+    sizes = [draw.choice([1, 1, 2, 9, draw.randrange(1, 60), 700 if draw.random() < 0.05 else 3]) for _ in range(1_500)]
+    sizes[200:900] = [1] * 400 + [draw.randrange(1, 30) for _ in range(300)]
+    df = spark.createDataFrame([(i, "x" * (n - 1)) for i, n in enumerate(sizes)], "i int, value string").repartition(5)
+    got = greedy_batches(df, ["i"], F.octet_length("value") + 1, max_events, max_bytes, chunk).collect()
+    assert [r["batch"] for r in sorted(got)] == greedy(sizes, max_events, max_bytes)
+
+
+def test_batches_of_little(spark):
+    df = spark.createDataFrame([(1, "a", "other")], "i int, value string, batch_bytes string")
+    assert [tuple(r) for r in ig.ingest_batches(df, ["i"], "value").collect()] == [(1, "a", "other", 0)]
+    assert ig.ingest_batches(df.filter("i > 1"), ["i"], "value").count() == 0
+    with pytest.raises(ValueError):
+        ig.ingest_batches(df, ["i"], "value", max_events=0)
 
 
 def test_write_events(spark, tmp_path):
