@@ -141,11 +141,11 @@ def list_spans(
     errors_only: bool = False,
     n: int = LIST_LIMIT,
 ) -> DataFrame:
-    """Most recent matching spans."""
+    """Most recent matching spans; ties by trace, span, name, duration and service."""
     kept = spans.filter(span_filter(service, operation, min_ms, errors_only))
     time = _recency(spans)
     return (
-        kept.orderBy(F.desc(time), F.asc("trace_id"), F.asc("span_id"))
+        kept.orderBy(F.desc(time), "trace_id", "span_id", "name", "duration_ns", "service")
         .limit(n)
         .select(
             time,

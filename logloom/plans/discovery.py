@@ -57,9 +57,10 @@ def _merge_profiles(spark, sf_dir):
 
 
 def _event_words(spark, sf_dir):
-    """Distinct words of the plain log lines, and of their fields' values."""
-    plain = log_events(spark, sf_dir).filter(~F.startswith("raw", F.lit("{")))
-    return plain.select(F.explode(F.split("raw", " ")).alias("name")).distinct()
+    """Distinct words of the plain log lines, and names and values of the fields of all others."""
+    parsed = parsed_events(spark, sf_dir)
+    words = F.when(F.size("attrs") == 0, F.split("raw", " ")).otherwise(F.concat(F.map_keys("attrs"), F.map_values("attrs")))
+    return parsed.select(F.explode(words).alias("name")).filter("name is not null").distinct()
 
 
 def _known_words(spark, sf_dir):
@@ -75,7 +76,9 @@ def _known_words(spark, sf_dir):
 _KNOWN_SQL = """known as (select key, count(*) as count from (
   select event_type as key from events union all select concat('$User', cast(user_id as varchar)) from events
   union all select concat(json_extract_string(props, '$.k'), 'mss') from events) group by 1)"""
-_WORDS_SQL = """words as (select distinct unnest(string_split(raw, ' ')) as name from log_events where raw not like '{%')"""
+_WORDS_SQL = """words as (select distinct name from (
+  select unnest(case when raw like '{%' then [f_type, f_k, f_amount, f_status, 'type', 'k', 'http.status',
+    case when f_amount is not null then 'amount' end] else string_split(raw, ' ') end) as name from parsed) where name is not null)"""
 
 
 def _suggest(spark, sf_dir):

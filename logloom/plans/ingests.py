@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
 from logloom.operators.columns import as_row_json
 from logloom.plans.views import LOG_EVENTS_SQL, log_events, parsed_events, table
+from logloom.session import shared_dir
 from logloom.sources import ingest as ig
-from logloom.sources.sinks import csv_rows, raw_lines, split_valid
+from logloom.sources.lines import first_lines
+from logloom.sources.sinks import csv_rows, export, raw_lines, split_valid
 
 AS_OF = datetime(2024, 2, 1, 12, tzinfo=timezone.utc)
 STAMP = "2024-02-01T12:00:00Z"
@@ -81,7 +84,26 @@ def _raw(spark, sf_dir):
     return raw_lines(plain)
 
 
+def _head(spark, sf_dir):
+    """Lines written to files in order; the first that say that something happened."""
+    where = f"{shared_dir(spark)}/lines-{uuid.uuid4().hex}"
+    lines = ingest_lines(spark, sf_dir).repartitionByRange(6, "event_id").sortWithinPartitions("event_id")
+    lines.select("value").write.text(where)
+    return first_lines(spark, where, 120, F.endswith("value", F.lit("happened")))
+
+
+def _export(spark, sf_dir):
+    """Errors of the first half of January as a file set, read back as text."""
+    where = f"{shared_dir(spark)}/export-{uuid.uuid4().hex}"
+    logs = log_events(spark, sf_dir).select("sequence", "status", "event_time", "raw")
+    chosen = (F.col("status") == "error") & (F.col("event_time") < F.lit("2024-01-16").cast("timestamp_ntz"))
+    export(logs.filter(chosen).drop("event_time"), where)
+    return spark.read.text(where)
+
+
 QUERIES = {
+    "head_lines": _head,
+    "export_lines": _export,
     "ingest_normalized": _normalized,
     "ingest_plan": lambda s, d: ig.ingest_plan(ingest_lines(s, d)),
     "ingest_batches": _batches,
@@ -94,6 +116,10 @@ QUERIES = {
 _PLAIN_EVENT = "concat('{{\"message\":', to_json({m}), ',\"timestamp\":\"{stamp}\"}}')"
 
 ORACLES = {
+    "head_lines": f"""with {LINES_SQL} select row_number() over (order by event_id) place, value from lines
+where value like '%happened' order by event_id limit 120""",
+    "export_lines": f"""with {LOG_EVENTS_SQL} select concat('{{"@sequence":', cast(sequence as varchar), ',"@status":"error","@raw":',
+ cast(to_json(raw) as varchar), '}}') as value from log_events where status = 'error' and event_time < timestamp '2024-01-16'""",
     "ingest_normalized": f"""with {LINES_SQL}
 select event_id, value, case event_id % 6 when 0 then concat('<', event_type, '>') else value end message,
  case event_id % 6 when 0 then 't1' when 3 then '5' else '{STAMP}' end as timestamp,

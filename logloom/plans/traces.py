@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from logloom.functions.text import format_duration_ns
 from logloom.operators import spans as sp
 from logloom.operators import tree as tr
-from logloom.plans.views import SPANS_SQL, raw_spans
+from logloom.plans.views import SPANS_SQL, raw_spans, unique_spans_sql
 
 
 def spans(spark, sf_dir):
@@ -112,7 +112,7 @@ _ERROR = "status ilike '%error'"
 
 
 def _shape_sql(match: str, tail: str = "select * from shaped", source: str = "spans") -> str:
-    return f"""with recursive {SPANS_SQL}, chosen as (select * from {source}), {_KNOWN},
+    return f"""with recursive {SPANS_SQL}, sampled as (select * from {source}), chosen as {unique_spans_sql("sampled")}, {_KNOWN},
 rooted as (select s.*, k.span_id is null as is_root from chosen s
   left join known k on k.trace_id = s.trace_id and k.span_id = s.parent_span_id),
 ranked as (select *, row_number() over (partition by trace_id
@@ -164,7 +164,7 @@ ORACLES = {
     "spans_normalized": f"with {SPANS_SQL} select * from spans",
     "span_list": f"""with {SPANS_SQL} select start_ns, service, name operation, duration_ns,
  replace(status, 'STATUS_CODE_', '') status, trace_id, span_id from spans
-where duration_ns > 100000000 and status = 'STATUS_CODE_ERROR' order by start_ns desc, trace_id, span_id limit 50""",
+where duration_ns > 100000000 and status = 'STATUS_CODE_ERROR' order by start_ns desc, trace_id, span_id, name, duration_ns, service limit 50""",
     "services": _stats_sql("service", order="service"),
     "services_errors": _stats_sql("service", "status = 'STATUS_CODE_ERROR'", order="service"),
     "operations": _stats_sql("service, name as operation", limit=25, order="service, operation"),
@@ -205,16 +205,18 @@ where status = 'STATUS_CODE_ERROR' and trace_id <> '' group by 1 order by latest
  select trace_id, max(start_ns) m from spans where kind = 'SERVER' and status = 'STATUS_CODE_ERROR' and duration_ns > 300000000
  group by 1 order by m desc, trace_id limit 50)
 select s.trace_id, s.span_id, s.name, s.start_ns, s.duration_ns from spans s join ids using (trace_id)""",
-    "waterfall": f"""with recursive {SPANS_SQL}, {_KNOWN}, {_ROOTED},
+    "waterfall": f"""with recursive {SPANS_SQL}, chosen as {unique_spans_sql("spans")}, {_KNOWN},
+rooted as (select s.*, k.span_id is null as is_root from chosen s
+  left join known k on k.trace_id = s.trace_id and k.span_id = s.parent_span_id),
 walk(trace_id, span_id, depth, path) as (
   select trace_id, span_id, 0, [struct_pack(s := start_ns, d := duration_ns, i := span_id)] from rooted where is_root
   union all
   select c.trace_id, c.span_id, w.depth + 1, list_append(w.path, struct_pack(s := c.start_ns, d := c.duration_ns, i := c.span_id))
-  from walk w join spans c on c.trace_id = w.trace_id and c.parent_span_id = w.span_id)
+  from walk w join chosen c on c.trace_id = w.trace_id and c.parent_span_id = w.span_id)
 select w.trace_id, row_number() over (partition by w.trace_id order by w.path) as position, cast(w.depth as bigint) depth,
  s.service, s.name operation, s.span_id, s.parent_span_id, s.start_ns, s.duration_ns,
  replace(s.status, 'STATUS_CODE_', '') status, s.status ilike '%error' as error
-from walk w join spans s on s.trace_id = w.trace_id and s.span_id = w.span_id""",
+from walk w join chosen s on s.trace_id = w.trace_id and s.span_id = w.span_id""",
     "duration_labels": f"""with {SPANS_SQL} select trace_id, span_id,
  case when duration_ns <= 0 then '—'
       when duration_ns / 1e6 < 1 then concat(printf('%.1f', duration_ns / 1e3), 'µs')

@@ -18,13 +18,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders are entry spans, line items their children (depth 2, with orphans and errors)."""
+    """Orders are entry spans, line items their children (depth 2, with orphans, errors and repeated span ids)."""
     orders = table(spark, sf_dir, "orders")
-    items = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
-        F.min("l_returnflag").alias("rf"),
-        F.min("l_linestatus").alias("ls"),
-        F.min("l_extendedprice").alias("px"),
-    )
+    items = table(spark, sf_dir, "lineitem")
     order = F.col("o_orderkey").cast("string")
     entry = orders.select(
         order.alias("trace_id"),
@@ -50,14 +46,14 @@ def raw_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(line % 3 == 0, item(line - 1))
         .otherwise(F.concat(F.lit("o"), key))
         .alias("parent_span_id"),
-        F.concat(F.lit("line "), "rf").alias("name"),
+        F.concat(F.lit("line "), "l_returnflag").alias("name"),
         F.lit("SPAN_KIND_CLIENT").alias("kind"),
-        F.concat(F.lit("svc-"), "ls").alias("service"),
-        F.when(F.col("rf") == "R", "STATUS_CODE_ERROR").otherwise("STATUS_CODE_UNSET").alias("status"),
+        F.concat(F.lit("svc-"), "l_linestatus").alias("service"),
+        F.when(F.col("l_returnflag") == "R", "STATUS_CODE_ERROR").otherwise("STATUS_CODE_UNSET").alias("status"),
         (
             F.lit(EPOCH_NS) + F.col("l_orderkey") * 1_000_000_000 + (line.cast("bigint") - 2) * 7_000_000
         ).alias("start_ns"),
-        (F.floor("px").cast("bigint") * 100).alias("duration_ns"),
+        (F.floor("l_extendedprice").cast("bigint") * 100).alias("duration_ns"),
     )
     return entry.unionByName(child)
 
@@ -76,12 +72,11 @@ raw_spans as (
          case when l_linenumber % 3 = 0
               then concat('l', cast(l_orderkey as varchar), '-', cast(l_linenumber - 1 as varchar))
               else concat('o', cast(l_orderkey as varchar)) end,
-         concat('line ', rf), 'SPAN_KIND_CLIENT', concat('svc-', ls),
-         case when rf = 'R' then 'STATUS_CODE_ERROR' else 'STATUS_CODE_UNSET' end,
+         concat('line ', l_returnflag), 'SPAN_KIND_CLIENT', concat('svc-', l_linestatus),
+         case when l_returnflag = 'R' then 'STATUS_CODE_ERROR' else 'STATUS_CODE_UNSET' end,
          1700000000000000000 + l_orderkey * 1000000000 + (l_linenumber - 2) * 7000000,
-         cast(floor(px) as bigint) * 100
-  from (select l_orderkey, l_linenumber, min(l_returnflag) rf, min(l_linestatus) ls, min(l_extendedprice) px
-        from lineitem group by l_orderkey, l_linenumber)),
+         cast(floor(l_extendedprice) as bigint) * 100
+  from lineitem),
 spans as (
   select trace_id, span_id, parent_span_id, name, replace(kind, 'SPAN_KIND_', '') kind, service, status,
          start_ns, start_ns + duration_ns end_ns, duration_ns
@@ -89,6 +84,12 @@ spans as (
 """
 
 
+def unique_spans_sql(source: str) -> str:
+    """The rule for repeated span ids: the earliest stays, then the smallest name and other fields."""
+    return f"""(select * from {source} qualify span_id = '' or row_number() over (partition by trace_id, span_id
+ order by start_ns, name, parent_span_id, service, duration_ns, status) = 1)"""
+
+
 def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as log lines: nine in ten are JSON (nested ``http.status``), the rest plain text."""
     events = table(spark, sf_dir, "events")

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from logloom.session import materialize
 
 # Characters trimmed from both ends of a line.
 BLANKS = " \t\n\x0b\f\r\x85\xa0                　"
@@ -228,3 +233,30 @@ def read_lines(
 ) -> DataFrame:
     """NDJSON or plain-text files (any mix, gzip too) -> ``raw``, ``attrs``."""
     return parse_lines(spark.read.text(path, lineSep="\n"), "value", fields, max_depth)
+
+
+def first_lines(spark: SparkSession, path: str, n: int, keep: Column | None = None) -> DataFrame:
+    """The first ``n`` lines under ``path`` in input order, blank ones left out: ``place`` (from 1), ``value``.
+
+    Files follow their paths, lines their place in the file; ``keep`` (on ``value``) chooses lines before they are
+    counted. Reading stops early: files are read in growing groups until there are enough lines, and of a
+    group every task hands on ``n`` lines at most.
+    """
+    files = sorted(spark.read.text(path).inputFiles())
+    at, width, left, found = 0, 1, n, []
+    while at < len(files) and left > 0:
+        group = spark.read.text(files[at : at + width], lineSep="\n")
+        kept = group.filter(trimmed(F.col("value")) != "")
+        kept = kept if keep is None else kept.filter(keep)
+        # within a split rows come in order, and the row id grows with them
+        order = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
+        first = kept.select("value", F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]).alias("_order"))
+        first = materialize(first.orderBy("_order").limit(left))
+        found.append(first.select("value", F.struct(F.lit(at).alias("g"), "_order").alias("_order")))
+        left -= first.count()
+        at, width = at + width, width * 4
+    if not found:
+        return spark.createDataFrame([], "place bigint, value string")
+    lines = reduce(DataFrame.unionByName, found)
+    place = F.row_number().over(Window.orderBy("_order")).cast("bigint")  # n rows at most
+    return lines.select(place.alias("place"), "value")
