@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -18,7 +19,10 @@ from logloom.plans.views import (
     parsed_events,
     table,
 )
+from logloom.session import shared_dir
 from logloom.sources.scan import between, in_datasets, union_datasets
+from logloom.sources.shredded import field as shredded_field
+from logloom.sources.shredded import write_shredded
 
 _NUMBER = r"(?i)^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?$"
 
@@ -141,7 +145,18 @@ join ranked r on r.dataset = c.dataset and r.rn between c.rn + ({low}) and c.rn
 """
 
 
+def _shredded(spark, sf_dir):
+    """Predicates over a table whose fields the writer has made columns by itself."""
+    where = f"{shared_dir(spark)}/shredded-{uuid.uuid4().hex}"
+    parsed = parsed_events(spark, sf_dir).withColumns({"collection": F.lit("app"), "dataset": F.col("origin")})
+    write_shredded(parsed, where)
+    f = shredded_field
+    test = (p.eq(f("type"), "error") | p.gt(f("amount"), 1000)) & p.ge(f("http.status"), 400) & ~p.eq(f("k"), "7")
+    return spark.read.parquet(where).filter(test).select("sequence", f("type").alias("type"), f("k", "bigint").alias("k"))
+
+
 QUERIES = {
+    "filter_shredded": _shredded,
     "error_bursts": _error_bursts,
     "filter_eq_num": _filter(["http.status"], lambda: p.eq("http.status", 500)),
     "filter_eq_text": _filter(["type"], lambda: p.eq("type", "click")),
@@ -178,6 +193,9 @@ QUERIES = {
 }
 
 ORACLES = {
+    "filter_shredded": f"""with {LOG_EVENTS_SQL} select sequence, f_type as type, cast(f_k as bigint) k from parsed
+where (coalesce(f_type = 'error', false) or coalesce({_num('f_amount')} > 1000, false))
+ and coalesce({_num('f_status')} >= 400, false) and not coalesce(f_k = '7', false)""",
     "error_bursts": f"""with {LOG_EVENTS_SQL} select event_time, sequence, f_k as k, raw from parsed
 where coalesce(f_type = 'error', false) and coalesce({_num('f_k')} >= 50, false)
 order by event_time desc, sequence desc limit 100""",

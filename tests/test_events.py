@@ -10,6 +10,7 @@ from logloom.operators import aggregate as ag
 from logloom.operators import events as ev
 from logloom.operators import series as se
 from logloom.operators.ranking import running
+from logloom.sources.lines import first_lines
 
 
 def skewed(spark, n=3000):
@@ -104,3 +105,20 @@ def test_trailing(spark):
     ticks = spark.createDataFrame([("a", i, i) for i in range(15)], "g string, tick int, v int")
     last = se.trailing(ticks, "g", "tick", "v").filter("tick = 14").first()
     assert last["history"] == list(range(3, 15))
+
+
+def test_first_lines_in_input_order(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = []
+    for f in range(7):
+        own = [f"f{f} line {i} {'even' if i % 2 == 0 else 'odd'}" for i in range(40)]
+        (tmp_path / "in" / f"{f}.log").write_text("\n".join(own[:20]) + "\n\n  \n" + "\n".join(own[20:]) + "\n")
+        lines += own
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")  # several splits a file
+    try:
+        for n, keep, want in ((5, None, lines[:5]), (130, None, lines[:130]), (90, F.endswith("value", F.lit("odd")), lines[1::2][:90]), (999, None, lines)):
+            got = [(r["place"], r["value"]) for r in first_lines(spark, str(tmp_path / "in"), n, keep).orderBy("place").collect()]
+            assert got == list(enumerate(want, 1))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert first_lines(spark, str(tmp_path / "in"), 3, F.lit(False)).count() == 0
