@@ -133,15 +133,13 @@ def telling_terms(mentions: DataFrame, docs: DataFrame, text: str, reach: int, d
     terms = contexts.select("entity", F.explode(F.array_distinct(F.split("context", " "))).alias("term")).filter("term <> ''")
     pairs = terms.groupBy("entity", "term").agg(F.count("*").alias("n_both")).filter(F.col("n_both") >= support)
     pairs = materialize(pairs.join(many, "entity"))
-    # A text is counted once, by its digest: what travels are digests, and places of the terms that matter.
-    lower = F.lower(F.col(text))
-    said = F.coalesce(F.regexp_extract_all(lower, F.lit(WORDS), 0), F.array().cast("array<string>"))
-    texts = docs.select(F.unhex(F.sha2(F.coalesce(lower, F.lit("")).cast("binary"), 256)).alias("text"), said.alias("said"))
-    sizes = texts.select("text", F.size("said").alias("n")).groupBy("text").agg(F.first("n").alias("n"))
-    total = sizes.agg(F.sum("n")).first()[0] or 1
-    placed = texts.select("text", F.posexplode("said").alias("place", "term"))
-    placed = placed.join(pairs.select("term").distinct(), "term").select("text", "place", "term").distinct()
-    counts = placed.groupBy("term").agg(F.count("*").alias("n_term"))
+    texts = docs.select(F.lower(F.col(text)).alias("text")).distinct()
+    words = texts.select(F.explode(F.regexp_extract_all("text", F.lit(WORDS), 0)).alias("term"))
+    # words that are no candidates count as one
+    known = pairs.select(F.col("term").alias("known")).distinct()
+    marked = words.join(known, F.col("term") == F.col("known"), "left")
+    counts = materialize(marked.groupBy(F.col("known").alias("term")).agg(F.count("*").alias("n_term")))
+    total = counts.agg(F.sum("n_term")).first()[0] or 1
     # Of the n_entity * 2 * reach words around the entity, n_both are the term; of all words, n_term.
     pmi = F.log2(F.col("n_both") * float(total) / (F.col("n_entity") * float(2 * reach) * F.greatest("n_term", "n_both")))
     told = pmi / F.log2(float(total) / F.col("n_entity"))
