@@ -177,23 +177,23 @@ w as (select *, d->>'$.window' t, try_cast(regexp_extract(d->>'$.window', '^Last
         * case when d->>'$.window' like '%hours' then 60 when d->>'$.window' like '%days' then 1440 else 1 end mins from m),
 a as (select o_orderkey, generate_subscripts(l, 1) - 1 i, unnest(l) v from (select o_orderkey, (d->'$.actions')::json[] l from m)),
 q as (select o_orderkey, generate_subscripts(l, 1) - 1 i, unnest(l) v from (select o_orderkey, (d->'$.queries')::json[] l from m))
-select o_orderkey, 'missing required field "name"' problem from m where d->>'$.name' is null
-union all select o_orderkey, 'missing required field "threshold"' from m where d->>'$.threshold' is null
-union all select o_orderkey, concat('comparison_operator "', d->>'$.comparison_operator', '" is not known') from m
+select o_orderkey, 'absent: name' problem from m where d->>'$.name' is null
+union all select o_orderkey, 'absent: threshold' from m where d->>'$.threshold' is null
+union all select o_orderkey, concat('no comparison: ', d->>'$.comparison_operator') from m
   where d->>'$.comparison_operator' not in ('BELOW', 'BELOW_OR_EQUAL', 'ABOVE', 'ABOVE_OR_EQUAL', 'EQUAL', 'NOT_EQUAL')
-union all select o_orderkey, concat('window "', t, '" must look like "Last 10 minutes"') from w where mins is null
-union all select o_orderkey, concat('window "', t, '" below the 5-minute minimum') from w where mins < 5
-union all select o_orderkey, concat('window "', t, '" above the one-day maximum') from w where mins > 1440
-union all select o_orderkey, 'actions must be a non-empty array' from m where json_array_length(d->'$.actions') = 0
-union all select o_orderkey, concat('actions[', i, ']: not an object') from a where json_type(v) <> 'OBJECT'
-union all select o_orderkey, concat('actions[', i, ']: EMAIL action needs an email') from a
+union all select o_orderkey, concat('unreadable span: ', t) from w where mins is null
+union all select o_orderkey, concat('span under 5 minutes: ', t) from w where mins < 5
+union all select o_orderkey, concat('span over 1 day: ', t) from w where mins > 1440
+union all select o_orderkey, 'actions lists nothing' from m where json_array_length(d->'$.actions') = 0
+union all select o_orderkey, concat('actions[', i, '] is no object') from a where json_type(v) <> 'OBJECT'
+union all select o_orderkey, concat('actions[', i, '] mails nobody') from a
   where json_type(v) = 'OBJECT' and v->>'$.type' = 'EMAIL' and coalesce(v->>'$.email', '') = ''
-union all select o_orderkey, concat('actions[', i, ']: type "', v->>'$.type', '" not EMAIL or INTEGRATION') from a
+union all select o_orderkey, concat('actions[', i, '] has an unheard-of type: ', v->>'$.type') from a
   where json_type(v) = 'OBJECT' and v->>'$.type' not in ('EMAIL', 'INTEGRATION')
-union all select o_orderkey, concat('queries[', i, ']: missing name') from q where v->>'$.name' is null
-union all select o_orderkey, concat('queries[', i, ']: select must be a non-empty array') from q where json_array_length(v->'$.select') = 0
-union all select o_orderkey, concat('queries[', i, ']: missing where') from q where v->>'$.where' is null
-union all select o_orderkey, concat('queries[', i, ']: needs from (log ids) or from_expr') from q
+union all select o_orderkey, concat('queries[', i, '] has no name') from q where v->>'$.name' is null
+union all select o_orderkey, concat('queries[', i, '] selects nothing') from q where json_array_length(v->'$.select') = 0
+union all select o_orderkey, concat('queries[', i, '] has no condition') from q where v->>'$.where' is null
+union all select o_orderkey, concat('queries[', i, '] reads from nowhere') from q
   where json_type(v->'$.from') is distinct from 'ARRAY' and json_type(v->'$.from_expr') is distinct from 'VARCHAR'""",
     "unknown_datasets": f"""with {_CATALOG_SQL} select o_orderkey, cast(o_custkey % 3000 as varchar) id from orders
 where cast(o_custkey % 3000 as varchar) not in (select id from catalog)""",

@@ -54,8 +54,8 @@ def problems(spark, body):
 def test_lint(spark):
     assert problems(spark, GOOD) == []
     assert len(problems(spark, {})) == 6
-    assert problems(spark, "{") == ["not valid JSON"]
-    for window, part in (("Last 1 minutes", "below"), ("Last 2 days", "above"), ("last week", "must look like"), ("Last 99999999999999999999 days", "above")):
+    assert problems(spark, "{") == ["unreadable definition"]
+    for window, part in (("Last 1 minutes", "under"), ("Last 2 days", "over"), ("last week", "unreadable"), ("Last 99999999999999999999 days", "over")):
         (found,) = problems(spark, {**GOOD, "window": window})
         assert part in found
     bad = {
@@ -63,13 +63,13 @@ def test_lint(spark):
         "queries": [{"select": []}, "q"],
     }
     assert problems(spark, bad) == sorted([
-        'comparison_operator "OVER" is not known', "actions[0]: EMAIL action needs an email", "actions[1]: not an object",
-        'actions[2]: type "SMS" not EMAIL or INTEGRATION', "queries[0]: missing name",
-        "queries[0]: select must be a non-empty array", "queries[0]: missing where",
-        "queries[0]: needs from (log ids) or from_expr", "queries[1]: not an object",
+        'no comparison: OVER', "actions[0] mails nobody", "actions[1] is no object",
+        'actions[2] has an unheard-of type: SMS', "queries[0] has no name",
+        "queries[0] selects nothing", "queries[0] has no condition",
+        "queries[0] reads from nowhere", "queries[1] is no object",
     ])
     assert problems(spark, {**GOOD, "actions": [], "queries": {}}) == [
-        "actions must be a non-empty array", "queries must be a non-empty array"
+        "actions lists nothing", "queries lists nothing"
     ]
     rows = spark.createDataFrame([(json.dumps({**GOOD, "queries": [{"from": ["id-1", "gone", ""]}]}),)], "definition string")
     assert [r["id"] for r in li.unknown_datasets(rows, table(spark)).collect()] == ["gone"]
