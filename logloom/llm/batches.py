@@ -12,16 +12,6 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
 
 
-def steady_splits(spark: SparkSession) -> None:
-    """Keep file splits as they are while executors come and go, so that row numbers of a scan stay the same.
-
-    The size of a split otherwise follows the number of cores at the time of each scan.
-    """
-    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
-        cores = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or spark.sparkContext.defaultParallelism
-        spark.conf.set("spark.sql.files.minPartitionNum", str(cores))
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

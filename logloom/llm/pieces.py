@@ -10,15 +10,23 @@ model, is a different segmentation and would not give the model's ids.
 
 Units are encoded once. Those frequent in a sample of rows form a dictionary of bounded
 size that is broadcast; the others are shuffled by unit. Characters without a piece
-become the model's byte pieces. Everything runs on DataFrame functions.
+become the model's byte pieces. The encoding runs on DataFrame functions; whole
+documents are put together from encoded units on Arrow batches.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm.batches import free_name, steady_splits
+from logloom.llm.batches import free_name, small_batches
 from logloom.session import materialize
 
 SPACE = "▁"
@@ -127,6 +135,15 @@ def encode_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return found.withColumn("intact", vocabulary.decoded(F.col("ids")) == F.replace("unit", F.lit(SPACE), F.lit(" ")))
 
 
+def frequent_units(docs: DataFrame, units: Column, vocabulary: Vocabulary, sample_rows: int, entries: int) -> DataFrame:
+    """(unit, ids, intact) of at most ``entries`` units, the most frequent of about ``sample_rows`` rows."""
+    rows = max(1, docs.count())
+    sample = docs if rows <= sample_rows else docs.sample(sample_rows / rows, 5)
+    frequent = sample.select(F.explode(units).alias("unit")).groupBy("unit").agg(F.count("*").alias("n"))
+    frequent = frequent.orderBy(F.desc("n"), "unit").limit(entries).select("unit")
+    return materialize(encode_units(materialize(frequent), vocabulary))
+
+
 def encode(
     docs: DataFrame,
     vocabulary: Vocabulary,
@@ -143,11 +160,7 @@ def encode(
     ``sample_rows`` rows and has at most ``entries`` units; it changes the speed alone.
     """
     split = units_of(F.col(text), vocabulary)
-    rows = max(1, docs.count())
-    sample = docs if rows <= sample_rows else docs.sample(sample_rows / rows, 5)
-    frequent = sample.select(F.explode(split).alias("unit")).groupBy("unit").agg(F.count("*").alias("n"))
-    frequent = frequent.orderBy(F.desc("n"), "unit").limit(entries).select("unit")
-    dictionary = materialize(encode_units(materialize(frequent), vocabulary))
+    dictionary = frequent_units(docs, split, vocabulary, sample_rows, entries)
     units = docs.select(F.col(row).alias("row"), F.posexplode(split).alias("position", "unit"))
     tier = units.join(F.broadcast(dictionary), "unit", "left")  # bounded by ``entries``
     rare = materialize(tier.filter("ids is null").select("row", "position", "unit"))
@@ -167,39 +180,124 @@ def assemble(encoded: DataFrame) -> DataFrame:
     return parts.select("row", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"))
 
 
-def encoded_documents(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``docs`` without their text, with ``ids``, ``n_units``, ``n_pieces``, ``pieces_xor`` and ``round_trip``.
+def draft_of(entries: Broadcast) -> Callable[[Column], Column]:
+    """Column function: units of a text to ``ids`` (packed, see ``pack``), ``missing`` units and ``n_units``.
 
-    ``ids`` are the piece ids of the whole text in order, ``pieces_xor`` is the exclusive-or
-    of the hashes of (position, ids) of its units; ``round_trip`` says whether ``decode``
+    ``entries`` holds the dictionary as (units, sizes, ids one after the other). A unit that
+    is not in it stands in the ids as a negative number, -1 for the first of ``missing``,
+    which are the row's unknown units in the order of their first place.
+    """
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        words, sizes, flat = entries.value
+        sizes, flat = np.append(sizes, 1), np.append(flat, np.int32(0))  # what -1, no entry, points at
+        number = {w: i for i, w in enumerate(words)}
+        starts = np.cumsum(sizes) - sizes
+        for units in batches:
+            coded = units.flatten().dictionary_encode()
+            codes = coded.indices.to_numpy(zero_copy_only=False)
+            distinct = coded.dictionary.to_pylist()
+            entry = np.array([number.get(w, -1) for w in distinct], dtype=np.int64)
+            lengths = pc.fill_null(pc.list_value_length(units), 0)
+            ends = np.cumsum(lengths.to_numpy(zero_copy_only=False))
+            packed, missing, begin = [], [], 0
+            for end in ends.tolist():
+                row = codes[begin:end]
+                begin = end
+                known = entry[row]
+                lost = np.flatnonzero(known < 0)
+                order = {c: k for k, c in enumerate(dict.fromkeys(row[lost].tolist()))}
+                n = sizes[known]
+                ids = np.repeat(starts[known] - np.cumsum(n) + n, n)
+                ids = flat[ids + np.arange(len(ids))]
+                ids[(np.cumsum(n) - n)[lost]] = [-1 - order[c] for c in row[lost].tolist()]
+                packed.append(pack(ids))
+                missing.append([distinct[c] for c in order])
+            columns = [pa.array(packed, pa.binary()), pa.array(missing, pa.list_(pa.string())), lengths.cast(pa.int32())]
+            yield pa.StructArray.from_arrays(columns, ["ids", "missing", "n_units"])
+
+    return F.arrow_udf(run, "ids binary, missing array<string>, n_units int")
+
+
+def pack(ids: np.ndarray) -> bytes:
+    """Whole numbers of 32 bits, lowest bytes first, compressed: a shuffle carries about a quarter."""
+    planes = ids.astype("<i4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(planes.tobytes(), 1)
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8)
+    return planes.reshape(4, -1).T.copy().view("<i4").ravel()
+
+
+def filled(packed: Column, patches: Column) -> Column:
+    """Ids of a draft, with its patches (struct of ``place`` and ``ids``) at the negative numbers."""
+
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for drafts, lists in batches:
+            rows = []
+            for draft, patch in zip(drafts, lists.to_pylist(), strict=True):
+                ids = unpack(draft.as_py())
+                lost = np.flatnonzero(ids < 0)
+                if len(lost):
+                    parts: list = [None] * len(patch)
+                    for x in patch:
+                        parts[x["place"]] = x["ids"]
+                    sizes = np.array([len(x) for x in parts])
+                    flat = np.concatenate([ids, *[np.array(x, np.int32) for x in parts]])
+                    n = np.ones(len(ids), np.int64)
+                    from_ = np.arange(len(ids))
+                    n[lost] = sizes[-1 - ids[lost]]
+                    from_[lost] = (len(ids) + np.cumsum(sizes) - sizes)[-1 - ids[lost]]
+                    places = np.repeat(from_ - np.cumsum(n) + n, n)
+                    ids = flat[places + np.arange(len(places))]
+                rows.append(ids)
+            yield pa.ListArray.from_arrays(np.cumsum([0, *map(len, rows)]).astype(np.int32), np.concatenate(rows) if rows else np.zeros(0, np.int32))
+
+    return F.arrow_udf(run, "array<int>")(packed, patches)
+
+
+def encoded_documents(docs: DataFrame, path: str, text: str = "text", sample_rows: int = 20_000, entries: int = 300_000) -> DataFrame:
+    """``docs`` without their text, with ``ids``, ``n_units``, ``n_pieces`` and ``round_trip``.
+
+    ``ids`` are the piece ids of the whole text in order; ``round_trip`` says whether ``decode``
     gives the text back, which it does not if the text holds the model's own sign for a
-    blank. Null and empty texts have no pieces and a digest of 0. Rows with repeated or
-    null ids are encoded each by itself; columns called like the new ones are replaced.
-    Rows are told apart by their place, so ``docs`` is a table as it is read, not the
-    result of a shuffle.
+    blank. Null and empty texts have no pieces. Rows with repeated or null ids are encoded
+    each by itself; columns called like the new ones are replaced.
+
+    Neither texts nor units of the dictionary are shuffled. Each text becomes a draft of
+    its ids with numbers for the units that the dictionary lacks; these units, named by a
+    digest of the text, are encoded once each over the lattice and come back to the drafts
+    as patches. The digest is one of the content, so a computation that is repeated after
+    a lost executor gives the same. ``sample_rows`` and ``entries`` as in ``encode``.
     """
-    steady_splits(docs.sparkSession)
-    row, digest = free_name(docs, "row"), free_name(docs, "text_digest")
-    vocabulary = Vocabulary(docs.sparkSession, path)
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    parts = encode(numbered, vocabulary, text, row).groupBy("row").agg(
-        F.count("*").alias("n_units"),
-        F.sum(F.size("ids")).alias("n_pieces"),
-        F.bit_xor(F.xxhash64("position", "ids")).alias("pieces_xor"),
-        F.sort_array(F.collect_list(F.struct("position", "ids"))).alias("parts"),
-    )
-    figures = parts.withColumn("ids", F.flatten(F.transform("parts", lambda p: p["ids"]))).drop("parts")
-    figures = figures.withColumn("decoded", F.sha2(decode(F.col("ids"), vocabulary).cast("binary"), 256))
-    new = {"n_units": F.lit(0), "n_pieces": F.lit(0), "pieces_xor": F.lit(0), "ids": F.array().cast("array<int>")}
-    # The digest stands for the text, so that no text is shuffled.
-    kept = numbered.withColumn(digest, F.sha2(F.col(text).cast("binary"), 256)).drop(text, *new, "round_trip")
-    joined = kept.join(figures.withColumnRenamed("row", row), row, "left")
-    whole = F.coalesce(F.col("decoded") == F.col(digest), F.lit(True)).alias("round_trip")
-    return joined.select(
-        *[F.col(f"`{c}`") for c in kept.columns if c not in (row, digest)], *[F.coalesce(c, v).alias(c) for c, v in new.items()], whole
+    spark = docs.sparkSession
+    small_batches(spark)
+    digest, draft = free_name(docs, "text_digest"), free_name(docs, "draft")
+    vocabulary = Vocabulary(spark, path)
+    units = units_of(F.col(text), vocabulary)
+    known = frequent_units(docs, units, vocabulary, sample_rows, entries).select("unit", "ids").toArrow()  # bounded by ``entries``
+    found = known["ids"].combine_chunks()
+    held = spark.sparkContext.broadcast((
+        known["unit"].to_pylist(),
+        pc.list_value_length(found).to_numpy(zero_copy_only=False).astype(np.int64),
+        found.flatten().to_numpy(zero_copy_only=False).astype(np.int32),
+    ))
+    short = lambda c: F.substring(F.unhex(F.sha2(c.cast("binary"), 256)), 1, 16)
+    marked = docs.withColumns({digest: short(F.coalesce(F.col(text), F.lit(""))), draft: draft_of(held)(units)})
+    missing = materialize(marked.select(F.col(digest).alias("digest"), F.posexplode(f"{draft}.missing").alias("place", "unit")))
+    encoded = encode_units(missing.select("unit").distinct(), vocabulary).select("unit", "ids")
+    patches = missing.join(encoded, "unit").groupBy("digest").agg(F.collect_set(F.struct("place", "ids")).alias("patches"))
+    new = ("ids", "n_units", "n_pieces", "round_trip")
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in (text, *new)]
+    kept = marked.select(*rest, F.col(f"{draft}.n_units").alias("n_units"), digest, F.col(f"{draft}.ids").alias(draft))
+    joined = kept.join(patches.withColumnsRenamed({"digest": digest, "patches": "ids"}), digest, "left")
+    whole = joined.withColumn("ids", filled(F.col(draft), F.col("ids")))
+    return whole.select(
+        *rest, "n_units", F.size("ids").alias("n_pieces"), "ids", (short(decode(F.col("ids"), vocabulary)) == F.col(digest)).alias("round_trip")
     )
 
 
 def piece_counts(docs: DataFrame, path: str) -> DataFrame:
-    """Piece ids of every document, with their counts and digest and whether they decode to it."""
+    """Piece ids of every document, with their counts and whether they decode to it."""
     return encoded_documents(docs.select("doc_id", "text"), path)

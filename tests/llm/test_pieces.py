@@ -45,6 +45,17 @@ def test_figures_of_odd_documents(odd_docs, no_docs):
     assert pieces.piece_counts(no_docs, PATH).count() == 0
 
 
+def test_documents_with_patches_as_the_library(spark, documents):
+    docs = documents.select("doc_id", "text")
+    docs = docs.unionByName(docs.filter("doc_id < 5")).unionByName(spark.createDataFrame([(-1, "zq " * 4000 + "qz"), (None, "né\u0001")], docs.schema))
+    rows = pieces.encoded_documents(docs, PATH, entries=40).collect()
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    assert len(rows) == docs.count() and all(r.round_trip for r in rows)
+    assert all(r.ids == MODEL.encode(texts[r.doc_id]) for r in rows)
+    few = docs.filter("doc_id is null or doc_id < 3")
+    assert all(r.ids == MODEL.encode(texts[r.doc_id]) for r in pieces.encoded_documents(few, PATH, entries=0).collect())
+
+
 def test_ids_and_round_trip_of_documents(spark, documents):
     texts = [(r.doc_id, r.text) for r in documents.limit(60).collect()]
     texts += [(-1, None), (-2, ""), (-3, "a\u2581b \u2581"), (-4, "a b  "), (-4, "\u0001日本\u0002")]
