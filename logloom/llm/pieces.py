@@ -17,6 +17,7 @@ documents are put together from encoded units on Arrow batches.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +35,15 @@ SPACE = "▁"
 OPEN, CLOSE = "\u0001", "\u0002"
 # Letters, other characters, or nothing after a run of spaces; the marks stand alone.
 UNITS = rf"[{OPEN}{CLOSE}]|{SPACE}*[\p{{L}}\p{{M}}]+|{SPACE}*[^\p{{L}}\p{{M}}{SPACE}{OPEN}{CLOSE}]+|{SPACE}+"
+# Without regard to letters.
+WORDS = rf"[{OPEN}{CLOSE}]|{SPACE}*[^{SPACE}{OPEN}{CLOSE}]+|{SPACE}+"
 
 
 class Vocabulary:
     """The piece table of a byte-pair model file with byte fallback."""
 
     def __init__(self, spark: SparkSession, path: str):
+        import regex
         from sentencepiece import sentencepiece_model_pb2
 
         model = sentencepiece_model_pb2.ModelProto()
@@ -60,10 +64,14 @@ class Vocabulary:
         rows = [(p, i, rank) for rank, (p, i, _) in enumerate(order)]
         self.pieces = spark.createDataFrame(rows, "piece string, id int, rank int")
         across = self.pieces.filter(F.size(F.regexp_extract_all("piece", F.lit(UNITS), 0)) != 1).filter("length(piece) > 1")
-        # A piece that reaches across units must not exist, else they are no units.
-        self.units_hold = across.limit(1).count() == 0
-        as_hex = [p.piece[3:5] if p.type == 6 else p.piece.replace(SPACE, " ").encode().hex() if p.type in (1, 4) else "" for p in model.pieces]
-        self.hex = F.split(F.lit(",".join(as_hex)), ",")
+        # A piece that reaches across units must not exist, else they are no units; neither for Spark's patterns nor for Python's.
+        held = all(len(p) == 1 or regex.fullmatch(UNITS, p) for p, _, _ in pieces)
+        self.units = UNITS if held and across.limit(1).count() == 0 else WORDS
+        # What every id stands for.
+        self.raw = [
+            bytes([int(p.piece[3:5], 16)]) if p.type == 6 else p.piece.replace(SPACE, " ").encode() if p.type in (1, 4) else b"" for p in model.pieces
+        ]
+        self.hex = F.split(F.lit(",".join(x.hex() for x in self.raw)), ",")
 
     def decoded(self, ids: Column) -> Column:
         """Pieces joined, bytes put together, spaces back."""
@@ -73,8 +81,7 @@ class Vocabulary:
 def units_of(text: Column, vocabulary: Vocabulary) -> Column:
     """Units of the normalised text; null and empty texts have none."""
     whole = F.concat(F.lit(SPACE), F.replace(text, F.lit(" "), F.lit(SPACE)))
-    pattern = UNITS if vocabulary.units_hold else rf"[{OPEN}{CLOSE}]|{SPACE}*[^{SPACE}{OPEN}{CLOSE}]+|{SPACE}+"
-    return F.when(F.length(text) > 0, F.regexp_extract_all(whole, F.lit(pattern), 0)).otherwise(F.array().cast("array<string>"))
+    return F.when(F.length(text) > 0, F.regexp_extract_all(whole, F.lit(vocabulary.units), 0)).otherwise(F.array().cast("array<string>"))
 
 
 def lattice(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -180,40 +187,41 @@ def assemble(encoded: DataFrame) -> DataFrame:
     return parts.select("row", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"))
 
 
-def draft_of(entries: Broadcast) -> Callable[[Column], Column]:
-    """Column function: units of a text to ``ids`` (packed, see ``pack``), ``missing`` units and ``n_units``.
+def draft_of(entries: Broadcast, pattern: str) -> Callable[[Column], Column]:
+    """Column function: text to ``ids`` (packed, see ``pack``), ``missing`` units and ``n_units``.
 
     ``entries`` holds the dictionary as (units, sizes, ids one after the other). A unit that
     is not in it stands in the ids as a negative number, -1 for the first of ``missing``,
-    which are the row's unknown units in the order of their first place.
+    which are the row's unknown units in the order of their first place. Texts are cut here,
+    because a list of all units costs more on its way from Spark than the cutting.
     """
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        import regex
+
+        cut = regex.compile(pattern).findall
         words, sizes, flat = entries.value
         sizes, flat = np.append(sizes, 1), np.append(flat, np.int32(0))  # what -1, no entry, points at
         number = {w: i for i, w in enumerate(words)}
         starts = np.cumsum(sizes) - sizes
-        for units in batches:
-            coded = units.flatten().dictionary_encode()
-            codes = coded.indices.to_numpy(zero_copy_only=False)
-            distinct = coded.dictionary.to_pylist()
-            entry = np.array([number.get(w, -1) for w in distinct], dtype=np.int64)
-            lengths = pc.fill_null(pc.list_value_length(units), 0)
-            ends = np.cumsum(lengths.to_numpy(zero_copy_only=False))
-            packed, missing, begin = [], [], 0
-            for end in ends.tolist():
-                row = codes[begin:end]
-                begin = end
-                known = entry[row]
-                lost = np.flatnonzero(known < 0)
-                order = {c: k for k, c in enumerate(dict.fromkeys(row[lost].tolist()))}
+        for texts in batches:
+            packed, missing, lengths = [], [], []
+            for text in texts:
+                plain = text.as_py()
+                units = cut(SPACE + plain.replace(" ", SPACE)) if plain else []
+                known = np.array([number.get(u, -1) for u in units], dtype=np.int64)
+                lost = np.flatnonzero(known < 0).tolist()
+                order: dict[str, int] = {}
+                for i in lost:
+                    order.setdefault(units[i], len(order))
                 n = sizes[known]
-                ids = np.repeat(starts[known] - np.cumsum(n) + n, n)
-                ids = flat[ids + np.arange(len(ids))]
-                ids[(np.cumsum(n) - n)[lost]] = [-1 - order[c] for c in row[lost].tolist()]
+                begin = np.cumsum(n) - n
+                ids = flat[np.repeat(starts[known] - begin, n) + np.arange(n.sum())]
+                ids[begin[lost]] = [-1 - order[units[i]] for i in lost]
                 packed.append(pack(ids))
-                missing.append([distinct[c] for c in order])
-            columns = [pa.array(packed, pa.binary()), pa.array(missing, pa.list_(pa.string())), lengths.cast(pa.int32())]
+                missing.append(list(order))
+                lengths.append(len(units))
+            columns = [pa.array(packed, pa.binary()), pa.array(missing, pa.list_(pa.string())), pa.array(lengths, pa.int32())]
             yield pa.StructArray.from_arrays(columns, ["ids", "missing", "n_units"])
 
     return F.arrow_udf(run, "ids binary, missing array<string>, n_units int")
@@ -230,31 +238,32 @@ def unpack(packed: bytes) -> np.ndarray:
     return planes.reshape(4, -1).T.copy().view("<i4").ravel()
 
 
-def filled(packed: Column, patches: Column) -> Column:
-    """Ids of a draft, with its patches (struct of ``place`` and ``ids``) at the negative numbers."""
+def filled(packed: Column, patches: Column, pieces: Broadcast) -> Column:
+    """``ids`` of a draft with its patches (struct of ``place`` and ``ids``) at the negative numbers, and the ``digest`` of their text."""
 
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        raw = np.array(pieces.value, dtype=object)
         for drafts, lists in batches:
-            rows = []
-            for draft, patch in zip(drafts, lists.to_pylist(), strict=True):
+            rows, digests = [], []
+            for draft, patch in zip(drafts, lists, strict=True):
                 ids = unpack(draft.as_py())
                 lost = np.flatnonzero(ids < 0)
                 if len(lost):
-                    parts: list = [None] * len(patch)
-                    for x in patch:
-                        parts[x["place"]] = x["ids"]
+                    parts = [x["ids"] for x in sorted(patch.as_py(), key=lambda x: x["place"])]
                     sizes = np.array([len(x) for x in parts])
                     flat = np.concatenate([ids, *[np.array(x, np.int32) for x in parts]])
                     n = np.ones(len(ids), np.int64)
-                    from_ = np.arange(len(ids))
+                    at = np.arange(len(ids))
                     n[lost] = sizes[-1 - ids[lost]]
-                    from_[lost] = (len(ids) + np.cumsum(sizes) - sizes)[-1 - ids[lost]]
-                    places = np.repeat(from_ - np.cumsum(n) + n, n)
-                    ids = flat[places + np.arange(len(places))]
+                    at[lost] = (len(ids) + np.cumsum(sizes) - sizes)[-1 - ids[lost]]
+                    ids = flat[np.repeat(at - np.cumsum(n) + n, n) + np.arange(n.sum())]
                 rows.append(ids)
-            yield pa.ListArray.from_arrays(np.cumsum([0, *map(len, rows)]).astype(np.int32), np.concatenate(rows) if rows else np.zeros(0, np.int32))
+                digests.append(sha256(b"".join(raw[ids].tolist())[1:]).digest()[:16])
+            ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(ends, np.concatenate([np.zeros(0, np.int32), *rows]))
+            yield pa.StructArray.from_arrays([ids, pa.array(digests, pa.binary())], ["ids", "digest"])
 
-    return F.arrow_udf(run, "array<int>")(packed, patches)
+    return F.arrow_udf(run, "ids array<int>, digest binary")(packed, patches)
 
 
 def encoded_documents(docs: DataFrame, path: str, text: str = "text", sample_rows: int = 20_000, entries: int = 300_000) -> DataFrame:
@@ -275,8 +284,7 @@ def encoded_documents(docs: DataFrame, path: str, text: str = "text", sample_row
     small_batches(spark)
     digest, draft = free_name(docs, "text_digest"), free_name(docs, "draft")
     vocabulary = Vocabulary(spark, path)
-    units = units_of(F.col(text), vocabulary)
-    known = frequent_units(docs, units, vocabulary, sample_rows, entries).select("unit", "ids").toArrow()  # bounded by ``entries``
+    known = frequent_units(docs, units_of(F.col(text), vocabulary), vocabulary, sample_rows, entries).select("unit", "ids").toArrow()  # bounded by ``entries``
     found = known["ids"].combine_chunks()
     held = spark.sparkContext.broadcast((
         known["unit"].to_pylist(),
@@ -284,7 +292,7 @@ def encoded_documents(docs: DataFrame, path: str, text: str = "text", sample_row
         found.flatten().to_numpy(zero_copy_only=False).astype(np.int32),
     ))
     short = lambda c: F.substring(F.unhex(F.sha2(c.cast("binary"), 256)), 1, 16)
-    marked = docs.withColumns({digest: short(F.coalesce(F.col(text), F.lit(""))), draft: draft_of(held)(units)})
+    marked = docs.withColumns({digest: short(F.coalesce(F.col(text), F.lit(""))), draft: draft_of(held, vocabulary.units)(F.col(text))})
     missing = materialize(marked.select(F.col(digest).alias("digest"), F.posexplode(f"{draft}.missing").alias("place", "unit")))
     encoded = encode_units(missing.select("unit").distinct(), vocabulary).select("unit", "ids")
     patches = missing.join(encoded, "unit").groupBy("digest").agg(F.collect_set(F.struct("place", "ids")).alias("patches"))
@@ -292,9 +300,13 @@ def encoded_documents(docs: DataFrame, path: str, text: str = "text", sample_row
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in (text, *new)]
     kept = marked.select(*rest, F.col(f"{draft}.n_units").alias("n_units"), digest, F.col(f"{draft}.ids").alias(draft))
     joined = kept.join(patches.withColumnsRenamed({"digest": digest, "patches": "ids"}), digest, "left")
-    whole = joined.withColumn("ids", filled(F.col(draft), F.col("ids")))
+    whole = joined.withColumn(draft, filled(F.col(draft), F.col("ids"), spark.sparkContext.broadcast(vocabulary.raw)))
     return whole.select(
-        *rest, "n_units", F.size("ids").alias("n_pieces"), "ids", (short(decode(F.col("ids"), vocabulary)) == F.col(digest)).alias("round_trip")
+        *rest,
+        "n_units",
+        F.size(f"{draft}.ids").alias("n_pieces"),
+        F.col(f"{draft}.ids").alias("ids"),
+        (F.col(f"{draft}.digest") == F.col(digest)).alias("round_trip"),
     )
 
 
