@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.session import shared_dir
+from logloom.session import materialize, shared_dir
 
 EOL = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -80,16 +80,19 @@ def _field(name: str) -> Column:
     return F.when(found != "", found)
 
 
-def read_records(spark: SparkSession, folder: str) -> DataFrame:
-    """Records with their header fields; ids are read from the header."""
-    return spark.read.parquet(f"{folder}/records").select(
+def _fields() -> list[Column]:
+    """What a column ``header`` says."""
+    return [
         F.regexp_extract("header", r"\r\nWARC-Record-ID: <urn:page:(-?[0-9]+)>", 1).try_cast("long").alias("id"),
         _field("WARC-Type").alias("type"),
         F.regexp_extract("header", r"\r\nWARC-Refers-To: <urn:page:(-?[0-9]+)>", 1).try_cast("long").alias("refers_to"),
         F.substring_index(_field("WARC-Payload-Digest"), ":", -1).alias("sha1"),
-        "digest",
-        "header",
-    )
+    ]
+
+
+def read_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Records with their header fields; ids are read from the header."""
+    return spark.read.parquet(f"{folder}/records").select(*_fields(), "digest", "header")
 
 
 def read_payloads(spark: SparkSession, folder: str) -> DataFrame:
@@ -100,24 +103,33 @@ def read_payloads(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rebuild(spark: SparkSession, folder: str) -> DataFrame:
-    """(id, record): the bytes of every WARC record; a revisit has an empty block."""
+    """(id, digest, record): the bytes of every WARC record; a revisit has an empty block."""
     records, end = read_records(spark, folder), F.lit(EOL * 2).cast("binary")
     full = records.filter("type = 'response'").join(read_payloads(spark, folder), "digest")
-    full = full.select("id", F.concat(F.col("header").cast("binary"), "payload", end).alias("record"))
+    full = full.select("id", "digest", F.concat(F.col("header").cast("binary"), "payload", end).alias("record"))
     return full.unionByName(
-        records.filter("type = 'revisit'").select("id", F.concat(F.col("header").cast("binary"), end).alias("record"))
+        records.filter("type = 'revisit'").select("id", "digest", F.concat(F.col("header").cast("binary"), end).alias("record"))
     )
 
 
+def parsed(records: DataFrame) -> DataFrame:
+    """Header fields of rebuilt records, with ``size`` and ``block_sha1`` of the bytes of their blocks."""
+    head = F.substring_index(F.col("record").cast("string"), EOL * 2, 1)
+    start = F.octet_length(head) + 4
+    block = F.substring(F.col("record"), start + 1, F.octet_length("record") - start - 4)
+    cut = records.select("digest", F.concat(head, F.lit(EOL)).alias("header"), block.alias("block"))
+    return cut.select(*_fields(), "digest", F.octet_length("block").cast("long").alias("size"), base32_sha1(F.col("block")).alias("block_sha1"))
+
+
 def archived_pages(pages: DataFrame) -> DataFrame:
-    """Write all pages to a new archive in the shared folder, and describe what comes back."""
+    """Write all pages to a new archive in the shared folder, rebuild every record and describe what its bytes say."""
     spark = pages.sparkSession
     folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/archive-{uuid.uuid4().hex}"
     write_archive(pages, folder)
-    payloads = read_payloads(spark, folder).select(
-        "digest", F.octet_length("payload").cast("long").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("payload_digest")
-    )
-    found = read_records(spark, folder).join(payloads, "digest")
+    described = materialize(parsed(rebuild(spark, folder)))
+    # A revisit's own block is empty: its payload is that of the response with the same digest.
+    payloads = described.filter("type = 'response'").groupBy("digest").agg(F.max("size").alias("payload_bytes"), F.max("block_sha1").alias("payload_digest"))
+    found = described.drop("size", "block_sha1").join(payloads, "digest")
     intact = F.when(F.col("sha1") == F.col("payload_digest"), F.col("payload_digest"))
     return found.select(
         F.col("id").alias("page_id"), "payload_bytes", intact.alias("payload_digest"), F.col("type").alias("record_type"), "refers_to"
