@@ -18,6 +18,7 @@ import numpy as np
 
 BUCKETS = 1 << 18
 NGRAMS = (2, 3, 4)
+UNKNOWN = -1
 
 
 @dataclass
@@ -121,7 +122,11 @@ def marginals(scores: np.ndarray, first: np.ndarray, model: Model) -> tuple[np.n
 def fit(
     sequences: list[tuple[list[str], list[int]]], labels: list[str], rounds: int = 40, rate: float = 0.25, decay: float = 1e-4
 ) -> Model:
-    """Maximum-likelihood weights by Adam over all sequences at once; repeatable."""
+    """Maximum-likelihood weights by Adam over all sequences at once; repeatable.
+
+    A word whose label is ``UNKNOWN`` counts under every label, as likely as the field finds it
+    between its neighbours: the likelihood is that of the known labels alone.
+    """
     k = len(labels)
     flat = [w for words, _ in sequences for w in words]
     truth = np.array([y for _, marks in sequences for y in marks], dtype=np.int64)
@@ -131,16 +136,21 @@ def fit(
     kind = np.array([kinds.setdefault(w, len(kinds)) for w in flat], dtype=np.int64)
     owner, bucket = features(list(kinds))
     used, bucket = np.unique(bucket, return_inverse=True)
+    unknown = truth == UNKNOWN
     wanted = np.eye(k)[truth]
     seen_steps = np.zeros((k, k))
-    inner = np.flatnonzero(~first)
-    np.add.at(seen_steps, (truth[inner - 1], truth[inner]), 1)
+    if not unknown.any():
+        inner = np.flatnonzero(~first)
+        np.add.at(seen_steps, (truth[inner - 1], truth[inner]), 1)
+    barred = np.where(unknown[:, None] | (wanted > 0), 0.0, -1e6)
     weights = [np.zeros((len(used), k)), np.zeros((k, k)), np.zeros(k)]
     moments = [(np.zeros_like(w), np.zeros_like(w)) for w in weights]
     for i in range(1, rounds + 1):
         model = Model(labels, weights[0], weights[1], weights[2])
         scores = _sums(owner, weights[0][bucket], len(kinds))[kind]
         probs, moved = marginals(scores, first, model)
+        if unknown.any():
+            wanted, seen_steps = marginals(scores + barred, first, model)
         gap = _sums(kind, wanted - probs, len(kinds))
         slopes = [
             _sums(bucket, gap[owner], len(used)) / len(flat),

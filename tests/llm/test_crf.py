@@ -113,3 +113,62 @@ def test_switched_texts_stay_and_every_language_is_learned(spark):
     assert {r.doc_id for r in kept} == {*range(40), 100}
     many = frame([(i, f"word{chr(97 + i % 26)}{chr(97 + i // 26)}", f"l{i}") for i in range(90)])
     assert len(langid.training_sample(many, "text", "lang", 2)) == 90
+
+
+def labelled_texts(spark, rows):
+    return spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(rows)], "doc_id long, text string, toxic int")
+
+
+def insult_rows(n_bad=30, n_fine=300):
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 7))
+    bad = [(" ".join([*(word() for _ in range(6)), "blockhead", word(), word()]), 1) for _ in range(n_bad)]
+    return bad + [(" ".join(word() for _ in range(9)), 0) for _ in range(n_fine)]
+
+
+def test_counts_of_different_texts(spark):
+    rows = insult_rows(40, 3_000)
+    counted = toxicity.text_counts(labelled_texts(spark, rows + rows[:5] * 3), "text", "toxic", {"blockhead ", "block", "none "})
+    by = {r.mark: r for r in counted.collect()}
+    assert set(by) == {"", "blockhead ", "block"}
+    assert 25 <= by["blockhead "].bad <= 60 and by["blockhead "].fine == 0
+    assert abs(by[""].fine - 3_000) < 1_200 and abs(by[""].bad - 40) < 20
+    assert 25 <= by["block"].places <= 60
+
+
+def test_marks_do_not_follow_copies(spark):
+    rows = insult_rows()
+    lone = ("quiet zebra walks alone along rivers", 1)
+    want = toxicity.toxic_marks(labelled_texts(spark, [*rows, lone]), "text", "toxic", [*rows, lone])[0]
+    copied = toxicity.toxic_marks(labelled_texts(spark, [*rows, *[lone] * 3_000]), "text", "toxic", [*rows, lone])[0]
+    assert want == copied == {"blockhead ", "bloc", "block", "blockh"}
+
+
+def test_unknown_labels_are_summed_over():
+    known = [(["bad", "word"], [1, 0]), (["good", "word"], [0, 0])] * 5
+    free = crf.fit([*known, (["odd", "bad"], [crf.UNKNOWN, 1])] * 3, ["fine", "toxic"])
+    probs = crf.Tagger(free).tag([["bad", "word"], ["good", "word"]])
+    assert probs[0][0, 1] > 0.9 and probs[0][1, 1] < 0.1 and probs[1][:, 1].max() < 0.1
+    # A text without any known label says nothing: the fit without it is the same, but for the steps' length.
+    model = crf.fit([(["a"], [crf.UNKNOWN]), (["b", "c"], [crf.UNKNOWN] * 2)], ["fine", "toxic"])
+    assert not model.emit.any() and not model.step.any() and not model.start.any()
+
+
+def test_scores_against_all_labellings(spark):
+    """Marginals, spans and scores of the operator on a few documents, by adding up every labelling of each."""
+    rows = insult_rows()
+    docs = labelled_texts(spark, rows)
+    found = {r.doc_id: r.toxicity for r in toxicity.score_toxicity(docs.drop("toxic"), docs.select("doc_id", "toxic")).collect()}
+    known = sorted(rows)
+    model = toxicity.train(known, *toxicity.toxic_marks(docs, "text", "toxic", known))
+    def all_paths(text):
+        words = toxicity.words_of(text)
+        return brute(crf.emissions(words, model.emit), np.arange(len(words)) == 0, model)
+    weights = toxicity.calibrate([all_paths(t) for t, _ in known], [y for _, y in known], 1.0)
+    for i in (0, 1, 29, 30, 31):
+        probs = all_paths(rows[i][0])
+        score = 1 / (1 + np.exp(-weights @ np.array([1.0, *toxicity.figures(probs)])))
+        assert abs(found[i].score - score) < 1e-3
+        assert found[i].n_toxic == (probs[:, 1] > 0.5).sum()
+        words = rows[i][0].split(" ")
+        assert [rows[i][0][s.start : s.end] for s in found[i].spans] == [w for w, p in zip(words, probs[:, 1], strict=True) if p > 0.5]
