@@ -59,7 +59,7 @@ def text_counts(labelled: DataFrame, text: str, toxic: str, marks: set[str]) ->
     pairs of neighbours in toxic texts while there are few (under a hundred), and ``bad`` beyond.
     """
     words = F.transform(F.regexp_extract_all(F.col(text), F.lit(LETTERS), 0), F.lower)
-    rows = labelled.select((F.col(toxic) == 1).alias("is_bad"), words.alias("w")).filter(F.size("w") > 0)
+    rows = labelled.select((F.col(toxic) == 1).alias("is_bad"), words.alias("w"))
     placed_words = F.transform(
         "w",
         lambda x, i: F.struct(
@@ -68,17 +68,19 @@ def text_counts(labelled: DataFrame, text: str, toxic: str, marks: set[str]) ->
         ),
     )
     smallest = F.array_min(F.transform("w", lambda x, i: F.xxhash64(F.get("w", i - 1), x, F.get("w", i + 1))))
-    # Hashed once more: the smallest of many is itself not evenly spread.
-    keyed = rows.select("is_bad", F.xxhash64(smallest, F.lit("key")).alias("key"), F.explode(placed_words).alias("t"))
-    tokens = keyed.select("is_bad", "key", "t.w", "t.slot")
+    # Hashed once more: the smallest of many is itself not evenly spread. A column before the words are dealt
+    # out: beside them it would be worked out for every word, from all words of its text.
+    keyed = rows.withColumn("key", F.xxhash64(smallest, F.lit("key")))
+    tokens = keyed.select("is_bad", "key", F.posexplode(placed_words).alias("at", "t")).select("is_bad", "key", "at", "t.w", "t.slot")
     level = F.expr("case " + " ".join(f"when key & {16 ** (n + 1) - 1}L <> 0 then {n}" for n in range(13)) + " else 13 end")
     bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(key, 58) as int))")
     prefixes = [F.when(F.length("w") >= n, F.substring("w", 1, n)) for n in PREFIXES]
-    placed = tokens.select("is_bad", "w", "slot", level.alias("level"), bit.alias("bit")).select(
-        "is_bad", "slot", "level", "bit", F.explode(F.array(F.lit(""), F.concat("w", F.lit(" ")), *prefixes)).alias("mark")
+    every = F.when(F.col("at") == 0, F.lit(""))  # once a text
+    placed = tokens.select("is_bad", "at", "w", "slot", level.alias("level"), bit.alias("bit")).select(
+        "is_bad", "slot", "level", "bit", F.explode(F.array(every, F.concat("w", F.lit(" ")), *prefixes)).alias("mark")
     )
     asked = labelled.sparkSession.createDataFrame(pa.table({"mark": pa.array(sorted(marks | {""}), pa.string())}))
-    levels = placed.join(asked, "mark").groupBy("mark", "level").agg(
+    levels = placed.join(F.broadcast(asked), "mark").groupBy("mark", "level").agg(
         _bits(F.when(F.col("is_bad"), F.col("bit"))).alias("bad"),
         _bits(F.when(~F.col("is_bad"), F.col("bit"))).alias("fine"),
         F.bit_or(F.when(F.col("is_bad"), F.expr("shiftleft(1L, slot)"))).alias("around"),

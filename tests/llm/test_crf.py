@@ -136,6 +136,14 @@ def test_counts_of_different_texts(spark):
     assert 25 <= by["block"].places <= 60
 
 
+def test_words_do_not_carry_their_text(spark):
+    """Work by text stays work by text: beside every word it grows with the square of a text's words."""
+    docs = labelled_texts(spark, [*insult_rows(5, 5), ("once upon a time " * 2_000, 0)])
+    plan = toxicity.text_counts(docs, "text", "toxic", {"blockhead "})._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("explode(transform(") :]
+    assert "array_min" not in plan[: plan.index("explode(transform(")] and "array_min" in below
+
+
 def test_marks_do_not_follow_copies(spark):
     rows = insult_rows()
     lone = ("quiet zebra walks alone along rivers", 1)
