@@ -70,10 +70,11 @@ def _normal(x: np.ndarray, axes) -> np.ndarray:
     return x / np.maximum(x.sum(axis=axes, keepdims=True), 1e-300)
 
 
-def marginals(scores: np.ndarray, first: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
+def marginals(scores: np.ndarray, first: np.ndarray, model: Model, moves: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Forward-backward: label probabilities of every word, and expected transition counts.
 
-    ``scores``: log-potentials (words, labels); ``first``: whether a word starts a text.
+    ``scores``: log-potentials (words, labels); ``first``: whether a word starts a text. Without
+    ``moves``, which only a fit needs, the counts are left at zero.
     """
     n, k = scores.shape
     if not n:
@@ -111,7 +112,7 @@ def marginals(scores: np.ndarray, first: np.ndarray, model: Model) -> tuple[np.n
     ahead, behind = ahead.reshape(-1, k)[:n], behind.reshape(-1, k)[:n]
     local = local.reshape(-1, k)[:n]
     moved = np.zeros((k, k))
-    for part in range(1, n, 1 << 17):
+    for part in range(1, n if moves else 0, 1 << 17):
         rows = np.arange(part, min(n, part + (1 << 17)))
         rows = rows[~first[rows]]
         pairs = ahead[rows - 1][:, :, None] * step[None] * (local[rows] * behind[rows])[:, None, :]
@@ -200,7 +201,7 @@ class Tagger:
             first = np.zeros(len(flat), dtype=bool)
             offsets = np.cumsum([0, *lengths])
             first[offsets[:-1][np.array(lengths) > 0]] = True
-            probs, _ = marginals(self._rows(flat), first, self.model)
+            probs, _ = marginals(self._rows(flat), first, self.model, moves=False)
             out += [probs[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             start = end
         return out

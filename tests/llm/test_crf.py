@@ -31,6 +31,14 @@ def test_forward_backward_against_all_paths(n):
     assert np.isclose(moved.sum(), (~first).sum())
 
 
+def test_tagging_counts_no_transitions():
+    rng = np.random.default_rng(3)
+    model = crf.Model(list("abc"), None, rng.normal(size=(3, 3)), rng.normal(size=3))
+    scores, first = rng.normal(size=(9, 3)), np.arange(9) % 4 == 0
+    got, moved = crf.marginals(scores, first, model, moves=False)
+    assert np.array_equal(got, crf.marginals(scores, first, model)[0]) and not moved.any()
+
+
 def test_scores_do_not_depend_on_the_batch():
     model = crf.fit([(["aa", "ab"], [0, 0]), (["zz", "zy", "ab"], [1, 1, 0])], ["x", "y"], rounds=10)
     texts = [["aa"], [], ["zz", "ab", "neu"], ["aa"] * 500]
