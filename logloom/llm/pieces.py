@@ -4,9 +4,10 @@ A text is normalised as the model says (blanks become ``▁``, one in front) and
 units that no piece reaches across. All substrings of a unit up to the longest piece are
 exploded and equi-joined to the piece table: those are the edges of its lattice. They
 are grouped by unit, and a higher-order ``aggregate`` folds them, best score first, over
-the unit's characters: every edge joins the neighbouring tokens it is made of. For a
+the unit's characters: every edge joins the two neighbouring tokens it is made of. For a
 byte-pair model this is the model's own rule; the highest sum of scores, as in a unigram
-model, is a different segmentation and would not give the model's ids.
+model, is a different segmentation and would not give the model's ids. While folded, a
+token is one character, whose code is the rank of its piece.
 
 Units are encoded once. Those frequent in a sample of rows form a dictionary of bounded
 size that is broadcast; the others are shuffled by unit. Characters without a piece
@@ -16,8 +17,12 @@ documents are put together from encoded units on Arrow batches.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Callable, Iterator
+from functools import cache
 from hashlib import sha256
+from itertools import filterfalse, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,19 +36,20 @@ from logloom.llm.batches import free_name, small_batches
 from logloom.session import materialize
 
 SPACE = "▁"
-# Marks around the tokens of a state; both occur in no piece.
-OPEN, CLOSE = "\u0001", "\u0002"
-# Letters, other characters, or nothing after a run of spaces; the marks stand alone.
-UNITS = rf"[{OPEN}{CLOSE}]|{SPACE}*[\p{{L}}\p{{M}}]+|{SPACE}*[^\p{{L}}\p{{M}}{SPACE}{OPEN}{CLOSE}]+|{SPACE}+"
+# Letters, other characters, or nothing after a run of spaces.
+UNITS = rf"{SPACE}*[\p{{L}}\p{{M}}]+|{SPACE}*[^\p{{L}}\p{{M}}{SPACE}]+|{SPACE}+"
 # Without regard to letters.
-WORDS = rf"[{OPEN}{CLOSE}]|{SPACE}*[^{SPACE}{OPEN}{CLOSE}]+|{SPACE}+"
+WORDS = rf"{SPACE}*[^{SPACE}]+|{SPACE}+"
+# Characters of tokens: three bytes each, up to the surrogates.
+FIRST, LAST = 0x800, 0xD7FF
+# Bytes of a digest that names a text.
+DIGEST = 12
 
 
 class Vocabulary:
     """The piece table of a byte-pair model file with byte fallback."""
 
     def __init__(self, spark: SparkSession, path: str):
-        import regex
         from sentencepiece import sentencepiece_model_pb2
 
         model = sentencepiece_model_pb2.ModelProto()
@@ -56,16 +62,30 @@ class Vocabulary:
         # Best score first; runs of spaces last, longest first, because they grow from the left.
         runs = {p for p, _, _ in pieces if len(p) > 1 and not p.strip(SPACE)}
         order = sorted(pieces, key=lambda p: (p[0] in runs, -len(p[0]) if p[0] in runs else -p[2], p[1]))
-        self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == 6}
-        if len(self.bytes) < 256:
+        in_bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == 6}
+        if len(in_bytes) < 256:
             raise ValueError("the model has no byte pieces")
+        if FIRST + len(order) + 256 > LAST:
+            raise ValueError("the model has too many pieces for one character each")
         self.longest = max(len(p) for p, _, _ in pieces)
         self.spark = spark
-        rows = [(p, i, rank) for rank, (p, i, _) in enumerate(order)]
-        self.pieces = spark.createDataFrame(rows, "piece string, id int, rank int")
-        across = self.pieces.filter(F.size(F.regexp_extract_all("piece", F.lit(UNITS), 0)) != 1).filter("length(piece) > 1")
+        ranks = {p: rank for rank, (p, _, _) in enumerate(order)}
+        code = lambda p: chr(FIRST + ranks[p])
+        self.single = "".join(p for p in ranks if len(p) == 1)
+        self.single_codes = "".join(map(code, self.single))
+        self.byte_codes = [chr(FIRST + len(order) + b) for b in range(256)]
+        # The id of every code.
+        self.ids = [i for _, i, _ in order] + [in_bytes[b] for b in range(256)]
+        # A piece as an edge: its code, then those of the tokens it is made of. In this order edges are sorted by rank.
+        made = {p: [SPACE] * len(p) if p in runs else halves(p, ranks) for p in ranks if len(p) > 1}
+        rows = [(p, code(p) + "".join(map(code, parts))) for p, parts in made.items() if parts]
+        self.pieces = spark.createDataFrame(rows, "piece string, edge string")
+        # Neighbouring characters that no piece holds: units can be cut between them.
+        self.pairs = {p[i : i + 2] for p in ranks for i in range(len(p) - 1)}
+        every = spark.createDataFrame([(p,) for p in ranks], "piece string")
+        across = every.filter(F.size(F.regexp_extract_all("piece", F.lit(UNITS), 0)) != 1).filter("length(piece) > 1")
         # A piece that reaches across units must not exist, else they are no units; neither for Spark's patterns nor for Python's.
-        held = all(len(p) == 1 or regex.fullmatch(UNITS, p) for p, _, _ in pieces)
+        held = all(cutter(UNITS)(p) == [p] for p in ranks)
         self.units = UNITS if held and across.limit(1).count() == 0 else WORDS
         # What every id stands for.
         self.raw = [
@@ -78,6 +98,43 @@ class Vocabulary:
         return F.unhex(F.concat_ws("", F.transform(ids, lambda i: F.element_at(self.hex, i + 1)))).cast("string")
 
 
+def halves(piece: str, ranks: dict[str, int]) -> list[str] | None:
+    """The two tokens that the model joins last when it makes ``piece`` of characters; None if it never does.
+
+    No other two can make it, in any text: until the piece is made, no token reaches across
+    its ends, so what happens between them is what happens to the piece alone.
+    """
+    parts, last = list(piece), -1
+    while len(parts) > 1:
+        rank, i = min((ranks.get(a + b, len(ranks)), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
+        if rank == len(ranks):
+            return None
+        if rank < last:
+            raise ValueError(f"{piece!r} is made of pieces with scores below its own")
+        if len(parts) == 2:
+            return parts
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        last = rank
+    return None
+
+
+@cache
+def cutter(pattern: str) -> Callable[[str], list[str]]:
+    """Function that cuts a normalised text as ``pattern`` says."""
+    import regex
+
+    whole = regex.compile(pattern).findall
+    if pattern != UNITS:
+        return whole
+    # The same for characters of 16 bits, written out for ``re``: about half the time.
+    kinds = [unicodedata.category(chr(i))[0] in "LM" for i in range(0x10000)] + [False]
+    edges = [i for i in range(len(kinds)) if kinds[i] != (i > 0 and kinds[i - 1])]
+    letters = "".join(f"\\u{a:04x}-\\u{b - 1:04x}" for a, b in zip(edges[::2], edges[1::2], strict=True))
+    common = re.compile(rf"{SPACE}*+(?:[{letters}]++|[^{letters}{SPACE}]++)|{SPACE}++").findall
+    higher = re.compile("[\U00010000-\U0010ffff]").search
+    return lambda text: whole(text) if higher(text) else common(text)
+
+
 def units_of(text: Column, vocabulary: Vocabulary) -> Column:
     """Units of the normalised text; null and empty texts have none."""
     whole = F.concat(F.lit(SPACE), F.replace(text, F.lit(" "), F.lit(SPACE)))
@@ -85,70 +142,57 @@ def units_of(text: Column, vocabulary: Vocabulary) -> Column:
 
 
 def lattice(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(unit, edges): pieces that occur in a unit, in the order of their rank; single characters too."""
-    size = F.length("unit")
-    starts = units.select("unit", F.explode(F.sequence(F.lit(1), size)).alias("at"))
-    lengths = F.sequence(F.lit(1), F.least(F.lit(vocabulary.longest), size - F.col("at") + 1))
-    places = starts.select("unit", "at", F.explode(lengths).alias("n"))
-    spans = places.select("unit", F.col("unit").substr(F.col("at"), F.col("n")).alias("piece"))
-    edges = spans.join(F.broadcast(vocabulary.pieces), "piece")  # bounded: the model's vocabulary
-    grouped = edges.groupBy("unit").agg(F.collect_set(F.struct("rank", "piece", "id")).alias("edges"))
-    return units.join(grouped, "unit", "left").select("unit", F.sort_array(F.coalesce("edges", F.array())).alias("edges"))
+    """``units`` (distinct) with ``edges``: pieces that occur in a unit, in the order of their rank."""
+    rest = [c for c in units.columns if c != "unit"]
+    at, n, piece, edge = (free_name(units, c) for c in ("at", "n_characters", "piece", "edge"))
+    starts = units.select("*", F.explode(F.sequence(F.lit(1), F.length("unit"))).alias(at))
+    lengths = F.sequence(F.lit(1), F.least(F.lit(vocabulary.longest), F.length("unit") - F.col(at) + 1))
+    # The first character of each unit stays, whatever it is, and alone carries the other columns.
+    places = starts.select("*", F.explode(lengths).alias(n)).filter((F.col(n) > 1) | (F.col(at) == 1))
+    found = F.col("unit").substr(F.col(at), F.col(n)).alias(piece)
+    spans = places.select("unit", n, found, *[F.when(F.col(n) == 1, F.col(c)).alias(c) for c in rest])
+    table = vocabulary.pieces.withColumnsRenamed({"piece": piece, "edge": edge})
+    edges = spans.join(F.broadcast(table), piece, "left").filter(F.col(edge).isNotNull() | (F.col(n) == 1))  # bounded: the model's vocabulary
+    return edges.groupBy("unit").agg(*[F.first(c, ignorenulls=True).alias(c) for c in rest], F.sort_array(F.collect_list(edge)).alias("edges"))
 
 
 def fold(edges: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(unit, ids): the pieces of every unit."""
-    one = lambda a: F.concat(F.lit(OPEN), a, F.lit(CLOSE))
-    two = lambda a, b: F.concat(F.lit(OPEN), a, F.lit(CLOSE + OPEN), b, F.lit(CLOSE))
-    single = F.regexp_replace("unit", r"(?s)(.)", f"{OPEN}$1{CLOSE}")
-
-    def joined(state: Column, edge: Column) -> Column:
-        piece = edge["piece"]
-        n = F.length(piece)
-        run = F.replace(state, F.repeat(F.lit(OPEN + SPACE + CLOSE), n), one(piece))
-        halves = F.aggregate(
-            F.sequence(F.lit(1), n - 1),
-            state,
-            lambda s, k: F.replace(s, two(F.substr(piece, F.lit(1), k), F.substr(piece, k + 1)), one(piece)),
-        )
-        return F.when(n == 1, state).when(F.replace(piece, F.lit(SPACE), F.lit("")) == "", run).otherwise(halves)
-
-    state = F.aggregate("edges", single, joined)
-    tokens = F.when(F.col("unit").isin(OPEN, CLOSE), F.array("unit")).otherwise(
-        F.split(F.expr("substring(state, 2, length(state) - 2)"), CLOSE + OPEN)
-    )
-    ids = F.map_from_entries(F.transform("edges", lambda e: F.struct(e["piece"], e["id"])))
-    byte_ids = F.array(*[F.lit(vocabulary.bytes[b]) for b in range(256)])
-
-    def as_bytes(token: Column) -> Column:
-        raw = token.cast("binary")
-        values = F.transform(
-            F.sequence(F.lit(0), F.octet_length(raw) - 1),
-            lambda i: F.conv(F.hex(F.substr(raw, i + 1, F.lit(1))), 16, 10).cast("int"),
-        )
-        return F.transform(values, lambda b: F.element_at(byte_ids, b + 1))
-
-    known = lambda t: F.try_element_at(F.col("by_piece"), t)
-    named = edges.select("unit", ids.alias("by_piece"), state.alias("state")).select("unit", "by_piece", tokens.alias("tokens"))
-    return named.select(
-        "unit",
-        F.flatten(F.transform("tokens", lambda t: F.when(known(t).isNotNull(), F.array(known(t))).otherwise(as_bytes(t)))).alias("ids"),
-    )
+    """``edges`` folded to ``codes``: the tokens of every unit, a character each."""
+    in_bytes = F.split(F.lit(",".join(vocabulary.byte_codes)), ",")
+
+    def as_bytes(character: Column) -> Column:
+        raw = character.cast("binary")
+        values = F.transform(F.sequence(F.lit(1), F.octet_length(raw)), lambda i: F.conv(F.hex(F.substr(raw, i, F.lit(1))), 16, 10).cast("int"))
+        return F.concat_ws("", F.transform(values, lambda b: F.element_at(in_bytes, b + 1)))
+
+    strange = lambda text: F.translate(text, vocabulary.single, "") != ""
+    mapped = lambda text: F.translate(text, vocabulary.single, vocabulary.single_codes)
+    characters = F.regexp_extract_all("unit", F.lit("(?s)."), 0)
+    slowly = F.concat_ws("", F.transform(characters, lambda c: F.when(strange(c), as_bytes(c)).otherwise(mapped(c))))
+    begin = F.when(strange(F.col("unit")), slowly).otherwise(mapped(F.col("unit")))
+    state = F.aggregate("edges", begin, lambda s, e: F.replace(s, F.substr(e, F.lit(2)), F.substr(e, F.lit(1), F.lit(1))))
+    return edges.select(*[c for c in edges.columns if c != "edges"], state.alias("codes"))
 
 
 def encode_units(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(unit, ids, intact) of distinct units; ``intact``: the ids decode to the unit."""
-    found = fold(lattice(units, vocabulary), vocabulary)
-    return found.withColumn("intact", vocabulary.decoded(F.col("ids")) == F.replace("unit", F.lit(SPACE), F.lit(" ")))
+    """Distinct units, one row each, with ``codes`` and ``ids``; other columns stay."""
+    ids = F.split(F.lit(",".join(map(str, vocabulary.ids))), ",").cast("array<int>")
+    characters = F.regexp_extract_all("codes", F.lit("(?s)."), 0)
+    return fold(lattice(units, vocabulary), vocabulary).withColumn("ids", F.transform(characters, lambda c: F.element_at(ids, F.ascii(c) - FIRST + 1)))
+
+
+def checked(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(unit, ids, intact); ``intact``: the ids decode to the unit."""
+    return encoded.select("unit", "ids", (vocabulary.decoded(F.col("ids")) == F.replace("unit", F.lit(SPACE), F.lit(" "))).alias("intact"))
 
 
 def frequent_units(docs: DataFrame, units: Column, vocabulary: Vocabulary, sample_rows: int, entries: int) -> DataFrame:
-    """(unit, ids, intact) of at most ``entries`` units, the most frequent of about ``sample_rows`` rows."""
+    """(unit, n, ids) of at most ``entries`` units, the most frequent of about ``sample_rows`` rows."""
     rows = max(1, docs.count())
     sample = docs if rows <= sample_rows else docs.sample(sample_rows / rows, 5)
     frequent = sample.select(F.explode(units).alias("unit")).groupBy("unit").agg(F.count("*").alias("n"))
-    frequent = frequent.orderBy(F.desc("n"), "unit").limit(entries).select("unit")
-    return materialize(encode_units(materialize(frequent), vocabulary))
+    frequent = frequent.orderBy(F.desc("n"), "unit").limit(entries)
+    return materialize(encode_units(materialize(frequent), vocabulary).select("unit", "n", "ids"))
 
 
 def encode(
@@ -167,11 +211,11 @@ def encode(
     ``sample_rows`` rows and has at most ``entries`` units; it changes the speed alone.
     """
     split = units_of(F.col(text), vocabulary)
-    dictionary = frequent_units(docs, split, vocabulary, sample_rows, entries)
+    dictionary = checked(frequent_units(docs, split, vocabulary, sample_rows, entries), vocabulary)
     units = docs.select(F.col(row).alias("row"), F.posexplode(split).alias("position", "unit"))
     tier = units.join(F.broadcast(dictionary), "unit", "left")  # bounded by ``entries``
     rare = materialize(tier.filter("ids is null").select("row", "position", "unit"))
-    rest = encode_units(rare.select("unit").distinct(), vocabulary)
+    rest = checked(encode_units(rare.select("unit").distinct(), vocabulary), vocabulary)
     columns = ["row", "position", "unit", "ids", "intact"]
     return tier.filter("ids is not null").select(columns).unionByName(rare.join(rest, "unit").select(columns))
 
@@ -187,49 +231,72 @@ def assemble(encoded: DataFrame) -> DataFrame:
     return parts.select("row", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"))
 
 
-def draft_of(entries: Broadcast, pattern: str) -> Callable[[Column], Column]:
-    """Column function: text to ``ids`` (packed, see ``pack``), ``missing`` units and ``n_units``.
+def lost_units(units: list[str], number: dict[str, int], pairs: set[str]) -> tuple[dict[str, list[str]], dict[str, int]]:
+    """Units that have no entry, with the parts they are cut to between characters that no
+    piece holds as neighbours; and the parts that have none, numbered after all entries in
+    the order of their first place."""
+    parts, order = {}, {}
+    for unit in filterfalse(number.__contains__, units):
+        if unit not in parts:
+            ends = [i for i, pair in enumerate(map(str.__add__, unit, unit[1:]), 1) if pair not in pairs]
+            parts[unit] = [unit[a:b] for a, b in zip([0, *ends], [*ends, len(unit)], strict=True)] if ends else [unit]
+            for part in parts[unit]:
+                if part not in number:
+                    order.setdefault(part, len(number) + len(order))
+    return parts, order
+
+
+def units_in(texts: pa.Array, pattern: str) -> Iterator[list[str]]:
+    """Units of each text, cut here, because a list of them costs more on its way from Spark than the cutting."""
+    cut = cutter(pattern)
+    for text in texts.to_pylist():
+        yield cut(SPACE + text.replace(" ", SPACE)) if text else []
 
-    ``entries`` holds the dictionary as (units, sizes, ids one after the other). A unit that
-    is not in it stands in the ids as a negative number, -1 for the first of ``missing``,
-    which are the row's unknown units in the order of their first place. Texts are cut here,
-    because a list of all units costs more on its way from Spark than the cutting.
-    """
+
+def missing_of(text: Column, number: Broadcast, vocabulary: Vocabulary) -> Column:
+    """Units of a text that have no entry."""
+    pattern, pairs = vocabulary.units, vocabulary.pairs
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        import regex
+        for texts in batches:
+            yield pa.array([list(lost_units(units, number.value, pairs)[1]) for units in units_in(texts, pattern)], pa.list_(pa.string()))
+
+    return F.arrow_udf(run, "array<string>")(text)
+
+
+def draft_of(text: Column, number: Broadcast, vocabulary: Vocabulary) -> Column:
+    """``numbers`` of a text's units (packed, see ``pack``) and their number ``n_units``."""
+    pattern, pairs = vocabulary.units, vocabulary.pairs
+
+    def numbers(units: list[str]) -> list[int]:
+        known = number.value
+        found = list(map(known.get, units, repeat(-1)))
+        parts, order = lost_units(units, known, pairs)
+        at, end = -1, []
+        for _ in range(found.count(-1)):
+            at = found.index(-1, at + 1)
+            # The first part in its place, more of them put in afterwards, from the end.
+            found[at], *more = [known.get(p) if p in known else order[p] for p in parts[units[at]]]
+            if more:
+                end.append((at + 1, more))
+        for at, more in reversed(end):
+            found[at:at] = more
+        return found
 
-        cut = regex.compile(pattern).findall
-        words, sizes, flat = entries.value
-        sizes, flat = np.append(sizes, 1), np.append(flat, np.int32(0))  # what -1, no entry, points at
-        number = {w: i for i, w in enumerate(words)}
-        starts = np.cumsum(sizes) - sizes
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            packed, missing, lengths = [], [], []
-            for text in texts:
-                plain = text.as_py()
-                units = cut(SPACE + plain.replace(" ", SPACE)) if plain else []
-                known = np.array([number.get(u, -1) for u in units], dtype=np.int64)
-                lost = np.flatnonzero(known < 0).tolist()
-                order: dict[str, int] = {}
-                for i in lost:
-                    order.setdefault(units[i], len(order))
-                n = sizes[known]
-                begin = np.cumsum(n) - n
-                ids = flat[np.repeat(starts[known] - begin, n) + np.arange(n.sum())]
-                ids[begin[lost]] = [-1 - order[units[i]] for i in lost]
-                packed.append(pack(ids))
-                missing.append(list(order))
+            packed, lengths = [], []
+            for units in units_in(texts, pattern):
+                packed.append(pack(np.array(numbers(units), np.int32)))
                 lengths.append(len(units))
-            columns = [pa.array(packed, pa.binary()), pa.array(missing, pa.list_(pa.string())), pa.array(lengths, pa.int32())]
-            yield pa.StructArray.from_arrays(columns, ["ids", "missing", "n_units"])
+            yield pa.StructArray.from_arrays([pa.array(packed, pa.binary()), pa.array(lengths, pa.int32())], ["numbers", "n_units"])
 
-    return F.arrow_udf(run, "ids binary, missing array<string>, n_units int")
+    return F.arrow_udf(run, "numbers binary, n_units int")(text)
 
 
-def pack(ids: np.ndarray) -> bytes:
-    """Whole numbers of 32 bits, lowest bytes first, compressed: a shuffle carries about a quarter."""
-    planes = ids.astype("<i4").view(np.uint8).reshape(-1, 4).T
+def pack(numbers: np.ndarray) -> bytes:
+    """Whole numbers of 32 bits, lowest bytes first, compressed: a shuffle carries less than half."""
+    planes = numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T
     return zstandard.compress(planes.tobytes(), 1)
 
 
@@ -238,30 +305,44 @@ def unpack(packed: bytes) -> np.ndarray:
     return planes.reshape(4, -1).T.copy().view("<i4").ravel()
 
 
-def filled(packed: Column, patches: Column, pieces: Broadcast) -> Column:
-    """``ids`` of a draft with its patches (struct of ``place`` and ``ids``) at the negative numbers, and the ``digest`` of their text."""
+def plain_texts(sizes: np.ndarray, ids: np.ndarray, raw: list[bytes]) -> np.ndarray:
+    """What units decode to, given the sizes of their ids and these one after the other."""
+    pieces, ends = [raw[i] for i in ids.tolist()], np.cumsum(sizes).tolist()
+    return np.array([*(b"".join(pieces[a:b]) for a, b in zip([0, *ends], ends, strict=False)), None], dtype=object)[:-1]
+
+
+def filled(packed: Column, patches: Column, entries: Broadcast) -> Column:
+    """``ids`` of a draft, its units looked up in ``entries`` and its patches (struct of ``place`` and ``codes``), and the ``digest`` of their text.
+
+    ``entries`` holds the sizes of the dictionary's units, their ids one after the other, what
+    they decode to, the id of every code, and what every id stands for.
+    """
 
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        raw = np.array(pieces.value, dtype=object)
-        for drafts, lists in batches:
-            rows, digests = [], []
-            for draft, patch in zip(drafts, lists, strict=True):
-                ids = unpack(draft.as_py())
-                lost = np.flatnonzero(ids < 0)
-                if len(lost):
-                    parts = [x["ids"] for x in sorted(patch.as_py(), key=lambda x: x["place"])]
-                    sizes = np.array([len(x) for x in parts])
-                    flat = np.concatenate([ids, *[np.array(x, np.int32) for x in parts]])
-                    n = np.ones(len(ids), np.int64)
-                    at = np.arange(len(ids))
-                    n[lost] = sizes[-1 - ids[lost]]
-                    at[lost] = (len(ids) + np.cumsum(sizes) - sizes)[-1 - ids[lost]]
-                    ids = flat[np.repeat(at - np.cumsum(n) + n, n) + np.arange(n.sum())]
-                rows.append(ids)
-                digests.append(sha256(b"".join(raw[ids].tolist())[1:]).digest()[:16])
-            ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(ends, np.concatenate([np.zeros(0, np.int32), *rows]))
-            yield pa.StructArray.from_arrays([ids, pa.array(digests, pa.binary())], ["ids", "digest"])
+        sizes, flat, decoded, id_of, raw = entries.value
+        none = len(sizes)
+        for packs, lists in batches:
+            numbers = [unpack(x.as_py()) for x in packs]
+            n_lost = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            lost = lists.flatten()
+            order = np.lexsort((lost.field("place").to_numpy(zero_copy_only=False), np.repeat(np.arange(len(numbers)), n_lost)))
+            codes = lost.field("codes").take(pa.array(order))
+            units = np.concatenate([np.zeros(0, np.int32), *numbers]).astype(np.int64)
+            n_units = np.array([len(x) for x in numbers], np.int64)
+            # A text's own units come after those of the texts before it.
+            units += np.where(units < none, 0, np.repeat(np.cumsum(n_lost) - n_lost, n_units))
+            own = id_of[np.frombuffer("".join(codes.to_pylist()).encode("utf-32-le"), "<u4").astype(np.int64) - FIRST]
+            n_own = pc.utf8_length(codes).to_numpy(zero_copy_only=False)
+            plain = np.concatenate([decoded, plain_texts(n_own, own, raw)])[units].tolist()
+            firsts = np.cumsum([0, *n_units])
+            digests = [sha256(b"".join(plain[a:b])[1:]).digest()[:DIGEST] for a, b in zip(firsts, firsts[1:], strict=False)]
+            n = np.concatenate([sizes, n_own]).astype(np.int64)
+            every = np.concatenate([flat, own])
+            starts, n = (np.cumsum(n) - n)[units], n[units]
+            ids = every[np.repeat(starts - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            ends = np.concatenate([[0], np.cumsum(n)])[firsts]
+            values = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+            yield pa.StructArray.from_arrays([values, pa.array(digests, pa.binary())], ["ids", "digest"])
 
     return F.arrow_udf(run, "ids array<int>, digest binary")(packed, patches)
 
@@ -274,33 +355,37 @@ def encoded_documents(docs: DataFrame, path: str, text: str = "text", sample_row
     blank. Null and empty texts have no pieces. Rows with repeated or null ids are encoded
     each by itself; columns called like the new ones are replaced.
 
-    Neither texts nor units of the dictionary are shuffled. Each text becomes a draft of
-    its ids with numbers for the units that the dictionary lacks; these units, named by a
-    digest of the text, are encoded once each over the lattice and come back to the drafts
-    as patches. The digest is one of the content, so a computation that is repeated after
-    a lost executor gives the same. ``sample_rows`` and ``entries`` as in ``encode``.
+    Neither texts nor units of the dictionary are shuffled. Each text becomes a draft, the
+    numbers of its units; units that the dictionary lacks, named by a digest of the text,
+    are grouped, encoded once each over the lattice, and come back to the drafts as patches.
+    The digest is one of the content, so a computation that is repeated after a lost executor
+    gives the same. ``sample_rows`` and ``entries`` as in ``encode``; what they leave out is
+    in few of the sampled rows, so the texts that hold such a unit are few among all.
     """
     spark = docs.sparkSession
     small_batches(spark)
     digest, draft = free_name(docs, "text_digest"), free_name(docs, "draft")
     vocabulary = Vocabulary(spark, path)
-    known = frequent_units(docs, units_of(F.col(text), vocabulary), vocabulary, sample_rows, entries).select("unit", "ids").toArrow()  # bounded by ``entries``
+    known = frequent_units(docs, units_of(F.col(text), vocabulary), vocabulary, sample_rows, entries).toArrow()  # bounded by ``entries``
+    # Frequent units get small numbers, which pack better.
+    known = known.sort_by([("n", "descending"), ("unit", "ascending")])
     found = known["ids"].combine_chunks()
-    held = spark.sparkContext.broadcast((
-        known["unit"].to_pylist(),
-        pc.list_value_length(found).to_numpy(zero_copy_only=False).astype(np.int64),
-        found.flatten().to_numpy(zero_copy_only=False).astype(np.int32),
-    ))
-    short = lambda c: F.substring(F.unhex(F.sha2(c.cast("binary"), 256)), 1, 16)
-    marked = docs.withColumns({digest: short(F.coalesce(F.col(text), F.lit(""))), draft: draft_of(held, vocabulary.units)(F.col(text))})
-    missing = materialize(marked.select(F.col(digest).alias("digest"), F.posexplode(f"{draft}.missing").alias("place", "unit")))
-    encoded = encode_units(missing.select("unit").distinct(), vocabulary).select("unit", "ids")
-    patches = missing.join(encoded, "unit").groupBy("digest").agg(F.collect_set(F.struct("place", "ids")).alias("patches"))
+    sizes = pc.list_value_length(found).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = found.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+    number = spark.sparkContext.broadcast({u: i for i, u in enumerate(known["unit"].to_pylist())})
+    table = spark.sparkContext.broadcast((sizes, flat, plain_texts(sizes, flat, vocabulary.raw), np.array(vocabulary.ids, np.int32), vocabulary.raw))
+    named = F.substring(F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)), 1, DIGEST)
+    missing = docs.select(named.alias("digest"), F.posexplode(missing_of(F.col(text), number, vocabulary)).alias("place", "unit"))
+    # Copies of a text name the same places.
+    units = missing.repartition("unit").groupBy("unit").agg(F.collect_set(F.struct("digest", "place")).alias("places"))
+    encoded = fold(lattice(units, vocabulary), vocabulary).select("codes", F.explode("places").alias("at"))
+    patches = encoded.select("at.digest", "at.place", "codes").repartition("digest").groupBy("digest").agg(F.collect_list(F.struct("place", "codes")).alias("patches"))
     new = ("ids", "n_units", "n_pieces", "round_trip")
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in (text, *new)]
-    kept = marked.select(*rest, F.col(f"{draft}.n_units").alias("n_units"), digest, F.col(f"{draft}.ids").alias(draft))
+    marked = docs.withColumns({digest: named, draft: draft_of(F.col(text), number, vocabulary)})
+    kept = marked.select(*rest, F.col(f"{draft}.n_units").alias("n_units"), digest, F.col(f"{draft}.numbers").alias(draft))
     joined = kept.join(patches.withColumnsRenamed({"digest": digest, "patches": "ids"}), digest, "left")
-    whole = joined.withColumn(draft, filled(F.col(draft), F.col("ids"), spark.sparkContext.broadcast(vocabulary.raw)))
+    whole = joined.withColumn(draft, filled(F.col(draft), F.col("ids"), table))
     return whole.select(
         *rest,
         "n_units",

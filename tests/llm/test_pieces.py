@@ -1,5 +1,6 @@
 import public_tokenizers
 import pytest
+import regex
 import sentencepiece
 from pyspark.sql import functions as F
 
@@ -63,3 +64,26 @@ def test_ids_and_round_trip_of_documents(spark, documents):
     assert sorted((r.doc_id, r.ids) for r in rows) == sorted((i, MODEL.encode(t or "")) for i, t in texts)
     assert [r.doc_id for r in rows if not r.round_trip] == [-3]
     assert all(r.n_pieces == len(r.ids) for r in rows)
+
+
+def test_units_cut_to_parts_and_one_way_to_make_a_piece(spark, vocabulary):
+    ranks = {"ab": 0, "bc": 1, "abc": 2, "abcd": 3, "a": 4, "b": 5, "c": 6, "d": 7}
+    assert pieces.halves("abcd", ranks) == ["abc", "d"] and pieces.halves("abc", ranks) == ["ab", "c"] and pieces.halves("bcd", ranks) is None
+    assert all(pieces.cutter(pieces.UNITS)(t) == regex.findall(pieces.UNITS, t) for t in ("▁▁aé1▁▁", "▁日本x!?▁\n", "▁𝒜a𝒜1▁👍🏽", ""))
+    # Characters that no piece holds side by side, of which one has no piece at all.
+    texts = ["qжqж zqж", "\U000f0001a", "aжa" * 200, "жq ࠁ ퟿"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for entries in (0, 3, 300):
+        rows = pieces.encoded_documents(docs, PATH, entries=entries).collect()
+        assert all(r.ids == MODEL.encode(texts[r.doc_id]) and r.round_trip for r in rows) and len(rows) == 4
+
+
+def test_edges_of_a_unit_travel_with_it_once(spark, vocabulary):
+    units = spark.createDataFrame([("▁the", 7), ("x", 8), ("ж\u0001", 9)], "unit string, tag int")
+    edges = pieces.lattice(units, vocabulary)
+    # One exchange at most, which groups the edges; units are not read a second time for those without any.
+    plan = edges._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+    got = {r.unit: r for r in pieces.encode_units(units, vocabulary).collect()}
+    assert {u: r.tag for u, r in got.items()} == {"▁the": 7, "x": 8, "ж\u0001": 9}
+    assert got["▁the"].ids == MODEL.encode("the")
