@@ -9,8 +9,9 @@ byte-pair model this is the model's own rule; the highest sum of scores, as in a
 model, is a different segmentation and would not give the model's ids. While folded, a
 token is one character, whose code is the rank of its piece.
 
-Units are encoded once. Those frequent in a sample of rows form a dictionary of bounded
-size that is broadcast; the others are shuffled by unit. Characters without a piece
+Units frequent in a sample of rows are encoded once: they form a dictionary of bounded
+size that is broadcast. ``encode`` shuffles the others by unit; whole documents keep them,
+several in one lattice, and need one shuffle of their drafts. Characters without a piece
 become the model's byte pieces. The encoding runs on DataFrame functions; whole
 documents are put together from encoded units on Arrow batches.
 """
@@ -19,10 +20,10 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 from hashlib import sha256
-from itertools import filterfalse, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,13 @@ UNITS = rf"{SPACE}*[\p{{L}}\p{{M}}]+|{SPACE}*[^\p{{L}}\p{{M}}{SPACE}]+|{SPACE}+"
 WORDS = rf"{SPACE}*[^{SPACE}]+|{SPACE}+"
 # Characters of tokens: three bytes each, up to the surrogates.
 FIRST, LAST = 0x800, 0xD7FF
-# Bytes of a digest that names a text.
+# Between units that share a lattice: a character no piece holds, and no code of a token.
+GAP = "\ufdd0"
+# Characters of such a lattice; a longer unit has one of its own.
+LINE = 100
+# Characters of texts that are cut at a time, and texts that are put together at a time.
+MANY, FEW = 2_000_000, 250
+# Bytes of a digest that tells whether a text came back.
 DIGEST = 12
 
 
@@ -67,6 +74,8 @@ class Vocabulary:
             raise ValueError("the model has no byte pieces")
         if FIRST + len(order) + 256 > LAST:
             raise ValueError("the model has too many pieces for one character each")
+        if any(GAP in p for p, _, _ in pieces):
+            raise ValueError("the model has a piece with the character that stands between units")
         self.longest = max(len(p) for p, _, _ in pieces)
         self.spark = spark
         ranks = {p: rank for rank, (p, _, _) in enumerate(order)}
@@ -76,10 +85,12 @@ class Vocabulary:
         self.byte_codes = [chr(FIRST + len(order) + b) for b in range(256)]
         # The id of every code.
         self.ids = [i for _, i, _ in order] + [in_bytes[b] for b in range(256)]
-        # A piece as an edge: its code, then those of the tokens it is made of. In this order edges are sorted by rank.
+        self.gap_ids = [in_bytes[b] for b in GAP.encode()]
+        # A piece as an edge: its rank, which finds its code and those of the tokens it is made of in ``joins``.
         made = {p: [SPACE] * len(p) if p in runs else halves(p, ranks) for p in ranks if len(p) > 1}
-        rows = [(p, code(p) + "".join(map(code, parts))) for p, parts in made.items() if parts]
-        self.pieces = spark.createDataFrame(rows, "piece string, edge string")
+        rows = [(p, ranks[p]) for p, parts in made.items() if parts]
+        self.pieces = spark.createDataFrame(rows, "piece string, edge int")
+        self.joins = [code(p) + "".join(map(code, made.get(p) or [])) for p in ranks]
         # Neighbouring characters that no piece holds: units can be cut between them.
         self.pairs = {p[i : i + 2] for p in ranks for i in range(len(p) - 1)}
         every = spark.createDataFrame([(p,) for p in ranks], "piece string")
@@ -141,23 +152,29 @@ def units_of(text: Column, vocabulary: Vocabulary) -> Column:
     return F.when(F.length(text) > 0, F.regexp_extract_all(whole, F.lit(vocabulary.units), 0)).otherwise(F.array().cast("array<string>"))
 
 
-def lattice(units: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``units`` (distinct) with ``edges``: pieces that occur in a unit, in the order of their rank."""
-    rest = [c for c in units.columns if c != "unit"]
-    at, n, piece, edge = (free_name(units, c) for c in ("at", "n_characters", "piece", "edge"))
-    starts = units.select("*", F.explode(F.sequence(F.lit(1), F.length("unit"))).alias(at))
-    lengths = F.sequence(F.lit(1), F.least(F.lit(vocabulary.longest), F.length("unit") - F.col(at) + 1))
-    # The first character of each unit stays, whatever it is, and alone carries the other columns.
-    places = starts.select("*", F.explode(lengths).alias(n)).filter((F.col(n) > 1) | (F.col(at) == 1))
-    found = F.col("unit").substr(F.col(at), F.col(n)).alias(piece)
-    spans = places.select("unit", n, found, *[F.when(F.col(n) == 1, F.col(c)).alias(c) for c in rest])
-    table = vocabulary.pieces.withColumnsRenamed({"piece": piece, "edge": edge})
-    edges = spans.join(F.broadcast(table), piece, "left").filter(F.col(edge).isNotNull() | (F.col(n) == 1))  # bounded: the model's vocabulary
-    return edges.groupBy("unit").agg(*[F.first(c, ignorenulls=True).alias(c) for c in rest], F.sort_array(F.collect_list(edge)).alias("edges"))
-
-
-def fold(edges: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``edges`` folded to ``codes``: the tokens of every unit, a character each."""
+def lattice(units: DataFrame, vocabulary: Vocabulary, by: tuple[str, ...] = ("unit",)) -> DataFrame:
+    """``units``, whose columns ``by`` tell rows apart, with ``edges``: ranks of the pieces that occur in a unit, in order."""
+    rest = [c for c in units.columns if c not in by]
+    at, n, ahead, found, piece, edge, code, own = (free_name(units, c) for c in ("at", "n_characters", "ahead", "found", "piece", "edge", "code", "own"))
+    upto = lambda end: F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), end)))
+    starts = units.select("*", upto(F.length("unit")).alias(at))
+    # What pieces can hold from here on; the first character of each unit alone carries the other columns, in one, since edges are many.
+    window = F.substring_index(F.col("unit").substr(F.col(at), F.lit(vocabulary.longest)), GAP, 1)
+    starts = starts.select(*by, at, window.alias(ahead), F.when(F.col(at) == 1, F.struct(F.lit(1), *rest)).alias(own))
+    # It stays, whatever it is.
+    places = starts.select("*", upto(F.length(ahead)).alias(n)).filter((F.col(n) > 1) | (F.col(at) == 1))
+    some = F.col(ahead).substr(F.lit(1), F.col(n)).alias(found)
+    spans = places.select(*by, n, some, F.when(F.col(n) == 1, F.col(own)).alias(own))
+    # Numbers are joined faster than strings, which are compared afterwards.
+    table = vocabulary.pieces.select(F.xxhash64("piece").alias(code), F.col("piece").alias(piece), F.col("edge").alias(edge))
+    joined = spans.withColumn(code, F.xxhash64(found)).join(F.broadcast(table), code, "left")  # bounded: the model's vocabulary
+    edges = joined.withColumn(edge, F.when(F.col(found) == F.col(piece), F.col(edge))).filter(F.col(edge).isNotNull() | (F.col(n) == 1))
+    whole = edges.groupBy(*by).agg(F.first(own, ignorenulls=True).alias(own), F.sort_array(F.collect_set(edge)).alias("edges"))
+    return whole.select(*by, *[F.col(own)[c].alias(c) for c in rest], "edges")
+
+
+def fold(edges: DataFrame, vocabulary: Vocabulary, between: str = "") -> DataFrame:
+    """``edges`` folded to ``codes``: the tokens of every unit, a character each. The character ``between`` stays."""
     in_bytes = F.split(F.lit(",".join(vocabulary.byte_codes)), ",")
 
     def as_bytes(character: Column) -> Column:
@@ -165,12 +182,14 @@ def fold(edges: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         values = F.transform(F.sequence(F.lit(1), F.octet_length(raw)), lambda i: F.conv(F.hex(F.substr(raw, i, F.lit(1))), 16, 10).cast("int"))
         return F.concat_ws("", F.transform(values, lambda b: F.element_at(in_bytes, b + 1)))
 
-    strange = lambda text: F.translate(text, vocabulary.single, "") != ""
+    strange = lambda text: F.translate(text, vocabulary.single + between, "") != ""
     mapped = lambda text: F.translate(text, vocabulary.single, vocabulary.single_codes)
     characters = F.regexp_extract_all("unit", F.lit("(?s)."), 0)
     slowly = F.concat_ws("", F.transform(characters, lambda c: F.when(strange(c), as_bytes(c)).otherwise(mapped(c))))
     begin = F.when(strange(F.col("unit")), slowly).otherwise(mapped(F.col("unit")))
-    state = F.aggregate("edges", begin, lambda s, e: F.replace(s, F.substr(e, F.lit(2)), F.substr(e, F.lit(1), F.lit(1))))
+    made = F.split(F.lit(",".join(x[:1] for x in vocabulary.joins)), ",")
+    of = F.split(F.lit(",".join(x[1:] for x in vocabulary.joins)), ",")
+    state = F.aggregate("edges", begin, lambda s, e: F.replace(s, F.get(of, e), F.get(made, e)))
     return edges.select(*[c for c in edges.columns if c != "edges"], state.alias("codes"))
 
 
@@ -186,11 +205,48 @@ def checked(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return encoded.select("unit", "ids", (vocabulary.decoded(F.col("ids")) == F.replace("unit", F.lit(SPACE), F.lit(" "))).alias("intact"))
 
 
-def frequent_units(docs: DataFrame, units: Column, vocabulary: Vocabulary, sample_rows: int, entries: int) -> DataFrame:
+def some_texts(texts: pa.Array) -> Iterator[list[str]]:
+    """``texts`` in lists of one text, or of more with about ``MANY`` characters in all; null is empty."""
+    some, room = [], MANY
+    for text in texts:
+        some.append(text.as_py() or "")
+        room -= len(some[-1])
+        if room < 0:
+            yield some
+            some, room = [], MANY
+    if some:
+        yield some
+
+
+def units_in(text: str, pattern: str) -> list[str]:
+    """Units of a text, cut here, because a list of them costs more on its way from Spark than the cutting."""
+    return cutter(pattern)(SPACE + text.replace(" ", SPACE)) if text else []
+
+
+def counts_of(text: Column, vocabulary: Vocabulary) -> Column:
+    """Units of texts with their number, (unit, n), those of some texts together with one of them."""
+    pattern = vocabulary.units
+
+    def counts(texts: list[str]) -> list[list[tuple[str, int]]]:
+        units = pa.concat_arrays([pa.array(units_in(t, pattern), pa.string()) for t in texts])
+        found = units.value_counts()
+        return [list(zip(found.field("values").to_pylist(), found.field("counts").to_pylist(), strict=True)), *[[]] * (len(texts) - 1)]
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array(chain.from_iterable(map(counts, some_texts(texts))), pa.list_(pa.struct([("unit", pa.string()), ("n", pa.int64())])))
+            pa.default_memory_pool().release_unused()
+
+    return F.arrow_udf(run, "array<struct<unit: string, n: long>>")(text)
+
+
+def frequent_units(docs: DataFrame, text: str, vocabulary: Vocabulary, sample_rows: int, entries: int) -> DataFrame:
     """(unit, n, ids) of at most ``entries`` units, the most frequent of about ``sample_rows`` rows."""
+    small_batches(docs.sparkSession)
     rows = max(1, docs.count())
     sample = docs if rows <= sample_rows else docs.sample(sample_rows / rows, 5)
-    frequent = sample.select(F.explode(units).alias("unit")).groupBy("unit").agg(F.count("*").alias("n"))
+    counts = sample.select(F.explode(counts_of(F.col(text), vocabulary)).alias("x"))
+    frequent = counts.groupBy(F.col("x.unit").alias("unit")).agg(F.sum("x.n").alias("n"))
     frequent = frequent.orderBy(F.desc("n"), "unit").limit(entries)
     return materialize(encode_units(materialize(frequent), vocabulary).select("unit", "n", "ids"))
 
@@ -211,7 +267,7 @@ def encode(
     ``sample_rows`` rows and has at most ``entries`` units; it changes the speed alone.
     """
     split = units_of(F.col(text), vocabulary)
-    dictionary = checked(frequent_units(docs, split, vocabulary, sample_rows, entries), vocabulary)
+    dictionary = checked(frequent_units(docs, text, vocabulary, sample_rows, entries), vocabulary)
     units = docs.select(F.col(row).alias("row"), F.posexplode(split).alias("position", "unit"))
     tier = units.join(F.broadcast(dictionary), "unit", "left")  # bounded by ``entries``
     rare = materialize(tier.filter("ids is null").select("row", "position", "unit"))
@@ -231,67 +287,71 @@ def assemble(encoded: DataFrame) -> DataFrame:
     return parts.select("row", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"))
 
 
-def lost_units(units: list[str], number: dict[str, int], pairs: set[str]) -> tuple[dict[str, list[str]], dict[str, int]]:
-    """Units that have no entry, with the parts they are cut to between characters that no
-    piece holds as neighbours; and the parts that have none, numbered after all entries in
-    the order of their first place."""
-    parts, order = {}, {}
-    for unit in filterfalse(number.__contains__, units):
-        if unit not in parts:
-            ends = [i for i, pair in enumerate(map(str.__add__, unit, unit[1:]), 1) if pair not in pairs]
-            parts[unit] = [unit[a:b] for a, b in zip([0, *ends], [*ends, len(unit)], strict=True)] if ends else [unit]
-            for part in parts[unit]:
-                if part not in number:
-                    order.setdefault(part, len(number) + len(order))
-    return parts, order
+def parts_of(unit: str, pairs: set[str]) -> list[str]:
+    """``unit`` cut between characters that no piece holds as neighbours."""
+    ends = [i for i, pair in enumerate(map(str.__add__, unit, unit[1:]), 1) if pair not in pairs]
+    return [unit[a:b] for a, b in zip([0, *ends], [*ends, len(unit)], strict=True)] if ends else [unit]
 
 
-def units_in(texts: pa.Array, pattern: str) -> Iterator[list[str]]:
-    """Units of each text, cut here, because a list of them costs more on its way from Spark than the cutting."""
-    cut = cutter(pattern)
-    for text in texts.to_pylist():
-        yield cut(SPACE + text.replace(" ", SPACE)) if text else []
+def lines_of(parts: Iterable[str]) -> list[str]:
+    """``parts`` in lines of at most ``LINE`` characters, longer parts each in a line; at least one line."""
+    lines, room = [], 0
+    for part in parts:
+        if lines and room >= len(part):
+            lines[-1].append(part)
+        else:
+            lines.append([part])
+            room = LINE
+        room -= len(part) + 1
+    return [GAP.join(line) for line in lines] or [""]
 
 
-def missing_of(text: Column, number: Broadcast, vocabulary: Vocabulary) -> Column:
-    """Units of a text that have no entry."""
-    pattern, pairs = vocabulary.units, vocabulary.pairs
-
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            yield pa.array([list(lost_units(units, number.value, pairs)[1]) for units in units_in(texts, pattern)], pa.list_(pa.string()))
+def draft_of(text: Column, words: Broadcast, vocabulary: Vocabulary) -> Column:
+    """Units of a text: their ``numbers`` (packed, see ``pack``), how many (``n_units``), and ``lines`` of the parts without an entry.
 
-    return F.arrow_udf(run, "array<string>")(text)
-
-
-def draft_of(text: Column, number: Broadcast, vocabulary: Vocabulary) -> Column:
-    """``numbers`` of a text's units (packed, see ``pack``) and their number ``n_units``."""
+    ``words`` are the entries. A unit that is none is cut to parts; those that are none either
+    are numbered after all entries in the order of their first place, which is their order in
+    the lines. Arrow's lookup takes a fraction of the memory of a Python dictionary.
+    """
     pattern, pairs = vocabulary.units, vocabulary.pairs
 
-    def numbers(units: list[str]) -> list[int]:
-        known = number.value
-        found = list(map(known.get, units, repeat(-1)))
-        parts, order = lost_units(units, known, pairs)
-        at, end = -1, []
-        for _ in range(found.count(-1)):
-            at = found.index(-1, at + 1)
-            # The first part in its place, more of them put in afterwards, from the end.
-            found[at], *more = [known.get(p) if p in known else order[p] for p in parts[units[at]]]
-            if more:
-                end.append((at + 1, more))
-        for at, more in reversed(end):
-            found[at:at] = more
-        return found
+    def found_in(units: pa.Array, entries: pa.Array) -> np.ndarray:
+        return pc.fill_null(pc.index_in(units, value_set=entries), -1).to_numpy(zero_copy_only=False)
+
+    def some(texts: list[str]) -> pa.Array:
+        units = [pa.array(units_in(t, pattern), pa.string()) for t in texts]
+        lengths = np.array(list(map(len, units)), np.int32)
+        units = pa.concat_arrays(units)
+        found = found_in(units, words.value)
+        lost = np.flatnonzero(found < 0)
+        parts = [parts_of(u, pairs) for u in units.take(pa.array(lost)).to_pylist()]
+        n_parts = np.ones(len(units), np.int32)
+        n_parts[lost] = list(map(len, parts))
+        numbers = np.repeat(found, n_parts)
+        parts = list(chain.from_iterable(parts))
+        # Parts are few, so the entries are looked up in them.
+        names = {p: i for i, p in enumerate(dict.fromkeys(parts))}
+        place = found_in(words.value, pa.array(list(names), pa.string()))
+        known = np.full(len(names), -1, np.int32)
+        known[place[place >= 0]] = np.flatnonzero(place >= 0)
+        numbers[numbers < 0] = missing = known[[names[p] for p in parts]] if parts else []
+        # Where texts end among the parts, and the text of each part that is no entry.
+        ends = np.concatenate([[0], np.cumsum(n_parts, dtype=np.int64)])[np.cumsum([0, *lengths])]
+        rows = np.searchsorted(ends, np.flatnonzero(numbers < 0), "right") - 1
+        own, none = [{} for _ in texts], len(words.value)
+        unknown = np.flatnonzero(np.array(missing, np.int32) < 0).tolist()
+        numbers[numbers < 0] = [own[r].setdefault(parts[i], none + len(own[r])) for r, i in zip(rows.tolist(), unknown, strict=True)]
+        packed = [pack(numbers[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
+        columns = [pa.array(packed, pa.binary()), pa.array(lengths), pa.array(list(map(lines_of, own)), pa.list_(pa.string()))]
+        return pa.StructArray.from_arrays(columns, ["numbers", "n_units", "lines"])
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            packed, lengths = [], []
-            for units in units_in(texts, pattern):
-                packed.append(pack(np.array(numbers(units), np.int32)))
-                lengths.append(len(units))
-            yield pa.StructArray.from_arrays([pa.array(packed, pa.binary()), pa.array(lengths, pa.int32())], ["numbers", "n_units"])
+            drafts = [some(x) for x in some_texts(texts)]
+            yield pa.concat_arrays(drafts) if drafts else some([""])[:0]
+            pa.default_memory_pool().release_unused()  # workers that wait would keep it
 
-    return F.arrow_udf(run, "numbers binary, n_units int")(text)
+    return F.arrow_udf(run, "numbers binary, n_units int, lines array<string>")(text)
 
 
 def pack(numbers: np.ndarray) -> bytes:
@@ -305,46 +365,44 @@ def unpack(packed: bytes) -> np.ndarray:
     return planes.reshape(4, -1).T.copy().view("<i4").ravel()
 
 
-def plain_texts(sizes: np.ndarray, ids: np.ndarray, raw: list[bytes]) -> np.ndarray:
-    """What units decode to, given the sizes of their ids and these one after the other."""
-    pieces, ends = [raw[i] for i in ids.tolist()], np.cumsum(sizes).tolist()
-    return np.array([*(b"".join(pieces[a:b]) for a, b in zip([0, *ends], ends, strict=False)), None], dtype=object)[:-1]
+def filled(packed: Column, codes: Column, entries: Broadcast) -> Column:
+    """``ids`` of a draft, its units looked up in ``entries`` and in ``codes`` of its own ones (``GAP`` between them), and the ``digest`` of their text.
 
-
-def filled(packed: Column, patches: Column, entries: Broadcast) -> Column:
-    """``ids`` of a draft, its units looked up in ``entries`` and its patches (struct of ``place`` and ``codes``), and the ``digest`` of their text.
-
-    ``entries`` holds the sizes of the dictionary's units, their ids one after the other, what
-    they decode to, the id of every code, and what every id stands for.
+    ``entries`` holds the sizes of the dictionary's units, their ids one after the other, the
+    id of every code, and what every id stands for.
     """
 
-    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        sizes, flat, decoded, id_of, raw = entries.value
+    def some(packs: list[bytes], lists: list[str]) -> pa.Array:
+        sizes, flat, id_of, raw = entries.value
         none = len(sizes)
-        for packs, lists in batches:
-            numbers = [unpack(x.as_py()) for x in packs]
-            n_lost = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            lost = lists.flatten()
-            order = np.lexsort((lost.field("place").to_numpy(zero_copy_only=False), np.repeat(np.arange(len(numbers)), n_lost)))
-            codes = lost.field("codes").take(pa.array(order))
-            units = np.concatenate([np.zeros(0, np.int32), *numbers]).astype(np.int64)
-            n_units = np.array([len(x) for x in numbers], np.int64)
-            # A text's own units come after those of the texts before it.
-            units += np.where(units < none, 0, np.repeat(np.cumsum(n_lost) - n_lost, n_units))
-            own = id_of[np.frombuffer("".join(codes.to_pylist()).encode("utf-32-le"), "<u4").astype(np.int64) - FIRST]
-            n_own = pc.utf8_length(codes).to_numpy(zero_copy_only=False)
-            plain = np.concatenate([decoded, plain_texts(n_own, own, raw)])[units].tolist()
-            firsts = np.cumsum([0, *n_units])
-            digests = [sha256(b"".join(plain[a:b])[1:]).digest()[:DIGEST] for a, b in zip(firsts, firsts[1:], strict=False)]
-            n = np.concatenate([sizes, n_own]).astype(np.int64)
-            every = np.concatenate([flat, own])
-            starts, n = (np.cumsum(n) - n)[units], n[units]
-            ids = every[np.repeat(starts - np.cumsum(n) + n, n) + np.arange(n.sum())]
-            ends = np.concatenate([[0], np.cumsum(n)])[firsts]
-            values = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
-            yield pa.StructArray.from_arrays([values, pa.array(digests, pa.binary())], ["ids", "digest"])
-
-    return F.arrow_udf(run, "ids array<int>, digest binary")(packed, patches)
+        numbers = list(map(unpack, packs))
+        n_lost = np.array([x.count(GAP) + 1 if x else 0 for x in lists], np.int64)
+        tokens = np.frombuffer("".join(x + GAP for x in lists if x).encode("utf-32-le"), "<u4").astype(np.int64)
+        n_own = np.diff(np.flatnonzero(tokens == ord(GAP)), prepend=-1) - 1
+        own = id_of[tokens[tokens != ord(GAP)] - FIRST]
+        units = np.concatenate(numbers).astype(np.int64)
+        n_units = np.array(list(map(len, numbers)), np.int64)
+        # A text's own units come after those of the texts before it.
+        units += np.where(units < none, 0, np.repeat(np.cumsum(n_lost) - n_lost, n_units))
+        n = np.concatenate([sizes, n_own])
+        every = np.concatenate([flat, own])
+        starts, n = (np.cumsum(n) - n)[units], n[units]
+        ids = every[np.repeat(starts - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        ends = np.concatenate([[0], np.cumsum(n)])[np.cumsum([0, *n_units])]
+        plain = raw[ids].tolist()
+        digests = [sha256(b"".join(plain[a:b])[1:]).digest()[:DIGEST] for a, b in zip(ends, ends[1:], strict=False)]
+        values = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+        return pa.StructArray.from_arrays([values, pa.array(digests, pa.binary())], ["ids", "digest"])
+
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for batch in batches:
+            packs, lists = (x.to_pylist() for x in batch)
+            # A few at a time: the arrays in between take many times a draft's bytes.
+            parts = [some(packs[i : i + FEW], lists[i : i + FEW]) for i in range(0, len(packs), FEW)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.struct([("ids", pa.list_(pa.int32())), ("digest", pa.binary())]))
+            pa.default_memory_pool().release_unused()
+
+    return F.arrow_udf(run, "ids array<int>, digest binary")(packed, codes)
 
 
 def encoded_documents(docs: DataFrame, path: str, text: str = "text", sample_rows: int = 20_000, entries: int = 300_000) -> DataFrame:
@@ -355,43 +413,46 @@ def encoded_documents(docs: DataFrame, path: str, text: str = "text", sample_row
     blank. Null and empty texts have no pieces. Rows with repeated or null ids are encoded
     each by itself; columns called like the new ones are replaced.
 
-    Neither texts nor units of the dictionary are shuffled. Each text becomes a draft, the
-    numbers of its units; units that the dictionary lacks, named by a digest of the text,
-    are grouped, encoded once each over the lattice, and come back to the drafts as patches.
-    The digest is one of the content, so a computation that is repeated after a lost executor
-    gives the same. ``sample_rows`` and ``entries`` as in ``encode``; what they leave out is
-    in few of the sampled rows, so the texts that hold such a unit are few among all.
+    Texts are read and cut once and not shuffled. Each becomes a draft, the numbers of its
+    units, with the units that the dictionary lacks in lines of a few; drafts are dealt out
+    once, and what follows stays where they are: each line is encoded over its lattice, and
+    its units go into their draft. Copies are dealt out by their other columns, so they do
+    not meet. ``sample_rows`` and ``entries`` as in ``encode``; what they leave out is encoded
+    for each text that holds it.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    digest, draft = free_name(docs, "text_digest"), free_name(docs, "draft")
     vocabulary = Vocabulary(spark, path)
-    known = frequent_units(docs, units_of(F.col(text), vocabulary), vocabulary, sample_rows, entries).toArrow()  # bounded by ``entries``
+    known = frequent_units(docs, text, vocabulary, sample_rows, entries).toArrow()  # bounded by ``entries``
     # Frequent units get small numbers, which pack better.
     known = known.sort_by([("n", "descending"), ("unit", "ascending")])
-    found = known["ids"].combine_chunks()
+    found, words = known["ids"].combine_chunks(), known["unit"].to_pylist()
     sizes = pc.list_value_length(found).to_numpy(zero_copy_only=False).astype(np.int64)
     flat = found.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
-    number = spark.sparkContext.broadcast({u: i for i, u in enumerate(known["unit"].to_pylist())})
-    table = spark.sparkContext.broadcast((sizes, flat, plain_texts(sizes, flat, vocabulary.raw), np.array(vocabulary.ids, np.int32), vocabulary.raw))
-    named = F.substring(F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)), 1, DIGEST)
-    missing = docs.select(named.alias("digest"), F.posexplode(missing_of(F.col(text), number, vocabulary)).alias("place", "unit"))
-    # Copies of a text name the same places.
-    units = missing.repartition("unit").groupBy("unit").agg(F.collect_set(F.struct("digest", "place")).alias("places"))
-    encoded = fold(lattice(units, vocabulary), vocabulary).select("codes", F.explode("places").alias("at"))
-    patches = encoded.select("at.digest", "at.place", "codes").repartition("digest").groupBy("digest").agg(F.collect_list(F.struct("place", "codes")).alias("patches"))
-    new = ("ids", "n_units", "n_pieces", "round_trip")
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in (text, *new)]
-    marked = docs.withColumns({digest: named, draft: draft_of(F.col(text), number, vocabulary)})
-    kept = marked.select(*rest, F.col(f"{draft}.n_units").alias("n_units"), digest, F.col(f"{draft}.numbers").alias(draft))
-    joined = kept.join(patches.withColumnsRenamed({"digest": digest, "patches": "ids"}), digest, "left")
-    whole = joined.withColumn(draft, filled(F.col(draft), F.col("ids"), table))
+    if GAP not in words:  # no piece holds it, so it is always a part by itself, and in no line if it has an entry
+        words, sizes, flat = [*words, GAP], np.append(sizes, len(vocabulary.gap_ids)), np.append(flat, np.array(vocabulary.gap_ids, np.int32))
+    entered = spark.sparkContext.broadcast(pa.array(words, pa.string()))
+    raw = np.array([*vocabulary.raw, None], dtype=object)[:-1]
+    table = spark.sparkContext.broadcast((sizes, flat, np.array(vocabulary.ids, np.int32), raw))
+    rest = [c for c in docs.columns if c not in (text, "ids", "n_units", "n_pieces", "round_trip")]
+    digest = F.substring(F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)), 1, DIGEST)
+    marked = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)], digest.alias("digest"), draft_of(F.col(text), entered, vocabulary).alias("draft"))
+    # Equal keys do no harm: rows are told apart after they are dealt out.
+    hashed = [c for c, kind in marked.drop("draft").dtypes if "map<" not in kind and "variant" not in kind]
+    doc = F.struct(*[f"c{i}" for i in range(len(rest))], "digest", "draft.numbers", "draft.n_units")
+    dealt = marked.select(F.xxhash64(*hashed).alias("key"), doc.alias("doc"), F.col("draft.lines").alias("lines")).repartition("key")
+    lines = dealt.withColumn("row", F.monotonically_increasing_id()).select("key", "row", "doc", F.posexplode("lines").alias("place", "unit"))
+    lines = lines.withColumns({"doc": F.when(F.col("place") == 0, F.col("doc")), "line": F.monotonically_increasing_id()})
+    tokens = fold(lattice(lines, vocabulary, ("key", "line")), vocabulary, GAP)
+    every = F.transform(F.sort_array(F.collect_list(F.struct("place", "codes"))), lambda x: x["codes"])
+    whole = tokens.groupBy("key", "row").agg(F.first("doc", ignorenulls=True).alias("doc"), F.concat_ws(GAP, every).alias("codes"))
+    whole = whole.select("doc", filled(F.col("doc.numbers"), F.col("codes"), table).alias("text"))
     return whole.select(
-        *rest,
-        "n_units",
-        F.size(f"{draft}.ids").alias("n_pieces"),
-        F.col(f"{draft}.ids").alias("ids"),
-        (F.col(f"{draft}.digest") == F.col(digest)).alias("round_trip"),
+        *[F.col(f"doc.c{i}").alias(c) for i, c in enumerate(rest)],
+        "doc.n_units",
+        F.size("text.ids").alias("n_pieces"),
+        "text.ids",
+        (F.col("text.digest") == F.col("doc.digest")).alias("round_trip"),
     )
 
 

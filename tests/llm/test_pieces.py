@@ -87,3 +87,27 @@ def test_edges_of_a_unit_travel_with_it_once(spark, vocabulary):
     got = {r.unit: r for r in pieces.encode_units(units, vocabulary).collect()}
     assert {u: r.tag for u, r in got.items()} == {"▁the": 7, "x": 8, "ж\u0001": 9}
     assert got["▁the"].ids == MODEL.encode("the")
+
+
+def test_texts_are_cut_once_and_drafts_shuffled_once(spark, documents):
+    rows = pieces.piece_counts(documents, PATH)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan and plan.count("ArrowEvalPython") == 2
+    # No digest of a text is worked out again for each of its units.
+    assert "sha2" not in plan.split("Exchange hashpartitioning")[0]
+
+
+def test_units_without_an_entry_share_lines(spark):
+    assert pieces.lines_of([]) == [""] and pieces.lines_of(["a", "bc"]) == [f"a{pieces.GAP}bc"]
+    long = "x" * (pieces.LINE + 1)
+    assert pieces.lines_of(["a", long, "b"]) == ["a", long, "b"]
+    parts = [f"unit{i}" for i in range(200)]
+    lines = pieces.lines_of(parts)
+    assert pieces.GAP.join(lines).split(pieces.GAP) == parts and max(map(len, lines)) <= pieces.LINE < sum(map(len, lines))
+    # The character between units in texts, repeated rows, empty and long ones among them.
+    texts = [pieces.GAP, f"a{pieces.GAP}b {pieces.GAP * 3}", "", "zqxj " * 300 + "jxqz", "", "zqxj " * 300 + "jxqz", f"zqxj{pieces.GAP}", "жqж" * 90]
+    docs = spark.createDataFrame([(1, t) for t in texts], "`odd.name` int, text string")
+    for entries in (0, 2, 1000):
+        rows = pieces.encoded_documents(docs, PATH, entries=entries).collect()
+        assert rows[0][0] == 1 and all(r.round_trip for r in rows)
+        assert sorted(r.ids for r in rows) == sorted(MODEL.encode(t) for t in texts)
