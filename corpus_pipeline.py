@@ -34,7 +34,9 @@ def hide_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The piece ids of every document, with counts, digest and round trip."""
-    return pieces.encoded_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    # Executors still hold what the stages before left in them, so tasks are small.
+    partitions = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return pieces.encoded_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), partitions=partitions)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -405,7 +405,7 @@ def filled(packed: Column, codes: Column, entries: Broadcast) -> Column:
     return F.arrow_udf(run, "ids array<int>, digest binary")(packed, codes)
 
 
-def encoded_documents(docs: DataFrame, path: str, text: str = "text", sample_rows: int = 20_000, entries: int = 300_000) -> DataFrame:
+def encoded_documents(docs: DataFrame, path: str, text: str = "text", sample_rows: int = 20_000, entries: int = 300_000, partitions: int | None = None) -> DataFrame:
     """``docs`` without their text, with ``ids``, ``n_units``, ``n_pieces`` and ``round_trip``.
 
     ``ids`` are the piece ids of the whole text in order; ``round_trip`` says whether ``decode``
@@ -418,7 +418,8 @@ def encoded_documents(docs: DataFrame, path: str, text: str = "text", sample_row
     once, and what follows stays where they are: each line is encoded over its lattice, and
     its units go into their draft. Copies are dealt out by their other columns, so they do
     not meet. ``sample_rows`` and ``entries`` as in ``encode``; what they leave out is encoded
-    for each text that holds it.
+    for each text that holds it. A draft grows manyfold in the lattice, so more ``partitions``
+    of drafts than Spark would take by itself mean less memory for each task.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -440,7 +441,8 @@ def encoded_documents(docs: DataFrame, path: str, text: str = "text", sample_row
     # Equal keys do no harm: rows are told apart after they are dealt out.
     hashed = [c for c, kind in marked.drop("draft").dtypes if "map<" not in kind and "variant" not in kind]
     doc = F.struct(*[f"c{i}" for i in range(len(rest))], "digest", "draft.numbers", "draft.n_units")
-    dealt = marked.select(F.xxhash64(*hashed).alias("key"), doc.alias("doc"), F.col("draft.lines").alias("lines")).repartition("key")
+    dealt = marked.select(F.xxhash64(*hashed).alias("key"), doc.alias("doc"), F.col("draft.lines").alias("lines"))
+    dealt = dealt.repartition(partitions, "key") if partitions else dealt.repartition("key")
     lines = dealt.withColumn("row", F.monotonically_increasing_id()).select("key", "row", "doc", F.posexplode("lines").alias("place", "unit"))
     lines = lines.withColumns({"doc": F.when(F.col("place") == 0, F.col("doc")), "line": F.monotonically_increasing_id()})
     tokens = fold(lattice(lines, vocabulary, ("key", "line")), vocabulary, GAP)

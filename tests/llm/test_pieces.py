@@ -111,3 +111,9 @@ def test_units_without_an_entry_share_lines(spark):
         rows = pieces.encoded_documents(docs, PATH, entries=entries).collect()
         assert rows[0][0] == 1 and all(r.round_trip for r in rows)
         assert sorted(r.ids for r in rows) == sorted(MODEL.encode(t) for t in texts)
+
+
+def test_drafts_are_dealt_out_to_as_many_tasks_as_asked(spark, documents):
+    rows = pieces.encoded_documents(documents.select("doc_id", "text"), PATH, partitions=37)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and ", 37)" in plan
