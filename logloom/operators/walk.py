@@ -8,12 +8,31 @@ long for a task, and rows with nulls, do not come here: :mod:`logloom.operators.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 STRETCH, STRETCH_BYTES = 100_000, 64 << 20
+HOPS = 1 << 20
+
+PART_TYPE = pa.schema(
+    {
+        "path": pa.list_(pa.struct({"service": pa.string(), "name": pa.string()})),
+        "samples": pa.int64(),
+        "traces": pa.int64(),
+        "offsets": pa.decimal128(38, 0),
+        "durations": pa.decimal128(38, 0),
+        "min_offset_ns": pa.int64(),
+        "max_end_ns": pa.int64(),
+        "errors": pa.int64(),
+    }
+)
+PARTS = (
+    "path array<struct<service:string,name:string>>, samples bigint, traces bigint, offsets decimal(38,0), "
+    "durations decimal(38,0), min_offset_ns bigint, max_end_ns bigint, errors bigint"
+)
 
 
 def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -54,6 +73,22 @@ def _firsts(key: np.ndarray) -> np.ndarray:
     return np.concatenate(([True], key[1:] != key[:-1])) if len(key) else np.zeros(0, bool)
 
 
+def _checked(result: np.ndarray, wrapped: np.ndarray) -> np.ndarray:
+    if (wrapped < 0).any():
+        raise OverflowError("a time of a span is out of the range of 64 bits")
+    return result
+
+
+def _minus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    c = a - b
+    return _checked(c, (a ^ b) & (a ^ c))
+
+
+def _plus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    c = a + b
+    return _checked(c, (a ^ c) & (b ^ c))
+
+
 class Forest:
     """The spans of a stretch, one of each (trace, span id): the first by ``order``; without id all stay.
 
@@ -108,6 +143,78 @@ class Forest:
             level = kids[np.repeat(first[level] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
 
 
+def shape_parts(order: list[str], match: bool) -> Callable:
+    """Per stretch, what :func:`logloom.operators.tree.shape_rows` merges: a row per path below the anchors.
+
+    Besides the spans' columns ``_error`` and, with ``match``, ``_match`` are read.
+    """
+
+    def parts(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        forest = Forest(table, order)
+        rows = forest.rows
+        start, duration = _numbers(table, "start_ns")[rows], _numbers(table, "duration_ns")[rows]
+        choice = np.where(forest.up < 0, 1, 2)
+        if match:
+            choice[_numbers(table, "_match")[rows]] = 0
+        anchor = forest.earliest(choice, start, forest.span)[forest.trace]
+        top = (start == start[anchor]) & (forest.span == forest.span[anchor])
+        service, name = table["service"].combine_chunks().dictionary_encode(), table["name"].combine_chunks().dictionary_encode()
+        hops, hop = np.unique(
+            service.indices.to_numpy()[rows].astype(np.int64) * len(name.dictionary) + name.indices.to_numpy()[rows], return_inverse=True
+        )
+        path, known, seen = np.zeros(len(rows), np.int64), 0, []
+        above_of, hop_of, length_of = [], [], []
+        for depth, level in enumerate(forest.levels(top)):
+            above = path[forest.up[level]] if depth else np.zeros(len(level), np.int64)
+            found, number = np.unique(above * len(hops) + hop[level], return_inverse=True)
+            path[level] = known + number
+            above_of.append(found // len(hops) if depth else np.full(len(found), -1))
+            hop_of.append(hops[found % len(hops)])
+            length_of.append(np.full(len(found), depth + 1))
+            known += len(found)
+            seen.append(level)
+        above, hop, length = np.concatenate(above_of), np.concatenate(hop_of), np.concatenate(length_of)
+        below = np.concatenate(seen)
+        below = below[np.lexsort((forest.trace[below], path[below]))]
+        number, trace = path[below], forest.trace[below]
+        first = _firsts(number)
+        starts = np.flatnonzero(first)
+        zero = start[below] == 0
+        since = np.where(zero, 0, np.maximum(_minus(np.where(zero, 0, start[below]), np.where(zero, 0, start[anchor[below]])), 0))
+        lasted = np.maximum(duration[below], 0)
+
+        def whole(x: np.ndarray) -> pa.Array:
+            high, low = np.add.reduceat(x >> 32, starts).tolist(), np.add.reduceat(x & 0xFFFFFFFF, starts).tolist()
+            return pa.array([Decimal((h << 32) + w) for h, w in zip(high, low, strict=True)], pa.decimal128(38, 0))
+
+        sums = [
+            pa.array(np.diff(np.append(starts, len(below)))),
+            pa.array(np.add.reduceat((first | _firsts(trace)).astype(np.int64), starts)),
+            whole(since),
+            whole(lasted),
+            pa.array(np.minimum.reduceat(since, starts)),
+            pa.array(np.maximum.reduceat(_plus(since, lasted), starts)),
+            pa.array(np.add.reduceat(_numbers(table, "_error")[rows][below].astype(np.int64), starts)),
+        ]
+        kind = PART_TYPE.field("path").type
+        upto = np.cumsum(length)
+        at = 0
+        while at < known:  # long paths make many small batches
+            end = max(at + 1, int(np.searchsorted(upto, upto[at] + HOPS)))
+            ends = np.concatenate(([0], np.cumsum(length[at:end])))
+            flat, place, now = np.empty(ends[-1], np.int64), ends[1:] - 1, np.arange(at, end)
+            while len(now):
+                flat[place] = hop[now]
+                place, now = place[above[now] >= 0] - 1, above[now][above[now] >= 0]
+            named = [d.take(pa.array(i)) for d, i in zip((service.dictionary, name.dictionary), np.divmod(flat, len(name.dictionary)), strict=True)]
+            structs = pa.StructArray.from_arrays(named, fields=list(kind.value_type))
+            found = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), structs, type=kind)
+            yield pa.RecordBatch.from_arrays([found, *(x.slice(at, end - at) for x in sums)], schema=PART_TYPE)
+            at = end
+
+    return lambda batches: (part for table in stretches(batches) for part in parts(table))
+
+
 def display_order(order: list[str]) -> Callable:
     """Per stretch, the spans that hang below a top, with ``position`` and ``depth``, in display order."""
 

@@ -63,6 +63,10 @@ def test_walk_and_joins_agree(spark):
     for large in (0, 7):  # all by joins, some
         same_rows(whole.select(without_position), tr.waterfalls(spans, large).select(without_position))
         assert shown(whole.collect()) == shown(tr.waterfalls(spans, large).collect())
+    for match in (tr.EntryMatch(), tr.EntryMatch(entry_only=True), tr.EntryMatch(service="a", errors_only=True, min_ms=3e-6)):
+        found = tr.shape(spans, match)
+        same_rows(found, tr.shape(spans, match, 7))
+        same_rows(found, tr.shape_stats(tr.shape_paths(spans, match)))
 
 
 def test_nulls_go_by_joins(spark):
@@ -72,6 +76,7 @@ def test_nulls_go_by_joins(spark):
         gone = rng.choice([0, 1, 2, 3, 4, 6, 7, 9])
         rows[i] = (*rows[i][:gone], None, *rows[i][gone + 1 :])
     spans = table(spark, rows)
+    same_rows(tr.shape(spans), tr.shape_stats(tr.shape_paths(spans)))
     same_rows(tr.waterfalls(spans).drop("position"), tr.waterfalls(spans, 0).drop("position"))
 
 
@@ -79,6 +84,7 @@ def test_short_traces_are_not_stored(spark, monkeypatch):
     stored, keep = [], tr.materialize
     monkeypatch.setattr(tr, "materialize", lambda df: stored.append(1) or keep(df))
     spans = table(spark, forests(30))
+    tr.shape(spans, tr.EntryMatch(entry_only=True)).collect()
     tr.waterfalls(spans).collect()
     assert not stored
 
@@ -94,3 +100,20 @@ def test_stretches_are_whole_traces(monkeypatch, batch, least):
     held = [set(t["trace_id"].to_pylist()) for t in found]
     assert sum(map(len, held)) == len(set().union(*held))
     assert not list(walk.stretches(iter([])))
+
+
+def test_long_paths_and_large_sums(spark, monkeypatch):
+    monkeypatch.setattr(walk, "HOPS", 50)
+    chain = [("t", f"s{i}", f"s{i - 1}" if i else "", "n", "s", "", i + 1, 1, 0, "") for i in range(300)]
+    names = [c.split()[0] for c in SCHEMA.split(", ")]
+    rows = pa.table({n: [r[i] for r in chain] for i, n in enumerate(names)}).append_column("_error", pa.array([False] * 300))
+    parts = list(walk.shape_parts(tr._first_by(tr._SHAPE), False)(iter(rows.to_batches())))
+    assert len(parts) > 200
+    assert sorted(len(p) for x in parts for p in x["path"].to_pylist()) == list(range(1, 301))
+    long = [("t", "r", "", "n", "s", "", 1, 1, 0, "")] + [("t", f"k{i}", "r", "k", "s", "", 2, 1 << 62, 0, "") for i in range(4)]
+    found = {r["name"]: r["avg_duration_ns"] for r in tr.shape(table(spark, long)).collect()}
+    assert found == {"n": 1, "k": 1 << 62}
+    with pytest.raises(OverflowError):
+        walk._minus(*(pa.array([x]).to_numpy() for x in (-(1 << 63), 1)))
+    with pytest.raises(OverflowError):
+        walk._plus(*(pa.array([x]).to_numpy() for x in ((1 << 63) - 1, 1)))
